@@ -1,0 +1 @@
+"""The reference has no streaming operators; see README (nothing is built here)."""
