@@ -67,3 +67,63 @@ def activity_filter_sql(src: str, min_user: int, min_movie: int, passes: int, pr
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip().rstrip(",") for c in ctes) + "\n"
+
+
+def core_sql(min_user: int = 20, min_movie: int = 20) -> str:
+    """CTEs ending in ``core(userId, movieId, rating, ts)``: fixture A after A6."""
+    return (RATINGS + ",\n" + activity_filter_sql("ratings", min_user, min_movie, 10) +
+            ",\ncore AS (SELECT userId, movieId, rating, ts FROM af10)")
+
+
+def sim_sql(src: str, name: str, k: int | None) -> str:
+    """Item cosine over ratings CTE ``src`` -> ``name(movieId, neighborId, sim, rank)``."""
+    lim = f"WHERE rank <= {k}" if k else ""
+    return f"""
+{name}_d AS (SELECT a.movieId AS i, b.movieId AS j, sum(a.rating * b.rating) AS dot
+             FROM {src} a JOIN {src} b ON a.userId = b.userId AND a.movieId <> b.movieId GROUP BY 1, 2),
+{name}_n AS (SELECT movieId, sqrt(sum(rating * rating)) AS nn FROM {src} GROUP BY 1),
+{name}_s AS (SELECT i, j, dot / (n1.nn * n2.nn) AS sim FROM {name}_d
+             JOIN {name}_n n1 ON n1.movieId = i JOIN {name}_n n2 ON n2.movieId = j),
+{name} AS (SELECT i AS movieId, j AS neighborId, sim, rank FROM (
+             SELECT *, row_number() OVER (PARTITION BY i ORDER BY round(sim, 8) DESC, j) AS rank
+             FROM {name}_s WHERE sim > 0) t {lim})"""
+
+
+def time_split_sql(src: str, ratio: float = 0.2, min_test: int = 1) -> str:
+    """Per-user time split of ``src`` -> CTEs ``train`` and ``test``."""
+    return f"""
+tsp AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY ts, movieId) - 1 AS pos,
+               count(*) OVER (PARTITION BY userId) AS n FROM {src}),
+tsf AS (SELECT *, greatest(least(greatest(floor(n * {ratio}), {min_test}), n - 1), 0) AS n_test FROM tsp),
+train AS (SELECT userId, movieId, rating, ts FROM tsf WHERE NOT (pos >= n - n_test AND n_test > 0)),
+test AS (SELECT userId, movieId, rating, ts FROM tsf WHERE pos >= n - n_test AND n_test > 0)"""
+
+
+def liked_sql(src: str, name: str, fallback: bool, threshold: float = 4.0) -> str:
+    base = f"SELECT userId, movieId, rating FROM {src} WHERE rating >= {threshold}"
+    if not fallback:
+        return f"\n{name} AS ({base})"
+    return f"""
+{name} AS ({base}
+  UNION ALL
+  SELECT userId, movieId, rating FROM (
+    SELECT *, row_number() OVER (PARTITION BY userId ORDER BY rating DESC, movieId) AS r FROM {src}
+    WHERE userId NOT IN (SELECT userId FROM {src} WHERE rating >= {threshold})) t WHERE r <= 5)"""
+
+
+def cf_scores_sql(hist: str, liked: str, sim: str, name: str, neighbors: int | None,
+                  weighted: bool) -> str:
+    """Unseen positive CF scores -> ``name(userId, movieId, score)``."""
+    contrib = "s.sim * (l.rating / 5.0)" if weighted else "s.sim"
+    nb = f"AND s.rank <= {neighbors}" if neighbors else ""
+    return f"""
+{name}_all AS (SELECT l.userId, s.neighborId AS movieId, sum({contrib}) AS score
+               FROM {liked} l JOIN {sim} s ON s.movieId = l.movieId {nb} GROUP BY 1, 2),
+{name} AS (SELECT * FROM {name}_all x WHERE score > 0 AND NOT EXISTS (
+             SELECT 1 FROM {hist} h WHERE h.userId = x.userId AND h.movieId = x.movieId))"""
+
+
+def top_k_sql(src: str, k: int, score: str = "score") -> str:
+    return f"""SELECT userId, movieId, round({score}, 6) AS {score}, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY userId ORDER BY round({score}, 8) DESC, movieId) AS rank
+  FROM {src}) t WHERE rank <= {k}"""
