@@ -199,3 +199,110 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, top_k: int
             .withColumn("sim_r", F.round("sim", RANK_DIGITS)))
     return sims.select(F.col("a").alias("i"), F.col("b").alias("j"), "sim", "sim_r").unionByName(
         sims.select(F.col("b").alias("i"), F.col("a").alias("j"), "sim", "sim_r"))
+
+
+# --- left x right scoring with per-row top-N (profiles x catalog) -----------
+
+USER_BLOCK = 2048         # users per scoring tile
+ITEM_BLOCK = 4096         # items per scoring tile
+SCORE_SCHEMA = "u long, i long, score double, score_r double"
+
+
+def _accumulate(ka, ca, va, kb, cb, vb, na: int, nb: int) -> np.ndarray:
+    """``acc[a, b] = sum over shared keys k of va * vb`` (sparse x sparse, bounded chunks)."""
+    keys = np.unique(np.concatenate([ka, kb]))
+    ia = np.searchsorted(keys, ka)
+    ib = np.searchsorted(keys, kb)
+    cnt_b = np.bincount(ib, minlength=len(keys))
+    order_a = np.argsort(ia, kind="stable")
+    order_b = np.argsort(ib, kind="stable")
+    start_b = np.cumsum(cnt_b) - cnt_b
+    acc = np.zeros(na * nb, dtype=np.float64)
+    reps_all = cnt_b[ia[order_a]]
+    cum = np.cumsum(reps_all)
+    begin = 0
+    while begin < len(order_a):
+        base = cum[begin - 1] if begin else 0
+        end = max(int(np.searchsorted(cum, base + PAIR_CHUNK, side="right")), begin + 1)
+        sel = order_a[begin:end]
+        reps = reps_all[begin:end]
+        total = int(reps.sum())
+        if total:
+            a_idx = np.repeat(sel, reps)
+            within = np.arange(total) - np.repeat(np.cumsum(reps) - reps, reps)
+            b_idx = order_b[np.repeat(start_b[ia[sel]], reps) + within]
+            code = ca[a_idx].astype(np.int64) * nb + cb[b_idx]
+            acc += np.bincount(code, weights=va[a_idx] * vb[b_idx], minlength=na * nb)
+        begin = end
+    return acc.reshape(na, nb)
+
+
+def _score_tile(n: int):
+    """Cosine of each left row (user) with each right row (item); seen excluded; top-N per user."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        side = pdf["side"].to_numpy()
+        left, right, seen = pdf[side == 0], pdf[side == 1], pdf[side == 2]
+        if left.empty or right.empty:
+            return pd.DataFrame({"u": [], "i": [], "score": [], "score_r": []})
+        users, ua = np.unique(left["a"].to_numpy(), return_inverse=True)
+        items, ia = np.unique(right["a"].to_numpy(), return_inverse=True)
+        unorm = np.zeros(len(users))
+        unorm[ua] = left["nrm"].to_numpy()
+        inorm = np.zeros(len(items))
+        inorm[ia] = right["nrm"].to_numpy()
+        acc = _accumulate(left["t"].to_numpy(), ua, left["v"].to_numpy(dtype=np.float64),
+                          right["t"].to_numpy(), ia, right["v"].to_numpy(dtype=np.float64),
+                          len(users), len(items))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            score = acc / np.outer(unorm, inorm)
+        score[~np.isfinite(score)] = 0.0
+        if not seen.empty:
+            su = np.searchsorted(users, seen["a"].to_numpy())
+            si = np.searchsorted(items, seen["b"].to_numpy())
+            ok = (su < len(users)) & (si < len(items))
+            ok &= (users[np.minimum(su, len(users) - 1)] == seen["a"].to_numpy())
+            ok &= (items[np.minimum(si, len(items) - 1)] == seen["b"].to_numpy())
+            score[su[ok], si[ok]] = 0.0
+        keep = _top_mask(score, n)
+        r, c = np.nonzero(keep)
+        s = score[r, c]
+        return pd.DataFrame({"u": users[r].astype(np.int64), "i": items[c].astype(np.int64),
+                             "score": s, "score_r": np.round(s, RANK_DIGITS)})
+    return run
+
+
+def score_top_n(left: DataFrame, right: DataFrame, seen: DataFrame, n: int) -> DataFrame:
+    """Top-``n`` positive cosine scores per user among unseen items.
+
+    ``left(u, t, w, unorm)``: sparse user vectors; ``right(i, t, x, inorm)``:
+    sparse item vectors; ``seen(u, i)``: pairs to exclude.  Tiles are
+    (user block, item block): user rows are copied to every item block and
+    item rows to every user block, seen pairs go to one tile.  Each tile keeps
+    a tie-inclusive top-``n`` per user, so only ``n`` rows per user and item
+    block leave the task; the caller ranks the union exactly.  A user's vector
+    is bounded by the vocabulary, so heavy users do not grow a tile.
+    """
+    sizes = (left.agg(F.approx_count_distinct("u").alias("nu")).first()["nu"] or 0,
+             right.agg(F.approx_count_distinct("i").alias("ni")).first()["ni"] or 0)
+    par = left.sparkSession.sparkContext.defaultParallelism
+    n_ib = max(1, math.ceil(sizes[1] / ITEM_BLOCK))
+    n_ub = max(1, math.ceil(sizes[0] / USER_BLOCK), math.ceil(2 * par / n_ib))
+    n_ub = min(n_ub, max(1, sizes[0]))
+    seq = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
+    ub = lambda c: F.pmod(F.xxhash64(c), F.lit(n_ub))
+    ib = lambda c: F.pmod(F.xxhash64(c), F.lit(n_ib))
+    cols = ["ub", "ib", "side", "t", "a", "b", "v", "nrm"]
+    lrows = left.select(ub("u").alias("ub"), seq(n_ib).alias("ib"), F.lit(0).alias("side"),
+                        F.col("t").cast("string").alias("t"), F.col("u").cast("long").alias("a"),
+                        F.lit(None).cast("long").alias("b"), F.col("w").cast("double").alias("v"),
+                        F.col("unorm").cast("double").alias("nrm"))
+    rrows = right.select(seq(n_ub).alias("ub"), ib("i").alias("ib"), F.lit(1).alias("side"),
+                         F.col("t").cast("string").alias("t"), F.col("i").cast("long").alias("a"),
+                         F.lit(None).cast("long").alias("b"), F.col("x").cast("double").alias("v"),
+                         F.col("inorm").cast("double").alias("nrm"))
+    srows = seen.select(ub("u").alias("ub"), ib("i").alias("ib"), F.lit(2).alias("side"),
+                        F.lit(None).cast("string").alias("t"), F.col("u").cast("long").alias("a"),
+                        F.col("i").cast("long").alias("b"), F.lit(None).cast("double").alias("v"),
+                        F.lit(None).cast("double").alias("nrm"))
+    allrows = lrows.select(*cols).unionByName(rrows.select(*cols)).unionByName(srows.select(*cols))
+    return allrows.groupBy("ub", "ib").applyInPandas(_score_tile(n), SCORE_SCHEMA)

@@ -75,13 +75,14 @@ def core_sql(min_user: int = 20, min_movie: int = 20) -> str:
             ",\ncore AS (SELECT userId, movieId, rating, ts FROM af10)")
 
 
-def sim_sql(src: str, name: str, k: int | None) -> str:
-    """Item cosine over ratings CTE ``src`` -> ``name(movieId, neighborId, sim, rank)``."""
+def sim_sql(src: str, name: str, k: int | None, row: str = "userId", col: str = "movieId",
+            val: str = "rating") -> str:
+    """Column cosine over CTE ``src`` -> ``name(movieId, neighborId, sim, rank)``."""
     lim = f"WHERE rank <= {k}" if k else ""
     return f"""
-{name}_d AS (SELECT a.movieId AS i, b.movieId AS j, sum(a.rating * b.rating) AS dot
-             FROM {src} a JOIN {src} b ON a.userId = b.userId AND a.movieId <> b.movieId GROUP BY 1, 2),
-{name}_n AS (SELECT movieId, sqrt(sum(rating * rating)) AS nn FROM {src} GROUP BY 1),
+{name}_d AS (SELECT a.{col} AS i, b.{col} AS j, sum(a.{val} * b.{val}) AS dot
+             FROM {src} a JOIN {src} b ON a.{row} = b.{row} AND a.{col} <> b.{col} GROUP BY 1, 2),
+{name}_n AS (SELECT {col} AS movieId, sqrt(sum({val} * {val})) AS nn FROM {src} GROUP BY 1),
 {name}_s AS (SELECT i, j, dot / (n1.nn * n2.nn) AS sim FROM {name}_d
              JOIN {name}_n n1 ON n1.movieId = i JOIN {name}_n n2 ON n2.movieId = j),
 {name} AS (SELECT i AS movieId, j AS neighborId, sim, rank FROM (
@@ -127,3 +128,47 @@ def top_k_sql(src: str, k: int, score: str = "score") -> str:
     return f"""SELECT userId, movieId, round({score}, 6) AS {score}, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY userId ORDER BY round({score}, 8) DESC, movieId) AS rank
   FROM {src}) t WHERE rank <= {k}"""
+
+
+MOVIES_CLEAN = MOVIES + """,
+mc AS (SELECT movieId, title, genres,
+  array_to_string(list_filter(string_split(coalesce(genres, '(no genres listed)'), '|'),
+                  lambda g: g <> '' AND g <> '(no genres listed)'), ' ') AS genres_text,
+  list_filter(string_split(coalesce(genres, '(no genres listed)'), '|'),
+              lambda g: g <> '' AND g <> '(no genres listed)') AS genres_list
+  FROM movies)"""
+
+STRIP = r"'^\s+|\s+$', '', 'g'"
+
+FEATURES = MOVIES + rf""",
+feat0 AS (SELECT movieId, regexp_replace(coalesce(title, ''), {STRIP}) AS title, genres FROM movies
+          WHERE movieId IS NOT NULL),
+feat1 AS (SELECT movieId, title, genres,
+  regexp_replace(lower(regexp_replace(title, '\s*\(\d{{4}}\)\s*$', '')), {STRIP}) AS clean_title,
+  regexp_replace(lower(replace(replace(coalesce(genres, ''), '(no genres listed)', ''), '|', ' ')), {STRIP})
+    AS genres_text
+  FROM feat0),
+feat AS (SELECT * FROM (SELECT *, regexp_replace(regexp_replace(concat_ws(' ', clean_title, genres_text,
+  genres_text), '\s+', ' ', 'g'), {STRIP}) AS feature_text FROM feat1) t WHERE length(feature_text) > 0)"""
+
+
+def tfidf_sql(docs_sql: str, min_df: int = 2, max_features: int = 30000) -> str:
+    """CTEs from ``docs(doc, feature_text)`` to ``weights(movieId, term, weight)``."""
+    from sparkrec.functions import stopwords
+
+    stop = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in stopwords.english()) + "]"
+    return rf"""
+docs AS ({docs_sql}),
+tok AS (SELECT doc, list_filter(regexp_extract_all(lower(feature_text), '[\p{{L}}\p{{N}}_]{{2,}}'),
+                                lambda t: NOT list_contains({stop}, t)) AS toks FROM docs),
+terms AS (SELECT doc, unnest(CASE WHEN len(toks) >= 2 THEN list_concat(toks,
+            list_transform(range(1, len(toks)), lambda i: toks[i] || ' ' || toks[i + 1])) ELSE toks END) AS term
+          FROM tok),
+tf AS (SELECT doc, term, count(*) AS tf FROM terms GROUP BY 1, 2),
+nd AS (SELECT count(*) AS n FROM docs),
+vocab AS (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1 HAVING count(*) >= {min_df}
+          ORDER BY total DESC, term LIMIT {max_features}),
+idf AS (SELECT term, df, total, ln((1 + n) / (1 + df)) + 1 AS idf FROM vocab, nd),
+tw AS (SELECT doc, term, tf * idf AS raw FROM tf JOIN idf USING (term)),
+tn AS (SELECT doc, sqrt(sum(raw * raw)) AS nn FROM tw GROUP BY 1),
+weights AS (SELECT doc AS movieId, term, raw / nn AS weight FROM tw JOIN tn USING (doc))"""
