@@ -105,8 +105,9 @@ def alpha_sweep(train, test, users, sim, weights, alphas=(0.5, 0.6, 0.7, 0.8, 0.
 
 def best_alpha(summary: DataFrame, k: int = 10) -> DataFrame:
     """T4/T5 (D12): best by precision, recall, hit rate (desc), then alpha asc."""
-    return summary.orderBy(F.col(f"precision_at_{k}").desc(), F.col(f"recall_at_{k}").desc(),
-                           F.col(f"hit_rate_at_{k}").desc(), F.col("alpha").asc()).limit(1)
+    r = lambda c: F.round(F.col(c), 8).desc()  # noqa: E731 - means compared at 8 dp (float-order noise)
+    return summary.orderBy(r(f"precision_at_{k}"), r(f"recall_at_{k}"), r(f"hit_rate_at_{k}"),
+                           F.col("alpha").asc()).limit(1)
 
 
 def compare_models(summaries: list[DataFrame]) -> DataFrame:
@@ -139,27 +140,59 @@ def leakage(recs: DataFrame, history: DataFrame) -> DataFrame:
                                                  ["userId", "movieId"], "left_semi")
 
 
-def leave_last_out_eval(ratings: DataFrame, sample: int | None = 200, k: int = 10,
-                        min_rating: float = 4.0, seed: int = 42, top_k_sim: int = 100
-                        ) -> tuple[DataFrame, DataFrame]:
-    """Leave-last-out split, R4/R6 on the full train, HR/NDCG on a sample.
+def _leave_last_out_scores(ratings: DataFrame, sample: int | None, k: int, min_rating: float, seed: int,
+                           top_k_sim: int):
+    """E9-E11 core: per sampled user ``(userId, draw_rank, status, hit, ndcg)``."""
+    from pyspark.sql import Window
 
-    Eligible users: their held-out movie is in the train catalog.  ``sample``
-    users are drawn by the md5 key (``None`` or 0 = everyone).  Users that R6
-    cannot serve (unknown / no liked / no candidates) count as cold start.
-    Returns (per-user hit/ndcg, summary).
-    """
     train, test = split.leave_last_out(ratings)
     sim = similarity.item_similarity(train, top_k_sim)
     eligible = test.join(train.select("movieId").distinct(), "movieId", "left_semi").select("userId").distinct()
     users = eligible.select("userId", draw_key(seed).alias("draw"))
     if sample:
         users = users.orderBy("draw").limit(sample)
+        # the sample is bounded by ``sample`` rows, so one ordered window is fine here
+        users = users.withColumn("draw_rank", F.row_number().over(Window.orderBy("draw")))
+    else:
+        users = users.withColumn("draw_rank", F.lit(None).cast("int"))
     status = cf.recommend_status(train, sim, users, min_rating)
     ok = status.filter(F.col("status") == "ok").select("userId")
     recs = cf.recommend(train, sim, ok, k, min_rating)
     t = test.join(ok, "userId", "left_semi").select("userId", "movieId")
     scores = metrics.hit_and_ndcg(recs, t, k)
-    totals = status.agg(F.count(F.lit(1)).alias("n_total"), F.lit(0).cast("long").alias("n_missing_truth"),
-                        F.count_if(F.col("status") != "ok").alias("n_cold_start"))
-    return scores, metrics.summarize_hits(scores, totals)
+    return (users.join(status.select("userId", "status"), "userId")
+            .join(scores, "userId", "left").select("userId", "draw_rank", "status", "hit", "ndcg"))
+
+
+def _hit_summary(rows: DataFrame) -> DataFrame:
+    ev = F.col("status") == "ok"
+    return rows.agg(
+        F.count_if(ev).alias("users_evaluated"),
+        F.coalesce(F.avg(F.when(ev, F.col("hit"))), F.lit(0.0)).alias("HR_at_10"),
+        F.coalesce(F.avg(F.when(ev, F.col("ndcg"))), F.lit(0.0)).alias("NDCG_at_10"),
+        (F.count_if(ev & (F.col("hit") > 0)) / F.count(F.lit(1))).alias("HR_at_10_all"),
+        (F.coalesce(F.sum(F.when(ev, F.col("ndcg"))), F.lit(0.0)) / F.count(F.lit(1))).alias("NDCG_at_10_all"),
+        F.lit(0).cast("long").alias("n_missing_truth"),
+        F.count_if(~ev).alias("n_cold_start"))
+
+
+def leave_last_out_eval(ratings: DataFrame, sample: int | None = 200, k: int = 10,
+                        min_rating: float = 4.0, seed: int = 42, top_k_sim: int = 100) -> DataFrame:
+    """Leave-last-out split, R4/R6 on the full train, HR/NDCG on a sample.
+
+    Eligible users: their held-out movie is in the train catalog; ``sample``
+    users are drawn by the md5 key (``None``/0 = everyone).  Users that R6
+    cannot serve (unknown / no liked / no candidates) count as cold start and
+    stay in the ``_all`` denominators (A11/A12).
+    """
+    return _hit_summary(_leave_last_out_scores(ratings, sample, k, min_rating, seed, top_k_sim))
+
+
+def sample_sweep(ratings: DataFrame, sizes=(50, 100, 200), k: int = 10, min_rating: float = 4.0,
+                 seed: int = 42) -> DataFrame:
+    """The draw order is nested, so the largest sample is scored once and
+    each smaller size is a prefix of it."""
+    rows = _leave_last_out_scores(ratings, max(sizes), k, min_rating, seed, 100)
+    parts = [_hit_summary(rows.filter(F.col("draw_rank") <= n)).select(F.lit(n).alias("sample_size"), "*")
+             for n in sizes]
+    return reduce(lambda a, b: a.unionByName(b), parts)
