@@ -71,15 +71,6 @@ def _one_pass(df: DataFrame, min_user: int, min_movie: int) -> DataFrame:
     return df.join(users_ok, "userId", "left_semi").select(*df.columns)
 
 
-def unrolled_activity_filter(ratings: DataFrame, min_user: int, min_movie: int,
-                             passes: int) -> DataFrame:
-    """A fixed number of filter passes as one lazy plan (no driver actions)."""
-    out = ratings
-    for _ in range(passes):
-        out = _one_pass(out, min_user, min_movie)
-    return out
-
-
 def activity_filter(ratings: DataFrame, min_user: int = 20, min_movie: int = 50,
                     max_iter: int = 10, warn: bool = True) -> FilterResult:
     """Alternate movie >= min_movie and user >= min_user filters to a fixpoint.
@@ -88,16 +79,14 @@ def activity_filter(ratings: DataFrame, min_user: int = 20, min_movie: int = 50,
     lineage with a reliable checkpoint, and its row count (one scalar) decides
     whether to stop.  ``converged`` is computed after each pass (D9).
     """
-    out = ratings.select(*RATING_COLS)
-    prev = None
+    out = cut_lineage(ratings.select(*RATING_COLS))
+    prev = out.count()
     passes = 0
     converged = False
     for _ in range(max_iter):
         nxt = cut_lineage(_one_pass(out, min_user, min_movie))
         n = nxt.count()
         passes += 1
-        if prev is None:
-            prev = out.count()
         converged = n == prev
         out, prev = nxt, n
         if converged:

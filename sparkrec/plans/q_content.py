@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkrec.operators import clean, content, profile, split, tfidf
+from sparkrec.plans import common
 from sparkrec.plans import oracle as O
 from sparkrec.plans.common import core_ratings, movies, r6
 from sparkrec.plans.registry import query
@@ -91,7 +92,11 @@ def q_feature_text(spark, sf):
 
 
 def movie_tfidf(spark, sf):
-    return tfidf.tfidf(tfidf.prepare_features(movies(spark, sf)))
+    """(weights, vocabulary) of the fixture movies, built and checkpointed once per session."""
+    from sparkrec.session import cut_lineage
+
+    return common.built(spark, ("tfidf", sf), lambda: tuple(
+        cut_lineage(x) for x in tfidf.tfidf(tfidf.prepare_features(movies(spark, sf)))))
 
 
 @query("tfidf_parts", O.with_(O.FEATURES, O.tfidf_sql("SELECT movieId AS doc, feature_text FROM feat")) + """
@@ -126,7 +131,7 @@ def q_similar_items_tfidf(spark, sf):
 
 
 def train(spark, sf):
-    return split.time_split(core_ratings(spark, sf, 20, 20), 0.2, 1)[0]
+    return common.time_split(spark, sf)[0]
 
 
 PROFILE_SQL = """,

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkrec.operators import cf, evaluate, similarity, split
+from sparkrec.plans import common
 from sparkrec.plans import oracle as O
 from sparkrec.plans.common import core_ratings, r6
 from sparkrec.plans.q_blend import PROFILE_FOR, hybrid_sql
@@ -121,7 +122,7 @@ FULL_BASE = CONTENT_BASE
 
 
 def inputs(spark, sf):
-    train, test = split.time_split(core_ratings(spark, sf, 20, 20), 0.2, 1)
+    train, test = common.time_split(spark, sf)
     users = evaluate.select_users(train, test, 100, 42, 4.0)
     return train, test, users
 
@@ -259,7 +260,7 @@ def q_recall_summary(spark, sf):
 rec AS (""" + O.top_k_sql("sc", 10) + """)
 SELECT count(*) AS n_leaks FROM rec JOIN train USING (userId, movieId)""")
 def q_leakage_check(spark, sf):
-    train, _ = split.time_split(core_ratings(spark, sf, 20, 20), 0.2, 1)
+    train, _ = common.time_split(spark, sf)
     sim = similarity.item_similarity(train, 100)
     recs = cf.recommend(train, sim, k=10, neighbors=30, weighted=True, fallback=True)
     return evaluate.leakage(recs, train).agg(F.count(F.lit(1)).alias("n_leaks"))

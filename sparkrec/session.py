@@ -50,6 +50,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local checkpoint."""
+    """Reliable checkpoint (survives executor loss); never a local checkpoint.
+
+    The frame is persisted first so the checkpoint's count job and its write
+    job share one computation; the cache is dropped once the files exist.
+    """
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
