@@ -40,11 +40,13 @@ def main() -> None:
     common.time_split(spark, sf_dir)
     movie_tfidf(spark, sf_dir)
     times["prepare"] = round(time.time() - t0, 3)
+    print(f"[bench] prepare: {times['prepare']}s", file=sys.stderr, flush=True)
 
     for name in names:
         t = time.time()
         registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t, 3)
+        print(f"[bench] {name}: {times[name]}s", file=sys.stderr, flush=True)
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",

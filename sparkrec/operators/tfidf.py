@@ -43,16 +43,20 @@ def prepare_features(movies: DataFrame) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, doc: str = "movieId", text_col: str = "feature_text") -> DataFrame:
-    """Raw counts ``(doc, term, tf)`` of unigrams and bigrams over whole texts."""
-    stop = F.array(*[F.lit(w) for w in stopwords.english()])
-    toks = F.filter(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN), 0),
-                    lambda t: ~F.array_contains(stop, t))
-    d = docs.select(F.col(doc).alias("doc"), toks.alias("toks"))
-    n = F.size("toks")
-    bigrams = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-                          lambda i: F.concat_ws(" ", F.element_at("toks", i), F.element_at("toks", i + 1)))
-    bigrams = F.when(n >= 2, bigrams).otherwise(F.array().cast("array<string>"))
-    terms = d.select("doc", F.explode(F.concat("toks", bigrams)).alias("term"))
+    """Raw counts ``(doc, term, tf)`` of unigrams and bigrams over whole texts.
+
+    Tokenising is a JVM regex; stop words go through Spark ML's
+    ``StopWordsRemover`` (a hash-set lookup) and bigrams through ``NGram``,
+    both JVM-side transformers on array columns -- no Python per row.
+    """
+    from pyspark.ml.feature import NGram, StopWordsRemover
+
+    toks = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN), 0)
+    d = docs.select(F.col(doc).alias("doc"), toks.alias("raw"))
+    d = StopWordsRemover(inputCol="raw", outputCol="toks", stopWords=list(stopwords.english()),
+                         caseSensitive=True).transform(d)
+    d = NGram(n=2, inputCol="toks", outputCol="bigrams").transform(d)
+    terms = d.select("doc", F.explode(F.concat("toks", "bigrams")).alias("term"))
     return terms.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

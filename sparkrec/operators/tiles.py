@@ -48,42 +48,14 @@ def _block_product(pdf: pd.DataFrame):
     v = pdf["v"].to_numpy(dtype=np.float64)
     ma = blk == lo
     mb = blk == hi
-    ra, ca_key, va = r[ma], c[ma], v[ma]
-    rb, cb_key, vb = r[mb], c[mb], v[mb]
-    cols_a, ca = np.unique(ca_key, return_inverse=True)
-    cols_b, cb = np.unique(cb_key, return_inverse=True)
-    rows = np.unique(np.concatenate([ra, rb]))
-    ia = np.searchsorted(rows, ra)
-    ib = np.searchsorted(rows, rb)
-    n_rows, na, nb = len(rows), len(cols_a), len(cols_b)
-    cnt_a = np.bincount(ia, minlength=n_rows)
-    cnt_b = np.bincount(ib, minlength=n_rows)
-    order_a = np.argsort(ia, kind="stable")
-    order_b = np.argsort(ib, kind="stable")
-    start_b = np.cumsum(cnt_b) - cnt_b
-    acc = np.zeros(na * nb, dtype=np.float64)
-    # walk the A entries (grouped by row) in chunks of bounded pair count
-    reps_all = cnt_b[ia[order_a]]
-    cum = np.cumsum(reps_all)
-    begin = 0
-    while begin < len(order_a):
-        base = cum[begin - 1] if begin else 0
-        end = int(np.searchsorted(cum, base + PAIR_CHUNK, side="right"))
-        end = max(end, begin + 1)
-        sel = order_a[begin:end]
-        reps = reps_all[begin:end]
-        total = int(reps.sum())
-        if total:
-            a_idx = np.repeat(sel, reps)
-            within = np.arange(total) - np.repeat(np.cumsum(reps) - reps, reps)
-            b_pos = np.repeat(start_b[ia[sel]], reps) + within
-            b_idx = order_b[b_pos]
-            code = ca[a_idx].astype(np.int64) * nb + cb[b_idx]
-            acc += np.bincount(code, weights=va[a_idx] * vb[b_idx], minlength=na * nb)
-        begin = end
-    norm_a = np.sqrt(np.bincount(ca, weights=va * va, minlength=na))
-    norm_b = np.sqrt(np.bincount(cb, weights=vb * vb, minlength=nb))
-    return lo, hi, cols_a, cols_b, acc.reshape(na, nb), norm_a, norm_b
+    ra, va = r[ma], v[ma]
+    rb, vb = r[mb], v[mb]
+    cols_a, ca = np.unique(c[ma], return_inverse=True)
+    cols_b, cb = np.unique(c[mb], return_inverse=True)
+    acc = _accumulate(ra, ca, va, rb, cb, vb, len(cols_a), len(cols_b))
+    norm_a = np.sqrt(np.bincount(ca, weights=va * va, minlength=len(cols_a)))
+    norm_b = np.sqrt(np.bincount(cb, weights=vb * vb, minlength=len(cols_b)))
+    return lo, hi, cols_a, cols_b, acc, norm_a, norm_b
 
 
 def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -208,12 +180,33 @@ ITEM_BLOCK = 4096         # items per scoring tile
 SCORE_SCHEMA = "u long, i long, score double, score_r double"
 
 
+DENSE_RATIO = 64          # a BLAS multiply-add is ~this much cheaper than one enumerated pair
+DENSE_MAX_CELLS = 20_000_000  # cells of the two dense operands at most (doubles)
+
+
 def _accumulate(ka, ca, va, kb, cb, vb, na: int, nb: int) -> np.ndarray:
-    """``acc[a, b] = sum over shared keys k of va * vb`` (sparse x sparse, bounded chunks)."""
+    """``acc[a, b] = sum over shared keys k of va * vb`` as an ``(na, nb)`` array.
+
+    Two exact strategies, chosen per tile by cost: a dense ``A @ B`` over the
+    tile's keys when the operands are small and dense enough (BLAS), else a
+    sparse product that enumerates co-occurring entries key by key in chunks
+    of bounded size and sums them with ``bincount``.
+    """
     keys = np.unique(np.concatenate([ka, kb]))
     ia = np.searchsorted(keys, ka)
     ib = np.searchsorted(keys, kb)
-    cnt_b = np.bincount(ib, minlength=len(keys))
+    n_keys = len(keys)
+    cnt_a = np.bincount(ia, minlength=n_keys)
+    cnt_b = np.bincount(ib, minlength=n_keys)
+    pairs = int((cnt_a.astype(np.int64) * cnt_b).sum())
+    if pairs == 0:
+        return np.zeros((na, nb))
+    if na * nb * n_keys <= DENSE_RATIO * pairs and (na + nb) * n_keys <= DENSE_MAX_CELLS:
+        a = np.zeros((na, n_keys))
+        np.add.at(a, (ca, ia), va)
+        b = np.zeros((n_keys, nb))
+        np.add.at(b, (ib, cb), vb)
+        return a @ b
     order_a = np.argsort(ia, kind="stable")
     order_b = np.argsort(ib, kind="stable")
     start_b = np.cumsum(cnt_b) - cnt_b

@@ -52,3 +52,21 @@ def time_split(spark: SparkSession, sf_dir: str):
     from sparkrec.operators import split
 
     return built(spark, ("split", sf_dir), lambda: split.time_split(core_ratings(spark, sf_dir), 0.2, 1))
+
+
+def core_similarity(spark: SparkSession, sf_dir: str, k: int = 100) -> DataFrame:
+    """Top-``k`` item similarity of the core ratings, built once (the CF model artifact)."""
+    from sparkrec.operators import similarity
+    from sparkrec.session import cut_lineage
+
+    return built(spark, ("coresim", sf_dir, k),
+                 lambda: cut_lineage(similarity.item_similarity(core_ratings(spark, sf_dir), k)))
+
+
+def train_similarity(spark: SparkSession, sf_dir: str, k: int = 100) -> DataFrame:
+    """Top-``k`` item similarity of the time-split train ratings, built once."""
+    from sparkrec.operators import similarity
+    from sparkrec.session import cut_lineage
+
+    return built(spark, ("trainsim", sf_dir, k),
+                 lambda: cut_lineage(similarity.item_similarity(time_split(spark, sf_dir)[0], k)))

@@ -163,7 +163,7 @@ SELECT count(DISTINCT movieId) AS n_movies, count(DISTINCT userId) AS n_users, c
   CAST(0.2 AS DOUBLE) AS test_ratio, CAST(4 AS DOUBLE) AS positive_threshold FROM train""")
 def q_model_metadata(spark, sf):
     train, test = common.time_split(spark, sf)
-    sim = similarity.item_similarity(train, 100)
+    sim = common.train_similarity(spark, sf)
     return model_store.knn_cf_metadata(train, test, sim, 0.2, 4.0)
 
 
@@ -186,7 +186,7 @@ def q_catalog_fingerprint(spark, sf):
 def q_model_roundtrip(spark, sf):
     """S9 + S10: write the CF model tables to the shared checkpoint folder, load and verify them."""
     c = core_ratings(spark, sf)
-    sim = similarity.item_similarity(c, 100)
+    sim = common.core_similarity(spark, sf)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sparkrec-models/{uuid.uuid4().hex}"
     model_store.save_cf_model(c, sim, path)
     tables = model_store.load_cf_model(spark, path, expected_n_ratings=c.count())

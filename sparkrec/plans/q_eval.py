@@ -151,7 +151,7 @@ def popular_eval(spark, sf):
 
 def cf_eval(spark, sf):
     train, test, users = inputs(spark, sf)
-    sim = similarity.item_similarity(train, 100)
+    sim = common.train_similarity(spark, sf)
     return evaluate.evaluate_cf(train, test, users, sim, 10, 30, 4.0)
 
 
@@ -163,7 +163,7 @@ def content_eval(spark, sf):
 
 def sweep(spark, sf):
     train, test, users = inputs(spark, sf)
-    sim = similarity.item_similarity(train, 100)
+    sim = common.train_similarity(spark, sf)
     w, _ = movie_tfidf(spark, sf)
     return evaluate.alpha_sweep(train, test, users, sim, w, ALPHAS, 10, 50, 4.0, 500)
 
@@ -206,7 +206,7 @@ def q_best_alpha(spark, sf):
 
 def comparison(spark, sf):
     train, test, users = inputs(spark, sf)
-    sim = similarity.item_similarity(train, 100)
+    sim = common.train_similarity(spark, sf)
     w, _ = movie_tfidf(spark, sf)
     pop = evaluate.evaluate_popular(train, test, users)[1]
     cfs = evaluate.evaluate_cf(train, test, users, sim, 10, 30)[1]
@@ -261,7 +261,7 @@ rec AS (""" + O.top_k_sql("sc", 10) + """)
 SELECT count(*) AS n_leaks FROM rec JOIN train USING (userId, movieId)""")
 def q_leakage_check(spark, sf):
     train, _ = common.time_split(spark, sf)
-    sim = similarity.item_similarity(train, 100)
+    sim = common.train_similarity(spark, sf)
     recs = cf.recommend(train, sim, k=10, neighbors=30, weighted=True, fallback=True)
     return evaluate.leakage(recs, train).agg(F.count(F.lit(1)).alias("n_leaks"))
 

@@ -26,8 +26,8 @@ def test_entry_runs(spark):
 def _norm(df):
     df = df[sorted(df.columns)].copy()
     for c in df.columns:
-        if df[c].dtype.kind == "f":
-            df[c] = df[c].round(5)
+        if pd.api.types.is_numeric_dtype(df[c]) and not pd.api.types.is_bool_dtype(df[c]):
+            df[c] = df[c].astype("float64").round(5)
     df = df.astype(str)
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
