@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from sparkrec.jobs._common import inputs, parser, session
 from sparkrec.operators import similarity, split
+from sparkrec.schemas import guard_ratings
 from sparkrec.sources import io, model_store
 
 
 def run(ratings, out: str, test_ratio=0.2, min_test=1, top_k=100, threshold=4.0) -> None:
+    guard_ratings(ratings)
     train, test = split.time_split(ratings, test_ratio, min_test)
     io.write_parquet(train, f"{out}/rating_cf_train.parquet")
     io.write_parquet(test, f"{out}/rating_cf_test.parquet")

@@ -79,7 +79,7 @@ def activity_filter(ratings: DataFrame, min_user: int = 20, min_movie: int = 50,
     lineage with a reliable checkpoint, and its row count (one scalar) decides
     whether to stop.  ``converged`` is computed after each pass (D9).
     """
-    out = cut_lineage(ratings.select(*RATING_COLS))
+    out = ratings.select(*RATING_COLS)   # callers pass a built (checkpointed) table
     prev = out.count()
     passes = 0
     converged = False

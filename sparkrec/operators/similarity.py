@@ -25,6 +25,30 @@ def top_neighbours(sims: DataFrame, k: int | None, item: str = "movieId",
     return ranked.select(item, neighbour, "sim", "rank")
 
 
+def utility_matrix(ratings: DataFrame, check: bool = True) -> DataFrame:
+    """The long-form user x movie matrix ``(userId, movieId, rating)``.
+
+    A sparse constructor would silently sum duplicate (user, movie) pairs;
+    here duplicates, empty input and null/NaN values are rejected (one
+    aggregate) -- run the latest-wins dedup first.
+    """
+    from sparkrec.schemas import guard_ratings
+
+    m = ratings.select("userId", "movieId", F.col("rating").cast("double").alias("rating"))
+    if check:
+        guard_ratings(m)
+        dup = m.groupBy("userId", "movieId").count().filter("count > 1").limit(1).count()
+        if dup:
+            raise ValueError("ratings hold duplicate (userId, movieId) pairs; deduplicate first")
+    return m
+
+
+def build_cf_model(ratings: DataFrame, top_k: int = 100) -> dict[str, DataFrame]:
+    """Utility matrix + top-k item similarity (persist with ``model_store.save_cf_model``)."""
+    m = utility_matrix(ratings)
+    return {"interactions": m, "similarity": item_similarity(m, top_k)}
+
+
 def item_similarity(ratings: DataFrame, top_k: int | None = 100) -> DataFrame:
     """Cosine over raw ratings (missing = 0), self excluded, top ``top_k`` per item.
 

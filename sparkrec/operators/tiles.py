@@ -68,12 +68,22 @@ def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _top_mask(sim: np.ndarray, k: int) -> np.ndarray:
-    """Per row: every positive entry >= the row's k-th best (ties kept, so a superset)."""
+    """Per row: the ``k`` best positive entries under (score rounded to 8 dp desc, column asc).
+
+    Columns of a tile are sorted by id, so this is exactly the global order
+    (score, then id): the union of per-tile results contains every row's
+    global top-``k``, and exactly ``k`` entries per row leave the tile.
+    """
+    pos = sim > 0
     if sim.shape[1] <= k:
-        return sim > 0
-    r = np.round(sim, 8)
+        return pos
+    r = np.where(pos, np.round(sim, RANK_DIGITS), -np.inf)
     kth = -np.partition(-r, k - 1, axis=1)[:, k - 1]
-    return (r >= kth[:, None]) & (sim > 0)
+    greater = r > kth[:, None]
+    equal = r == kth[:, None]
+    need = k - greater.sum(axis=1)
+    keep = greater | (equal & (np.cumsum(equal, axis=1) <= need[:, None]))
+    return keep & pos
 
 
 def _tile_cosine_topk(k: int | None):
@@ -133,7 +143,10 @@ def _tiles(entries: DataFrame, row: str, col: str, value: str, tile_entries: int
     tiles = fanned.select(
         "r", "c", "v", "blk", "p",
         F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
-    return tiles.groupBy("p", "lo", "hi"), p
+    # one partition per tile: an explicit count keeps AQE from packing the
+    # (few, compute-heavy) tiles into one task; the grouping reuses this layout
+    n_tiles = p * nb * (nb + 1) // 2
+    return tiles.repartition(2 * n_tiles, "p", "lo", "hi").groupBy("p", "lo", "hi"), p
 
 
 def cooccurrence(entries: DataFrame, row: str, col: str, value: str,
@@ -175,13 +188,41 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, top_k: int
 
 # --- left x right scoring with per-row top-N (profiles x catalog) -----------
 
-USER_BLOCK = 2048         # users per scoring tile
+USER_BLOCK = 1024         # users per scoring tile
 ITEM_BLOCK = 4096         # items per scoring tile
 SCORE_SCHEMA = "u long, i long, score double, score_r double"
 
 
-DENSE_RATIO = 64          # a BLAS multiply-add is ~this much cheaper than one enumerated pair
-DENSE_MAX_CELLS = 20_000_000  # cells of the two dense operands at most (doubles)
+DENSE_RATIO = 256         # a BLAS multiply-add is ~this much cheaper than one enumerated pair
+GATHER_RATIO = 8          # a gathered multiply-add (dense side x sparse side) vs one pair
+DENSE_MAX_CELLS = 20_000_000  # cells of a dense operand at most (doubles)
+GATHER_CHUNK = 4_000_000  # gathered cells materialised at once
+
+
+def _gather(ia, ca, va, ib, cb, vb, na: int, nb: int, n_keys: int) -> np.ndarray:
+    """Dense A (keys x na, row per key) times sparse B: gather A's key rows per B entry.
+
+    Work is ``na * len(B entries)`` with contiguous row gathers and a
+    ``reduceat`` per b column: no pair enumeration, no dense B.
+    """
+    at = np.zeros((n_keys, na))
+    at[ia, ca] = va
+    order = np.argsort(cb, kind="stable")
+    kb, vb_s, cb_s = ib[order], vb[order], cb[order]
+    acc_t = np.zeros((nb, na))
+    step = max(1, GATHER_CHUNK // max(na, 1))
+    begin = 0
+    n = len(kb)
+    while begin < n:
+        end = min(n, begin + step)
+        while end < n and cb_s[end] == cb_s[end - 1]:   # keep whole columns inside a chunk
+            end += 1
+        cols = cb_s[begin:end]
+        starts = np.flatnonzero(np.r_[True, cols[1:] != cols[:-1]])
+        g = at[kb[begin:end]] * vb_s[begin:end, None]
+        acc_t[cols[starts]] = np.add.reduceat(g, starts, axis=0)
+        begin = end
+    return acc_t.T
 
 
 def _accumulate(ka, ca, va, kb, cb, vb, na: int, nb: int) -> np.ndarray:
@@ -201,12 +242,20 @@ def _accumulate(ka, ca, va, kb, cb, vb, na: int, nb: int) -> np.ndarray:
     pairs = int((cnt_a.astype(np.int64) * cnt_b).sum())
     if pairs == 0:
         return np.zeros((na, nb))
-    if na * nb * n_keys <= DENSE_RATIO * pairs and (na + nb) * n_keys <= DENSE_MAX_CELLS:
+    dense = na * nb * n_keys / DENSE_RATIO if (na + nb) * n_keys <= DENSE_MAX_CELLS else np.inf
+    gather_a = na * len(kb) / GATHER_RATIO if na * n_keys <= DENSE_MAX_CELLS else np.inf
+    gather_b = nb * len(ka) / GATHER_RATIO if nb * n_keys <= DENSE_MAX_CELLS else np.inf
+    best = min(dense, gather_a, gather_b, pairs)
+    if best == dense:
         a = np.zeros((na, n_keys))
-        np.add.at(a, (ca, ia), va)
+        a[ca, ia] = va
         b = np.zeros((n_keys, nb))
-        np.add.at(b, (ib, cb), vb)
+        b[ib, cb] = vb
         return a @ b
+    if best == gather_a:
+        return _gather(ia, ca, va, ib, cb, vb, na, nb, n_keys)
+    if best == gather_b:
+        return _gather(ib, cb, vb, ia, ca, va, nb, na, n_keys).T
     order_a = np.argsort(ia, kind="stable")
     order_b = np.argsort(ib, kind="stable")
     start_b = np.cumsum(cnt_b) - cnt_b
@@ -298,4 +347,5 @@ def score_top_n(left: DataFrame, right: DataFrame, seen: DataFrame, n: int) -> D
                         F.col("i").cast("long").alias("b"), F.lit(None).cast("double").alias("v"),
                         F.lit(None).cast("double").alias("nrm"))
     allrows = lrows.select(*cols).unionByName(rrows.select(*cols)).unionByName(srows.select(*cols))
+    allrows = allrows.repartition(2 * n_ub * n_ib, "ub", "ib")   # ~one partition per tile (see _tiles)
     return allrows.groupBy("ub", "ib").applyInPandas(_score_tile(n), SCORE_SCHEMA)

@@ -17,8 +17,11 @@ def r6(c: Column | str) -> Column:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixture A after latest-wins dedup and the valid range."""
-    return clean.prepare_ratings(fixtures.ratings_raw(spark, sf_dir))
+    """Fixture A after latest-wins dedup and the valid range (W1, P8), built once per session."""
+    from sparkrec.session import cut_lineage
+
+    return built(spark, ("ratings", sf_dir),
+                 lambda: cut_lineage(clean.prepare_ratings(fixtures.ratings_raw(spark, sf_dir))))
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,3 +51,19 @@ def test_activity_filter_cap_warns(spark):
     with pytest.warns(UserWarning):
         res = clean.activity_filter(r, min_user=3, min_movie=3, max_iter=1)
     assert res.passes == 1 and not res.converged
+
+
+def test_guards(spark):
+    from sparkrec.operators import similarity
+    from sparkrec.schemas import guard_ratings, require_columns
+
+    with pytest.raises(ValueError):
+        guard_ratings(ratings_df(spark, []))
+    with pytest.raises(ValueError):
+        guard_ratings(ratings_df(spark, [(1, 1, math.nan)]))
+    with pytest.raises(ValueError):
+        require_columns(ratings_df(spark, [(1, 1, 4.0)]), ["userId", "genres"])
+    with pytest.raises(ValueError):
+        similarity.utility_matrix(ratings_df(spark, [(1, 1, 4.0, 1), (1, 1, 3.0, 2)]))
+    m = similarity.build_cf_model(ratings_df(spark, [(1, 1, 4.0), (1, 2, 3.0), (2, 1, 5.0)]))
+    assert m["similarity"].count() == 2
