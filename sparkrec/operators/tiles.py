@@ -189,7 +189,7 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, top_k: int
 # --- left x right scoring with per-row top-N (profiles x catalog) -----------
 
 USER_BLOCK = 1024         # users per scoring tile
-ITEM_BLOCK = 4096         # items per scoring tile
+ITEM_BLOCK = 8192         # items per scoring tile (each tile keeps top-N per user per block)
 SCORE_SCHEMA = "u long, i long, score double, score_r double"
 
 
