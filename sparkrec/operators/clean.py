@@ -68,7 +68,7 @@ def _one_pass(df: DataFrame, min_user: int, min_movie: int) -> DataFrame:
     df = df.join(movies_ok, "movieId", "left_semi")
     users_ok = (df.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
                 .filter(F.col("n") >= min_user).select("userId"))
-    return df.join(users_ok, "userId", "left_semi").select(*df.columns)
+    return df.join(users_ok, "userId", "left_semi").select(*RATING_COLS)
 
 
 def activity_filter(ratings: DataFrame, min_user: int = 20, min_movie: int = 50,
