@@ -40,7 +40,15 @@ OUT_SCHEMA = "a long, b long, dot double"
 SIM_SCHEMA = "i long, j long, sim double, sim_r double"
 
 
-def _block_product(pdf: pd.DataFrame):
+MAX_ACC_CELLS = 16_000_000  # dense (na x nb) accumulator at most; larger blocks accumulate sparsely
+
+
+def _block_product(pdf: pd.DataFrame, max_cells: int = MAX_ACC_CELLS):
+    """Tile -> (lo, hi, cols_a, cols_b, acc, norm_a, norm_b).
+
+    ``acc`` is a dense ``(na, nb)`` array, or a sparse triple ``(i, j, dot)``
+    when the dense block would exceed ``MAX_ACC_CELLS`` (very large catalogs).
+    """
     lo, hi = int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
     blk = pdf["blk"].to_numpy()
     r = pdf["r"].to_numpy()
@@ -52,19 +60,86 @@ def _block_product(pdf: pd.DataFrame):
     rb, vb = r[mb], v[mb]
     cols_a, ca = np.unique(c[ma], return_inverse=True)
     cols_b, cb = np.unique(c[mb], return_inverse=True)
-    acc = _accumulate(ra, ca, va, rb, cb, vb, len(cols_a), len(cols_b))
+    if len(cols_a) * len(cols_b) > max_cells:
+        acc = _accumulate_sparse(ra, ca, va, rb, cb, vb, len(cols_b))
+    else:
+        acc = _accumulate(ra, ca, va, rb, cb, vb, len(cols_a), len(cols_b))
     norm_a = np.sqrt(np.bincount(ca, weights=va * va, minlength=len(cols_a)))
     norm_b = np.sqrt(np.bincount(cb, weights=vb * vb, minlength=len(cols_b)))
     return lo, hi, cols_a, cols_b, acc, norm_a, norm_b
 
 
-def _tile_product(pdf: pd.DataFrame) -> pd.DataFrame:
-    lo, hi, cols_a, cols_b, acc, _, _ = _block_product(pdf)
-    if lo == hi:
-        acc = np.triu(acc, k=1)
-    i, j = np.nonzero(acc)
-    return pd.DataFrame({"a": cols_a[i].astype(np.int64), "b": cols_b[j].astype(np.int64),
-                         "dot": acc[i, j]})
+def _pair_chunks(ka, ca, va, kb, cb, vb):
+    """Yield (a_idx, b_idx, products) for co-occurring entries, in chunks of <= PAIR_CHUNK."""
+    keys = np.unique(np.concatenate([ka, kb]))
+    ia = np.searchsorted(keys, ka)
+    ib = np.searchsorted(keys, kb)
+    cnt_b = np.bincount(ib, minlength=len(keys))
+    order_a = np.argsort(ia, kind="stable")
+    order_b = np.argsort(ib, kind="stable")
+    start_b = np.cumsum(cnt_b) - cnt_b
+    reps_all = cnt_b[ia[order_a]]
+    cum = np.cumsum(reps_all)
+    begin = 0
+    while begin < len(order_a):
+        base = cum[begin - 1] if begin else 0
+        end = max(int(np.searchsorted(cum, base + PAIR_CHUNK, side="right")), begin + 1)
+        sel = order_a[begin:end]
+        reps = reps_all[begin:end]
+        total = int(reps.sum())
+        if total:
+            a_idx = np.repeat(sel, reps)
+            within = np.arange(total) - np.repeat(np.cumsum(reps) - reps, reps)
+            b_idx = order_b[np.repeat(start_b[ia[sel]], reps) + within]
+            yield ca[a_idx], cb[b_idx], va[a_idx] * vb[b_idx]
+        begin = end
+
+
+def _accumulate_sparse(ka, ca, va, kb, cb, vb, nb: int):
+    """Sparse ``(i, j, dot)`` of co-occurring column pairs; memory ~ distinct pairs."""
+    codes, sums = [], []
+    for ai, bi, prod in _pair_chunks(ka, ca, va, kb, cb, vb):
+        u, inv = np.unique(ai.astype(np.int64) * nb + bi, return_inverse=True)
+        codes.append(u)
+        sums.append(np.bincount(inv, weights=prod))
+    if not codes:
+        e = np.zeros(0, dtype=np.int64)
+        return e, e, np.zeros(0)
+    u, inv = np.unique(np.concatenate(codes), return_inverse=True)
+    tot = np.bincount(inv, weights=np.concatenate(sums))
+    return u // nb, u % nb, tot
+
+
+def _topk_sparse(rows, cols, vals, k: int) -> np.ndarray:
+    """Mask of the ``k`` best entries per row under (value at 8 dp desc, col asc)."""
+    if len(rows) == 0:
+        return np.zeros(0, dtype=bool)
+    order = np.lexsort((cols, -np.round(vals, RANK_DIGITS), rows))
+    r_sorted = rows[order]
+    first = np.r_[True, r_sorted[1:] != r_sorted[:-1]]
+    start = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+    keep = np.zeros(len(rows), dtype=bool)
+    keep[order[(np.arange(len(order)) - start) < k]] = True
+    return keep
+
+
+def _tile_product(max_cells: int = MAX_ACC_CELLS):
+    """Tile kernel for split row-groups: partial dot sums of each unordered column pair."""
+    return lambda pdf: _tile_product_run(pdf, max_cells)
+
+
+def _tile_product_run(pdf: pd.DataFrame, max_cells: int) -> pd.DataFrame:
+    lo, hi, cols_a, cols_b, acc, _, _ = _block_product(pdf, max_cells)
+    if isinstance(acc, tuple):
+        i, j, d = acc
+        keep = (d != 0) & ((i < j) if lo == hi else True)
+        i, j, d = i[keep], j[keep], d[keep]
+    else:
+        if lo == hi:
+            acc = np.triu(acc, k=1)
+        i, j = np.nonzero(acc)
+        d = acc[i, j]
+    return pd.DataFrame({"a": cols_a[i].astype(np.int64), "b": cols_b[j].astype(np.int64), "dot": d})
 
 
 def _top_mask(sim: np.ndarray, k: int) -> np.ndarray:
@@ -86,10 +161,12 @@ def _top_mask(sim: np.ndarray, k: int) -> np.ndarray:
     return keep & pos
 
 
-def _tile_cosine_topk(k: int | None):
+def _tile_cosine_topk(k: int | None, max_cells: int = MAX_ACC_CELLS):
     """Tile kernel when one row-group holds all rows: exact cosine + per-column top-k."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi, cols_a, cols_b, acc, norm_a, norm_b = _block_product(pdf)
+        lo, hi, cols_a, cols_b, acc, norm_a, norm_b = _block_product(pdf, max_cells)
+        if isinstance(acc, tuple):
+            return _sparse_cosine_topk(lo, hi, cols_a, cols_b, acc, norm_a, norm_b, k)
         with np.errstate(divide="ignore", invalid="ignore"):
             sim = acc / np.outer(norm_a, norm_b)
         sim[~np.isfinite(sim)] = 0.0
@@ -110,6 +187,26 @@ def _tile_cosine_topk(k: int | None):
     return run
 
 
+def _sparse_cosine_topk(lo, hi, cols_a, cols_b, acc, norm_a, norm_b, k):
+    i, j, d = acc
+    with np.errstate(divide="ignore", invalid="ignore"):
+        sim = d / (norm_a[i] * norm_b[j])
+    ok = np.isfinite(sim) & (sim > 0) & ((i != j) if lo == hi else True)
+    i, j, sim = i[ok], j[ok], sim[ok]
+    if k is None:
+        keep_a = np.ones(len(i), dtype=bool)
+    else:
+        keep_a = _topk_sparse(i, j, sim, k)
+    out_i, out_j, out_s = [cols_a[i[keep_a]]], [cols_b[j[keep_a]]], [sim[keep_a]]
+    if lo != hi:
+        keep_b = np.ones(len(i), dtype=bool) if k is None else _topk_sparse(j, i, sim, k)
+        out_i.append(cols_b[j[keep_b]]); out_j.append(cols_a[i[keep_b]]); out_s.append(sim[keep_b])
+    sims = np.concatenate(out_s)
+    return pd.DataFrame({"i": np.concatenate(out_i).astype(np.int64),
+                         "j": np.concatenate(out_j).astype(np.int64),
+                         "sim": sims, "sim_r": np.round(sims, RANK_DIGITS)})
+
+
 def plan_tiles(n_cols: int, n_entries: int, parallelism: int,
                tile_entries: int = TILE_ENTRIES) -> tuple[int, int]:
     """Choose (column blocks ``nb``, row-groups ``P``).
@@ -150,10 +247,10 @@ def _tiles(entries: DataFrame, row: str, col: str, value: str, tile_entries: int
 
 
 def cooccurrence(entries: DataFrame, row: str, col: str, value: str,
-                 tile_entries: int = TILE_ENTRIES) -> DataFrame:
+                 tile_entries: int = TILE_ENTRIES, max_acc_cells: int = MAX_ACC_CELLS) -> DataFrame:
     """``(a, b, dot)`` for all co-occurring column pairs (each unordered pair once)."""
     grouped, p = _tiles(entries, row, col, value, tile_entries)
-    partial = grouped.applyInPandas(_tile_product, OUT_SCHEMA)
+    partial = grouped.applyInPandas(_tile_product(max_acc_cells), OUT_SCHEMA)
     if p == 1:
         return partial
     return partial.groupBy("a", "b").agg(F.sum("dot").alias("dot"))
@@ -165,7 +262,7 @@ def column_norms(entries: DataFrame, col: str, value: str) -> DataFrame:
 
 
 def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, top_k: int | None = None,
-                 tile_entries: int = TILE_ENTRIES) -> DataFrame:
+                 tile_entries: int = TILE_ENTRIES, max_acc_cells: int = MAX_ACC_CELLS) -> DataFrame:
     """Cosine of co-occurring column pairs, both directions: ``(i, j, sim)``.
 
     With ``top_k`` the result may be pruned to a superset of each column's
@@ -173,8 +270,8 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, top_k: int
     """
     grouped, p = _tiles(entries, row, col, value, tile_entries)
     if p == 1:
-        return grouped.applyInPandas(_tile_cosine_topk(top_k), SIM_SCHEMA)
-    dots = grouped.applyInPandas(_tile_product, OUT_SCHEMA).groupBy("a", "b").agg(F.sum("dot").alias("dot"))
+        return grouped.applyInPandas(_tile_cosine_topk(top_k, max_acc_cells), SIM_SCHEMA)
+    dots = grouped.applyInPandas(_tile_product(max_acc_cells), OUT_SCHEMA).groupBy("a", "b").agg(F.sum("dot").alias("dot"))
     norms = column_norms(entries, col, value)
     na = norms.select(F.col("c").alias("a"), F.col("norm").alias("na"))
     nb = norms.select(F.col("c").alias("b"), F.col("norm").alias("nb"))
@@ -228,10 +325,11 @@ def _gather(ia, ca, va, ib, cb, vb, na: int, nb: int, n_keys: int) -> np.ndarray
 def _accumulate(ka, ca, va, kb, cb, vb, na: int, nb: int) -> np.ndarray:
     """``acc[a, b] = sum over shared keys k of va * vb`` as an ``(na, nb)`` array.
 
-    Two exact strategies, chosen per tile by cost: a dense ``A @ B`` over the
-    tile's keys when the operands are small and dense enough (BLAS), else a
-    sparse product that enumerates co-occurring entries key by key in chunks
-    of bounded size and sums them with ``bincount``.
+    Exact strategies, chosen per tile by estimated cost: a dense ``A @ B``
+    over the tile's keys (BLAS) when both operands are small and dense; a
+    dense-times-sparse gather when one side is dense; else a sparse product
+    that enumerates co-occurring entries key by key in chunks of bounded size
+    and sums them with ``bincount``.
     """
     keys = np.unique(np.concatenate([ka, kb]))
     ia = np.searchsorted(keys, ka)
@@ -256,26 +354,9 @@ def _accumulate(ka, ca, va, kb, cb, vb, na: int, nb: int) -> np.ndarray:
         return _gather(ia, ca, va, ib, cb, vb, na, nb, n_keys)
     if best == gather_b:
         return _gather(ib, cb, vb, ia, ca, va, nb, na, n_keys).T
-    order_a = np.argsort(ia, kind="stable")
-    order_b = np.argsort(ib, kind="stable")
-    start_b = np.cumsum(cnt_b) - cnt_b
     acc = np.zeros(na * nb, dtype=np.float64)
-    reps_all = cnt_b[ia[order_a]]
-    cum = np.cumsum(reps_all)
-    begin = 0
-    while begin < len(order_a):
-        base = cum[begin - 1] if begin else 0
-        end = max(int(np.searchsorted(cum, base + PAIR_CHUNK, side="right")), begin + 1)
-        sel = order_a[begin:end]
-        reps = reps_all[begin:end]
-        total = int(reps.sum())
-        if total:
-            a_idx = np.repeat(sel, reps)
-            within = np.arange(total) - np.repeat(np.cumsum(reps) - reps, reps)
-            b_idx = order_b[np.repeat(start_b[ia[sel]], reps) + within]
-            code = ca[a_idx].astype(np.int64) * nb + cb[b_idx]
-            acc += np.bincount(code, weights=va[a_idx] * vb[b_idx], minlength=na * nb)
-        begin = end
+    for ai, bi, prod in _pair_chunks(ka, ca, va, kb, cb, vb):
+        acc += np.bincount(ai.astype(np.int64) * nb + bi, weights=prod, minlength=na * nb)
     return acc.reshape(na, nb)
 
 

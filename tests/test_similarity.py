@@ -77,3 +77,25 @@ def test_plan_tiles_bounds():
     assert nb <= tiles.MAX_BLOCKS and p > 1
     nb, p = tiles.plan_tiles(n_cols=50, n_entries=500, parallelism=8)
     assert p == 1 and nb * (nb + 1) // 2 >= 16
+
+
+def test_sparse_accumulator_path(spark):
+    """Blocks too big for a dense accumulator take the sparse path; results are identical."""
+    rows = sample_rows(seed=11)
+    items, s = brute_cosine(rows)
+    r = ratings_df(spark, rows, with_ts=False)
+    for kw in ({"max_acc_cells": 4}, {"max_acc_cells": 4, "tile_entries": 20}):
+        got = collect_sims(tiles.cosine_pairs(r, "userId", "movieId", "rating", **kw))
+        for a_idx, a in enumerate(items):
+            for b_idx, b in enumerate(items):
+                if a != b and s[a_idx, b_idx] > 0:
+                    assert abs(got[(a, b)] - s[a_idx, b_idx]) < 1e-9
+                else:
+                    assert (a, b) not in got
+        top = tiles.cosine_pairs(r, "userId", "movieId", "rating", top_k=3, max_acc_cells=4)
+        dense_top = tiles.cosine_pairs(r, "userId", "movieId", "rating", top_k=3)
+        def ranked(df):
+            df = df.withColumnRenamed("i", "movieId").withColumnRenamed("j", "neighborId")
+            return {(x.movieId, x.neighborId, x.rank) for x in similarity.top_neighbours(df, 3).collect()}
+
+        assert ranked(top) == ranked(dense_top)
