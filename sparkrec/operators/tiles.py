@@ -285,9 +285,9 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, top_k: int
 
 # --- left x right scoring with per-row top-N (profiles x catalog) -----------
 
-USER_BLOCK = 1024         # users per scoring tile
-ITEM_BLOCK = 8192         # items per scoring tile (each tile keeps top-N per user per block)
-SCORE_SCHEMA = "u long, i long, score double, score_r double"
+USER_BLOCK = 512          # users per scoring tile
+ITEM_BLOCK = 32768        # items per scoring tile (a one-block catalog makes tile ranks final)
+SCORE_SCHEMA = "u long, i long, score double, score_r double, rank int"
 
 
 DENSE_RATIO = 256         # a BLAS multiply-add is ~this much cheaper than one enumerated pair
@@ -366,7 +366,10 @@ def _score_tile(n: int):
         side = pdf["side"].to_numpy()
         left, right, seen = pdf[side == 0], pdf[side == 1], pdf[side == 2]
         if left.empty or right.empty:
-            return pd.DataFrame({"u": [], "i": [], "score": [], "score_r": []})
+            return pd.DataFrame({"u": pd.Series([], dtype="int64"), "i": pd.Series([], dtype="int64"),
+                                 "score": pd.Series([], dtype="float64"),
+                                 "score_r": pd.Series([], dtype="float64"),
+                                 "rank": pd.Series([], dtype="int32")})
         users, ua = np.unique(left["a"].to_numpy(), return_inverse=True)
         items, ia = np.unique(right["a"].to_numpy(), return_inverse=True)
         unorm = np.zeros(len(users))
@@ -389,12 +392,20 @@ def _score_tile(n: int):
         keep = _top_mask(score, n)
         r, c = np.nonzero(keep)
         s = score[r, c]
+        sr = np.round(s, RANK_DIGITS)
+        # rank inside the tile under (score_r desc, item asc); final when one block holds the catalog
+        order = np.lexsort((c, -sr, r))
+        rs = r[order]
+        first = np.r_[True, rs[1:] != rs[:-1]] if len(rs) else np.zeros(0, dtype=bool)
+        start = np.maximum.accumulate(np.where(first, np.arange(len(rs)), 0)) if len(rs) else rs
+        rank = np.empty(len(rs), dtype=np.int32)
+        rank[order] = (np.arange(len(rs)) - start + 1).astype(np.int32)
         return pd.DataFrame({"u": users[r].astype(np.int64), "i": items[c].astype(np.int64),
-                             "score": s, "score_r": np.round(s, RANK_DIGITS)})
+                             "score": s, "score_r": sr, "rank": rank})
     return run
 
 
-def score_top_n(left: DataFrame, right: DataFrame, seen: DataFrame, n: int) -> DataFrame:
+def score_top_n(left: DataFrame, right: DataFrame, seen: DataFrame, n: int) -> tuple[DataFrame, bool]:
     """Top-``n`` positive cosine scores per user among unseen items.
 
     ``left(u, t, w, unorm)``: sparse user vectors; ``right(i, t, x, inorm)``:
@@ -404,6 +415,8 @@ def score_top_n(left: DataFrame, right: DataFrame, seen: DataFrame, n: int) -> D
     a tie-inclusive top-``n`` per user, so only ``n`` rows per user and item
     block leave the task; the caller ranks the union exactly.  A user's vector
     is bounded by the vocabulary, so heavy users do not grow a tile.
+    Returns ``(scores, final)``; ``final`` means one item block held the whole
+    catalog, so the tile ``rank`` is already the user's global rank.
     """
     sizes = (left.agg(F.approx_count_distinct("u").alias("nu")).first()["nu"] or 0,
              right.agg(F.approx_count_distinct("i").alias("ni")).first()["ni"] or 0)
@@ -429,4 +442,4 @@ def score_top_n(left: DataFrame, right: DataFrame, seen: DataFrame, n: int) -> D
                         F.lit(None).cast("double").alias("nrm"))
     allrows = lrows.select(*cols).unionByName(rrows.select(*cols)).unionByName(srows.select(*cols))
     allrows = allrows.repartition(2 * n_ub * n_ib, "ub", "ib")   # ~one partition per tile (see _tiles)
-    return allrows.groupBy("ub", "ib").applyInPandas(_score_tile(n), SCORE_SCHEMA)
+    return allrows.groupBy("ub", "ib").applyInPandas(_score_tile(n), SCORE_SCHEMA), n_ib == 1
