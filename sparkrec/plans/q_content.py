@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkrec.operators import clean, content, profile, split, tfidf
+from sparkrec.operators import clean, content, profile, tfidf
 from sparkrec.plans import common
 from sparkrec.plans import oracle as O
-from sparkrec.plans.common import core_ratings, movies, r6
+from sparkrec.plans.common import movies, r6
 from sparkrec.plans.registry import query
 from sparkrec.sources import fixtures
 

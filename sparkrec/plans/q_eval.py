@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkrec.operators import cf, evaluate, similarity, split
+from sparkrec.operators import cf, evaluate
 from sparkrec.plans import common
 from sparkrec.plans import oracle as O
 from sparkrec.plans.common import core_ratings, r6
