@@ -68,11 +68,16 @@ def item_similarity(ratings: DataFrame, top_k: int | None = 100) -> DataFrame:
     return top_neighbours(sims, top_k)
 
 
+def unknown_items(items: DataFrame, query_items: DataFrame) -> DataFrame:
+    """R8 errors as rows: query ``movieId`` values absent from the model's item table."""
+    return query_items.select("movieId").distinct().join(items.select("movieId"), "movieId", "left_anti")
+
+
 def similar_items(similarity: DataFrame, query_items: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` nearest neighbours of each query item (batch of ``movieId``).
 
-    ``cf_score`` is the cosine.  Query ids absent from the model come back in
-    ``unknown`` (the reference raises for them).
+    ``cf_score`` is the cosine.  Query ids absent from the model have no rows
+    here; ``unknown_items`` lists them (the reference raises for them).
     """
     q = query_items.select(F.col("movieId").alias("query_movieId")).distinct()
     hits = (q.join(similarity, q.query_movieId == similarity.movieId)

@@ -99,3 +99,12 @@ def test_sparse_accumulator_path(spark):
             return {(x.movieId, x.neighborId, x.rank) for x in similarity.top_neighbours(df, 3).collect()}
 
         assert ranked(top) == ranked(dense_top)
+
+
+def test_similar_items_and_unknown(spark):
+    r = ratings_df(spark, [(1, 1, 4.0), (1, 2, 5.0), (2, 1, 3.0), (2, 3, 4.0)], with_ts=False)
+    sim = similarity.item_similarity(r, 10)
+    q = spark.createDataFrame([(1,), (999,)], "movieId long")
+    got = [(x.query_movieId, x.movieId) for x in similarity.similar_items(sim, q, 1).collect()]
+    assert len(got) == 1 and got[0][0] == 1
+    assert [x.movieId for x in similarity.unknown_items(r.select("movieId"), q).collect()] == [999]
