@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkrec.functions import text
@@ -43,6 +43,14 @@ def similar_by_genre(movies_clean: DataFrame, k: int = 10) -> DataFrame:
                     text.shared_genres(F.col("query_genres"), F.col("genres")).alias("shared_genres")))
 
 
+def items_without_genres(movies_clean: DataFrame, query_items: DataFrame | None = None) -> DataFrame:
+    """R13 errors as rows: (query) movies with no genre token, which have no genre similarity."""
+    m = movies_clean.filter(F.size(F.coalesce(F.col("genres_list"), F.array())) == 0).select("movieId")
+    if query_items is not None:
+        m = m.join(query_items.select("movieId").distinct(), "movieId", "left_semi")
+    return m
+
+
 def genre_overlap(recs: DataFrame, movies_clean: DataFrame, k: int = 10) -> DataFrame:
     """E8 per query movie: share of its top-``k`` recs sharing a genre (sentinel ignored).
 
@@ -76,7 +84,7 @@ def resolve_titles(queries: DataFrame, movies: DataFrame) -> DataFrame:
     numeric = F.trim(F.col("query")).rlike(r"^[0-9]+$")
     by_id = (q.filter(numeric)
              .join(m.select(F.col("movieId").alias("_id")),
-                   F.trim(F.col("query")).cast("long") == F.col("_id"), "left")
+                   F.trim(F.col("query")).try_cast("long") == F.col("_id"), "left")
              .select("query", F.col("_id").alias("movieId"),
                      F.when(F.col("_id").isNull(), "unresolved").otherwise("id").alias("method")))
     text_q = q.filter(~numeric)
@@ -106,6 +114,3 @@ def resolve_titles(queries: DataFrame, movies: DataFrame) -> DataFrame:
                   .select("query", F.lit(None).cast("long").alias("movieId"), F.lit("unresolved").alias("method")))
     return by_id.unionByName(exact).unionByName(contains).unionByName(unresolved)
 
-
-def rank_rows(df: DataFrame, part: str, order) -> DataFrame:
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(part).orderBy(*order)))

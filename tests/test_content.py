@@ -31,6 +31,7 @@ def test_genre_similarity_excludes_self_and_shares(spark):
     assert abs(ranked[0].similarity - 1.0) < 1e-12
     assert all(r.movieId != r.query_movieId for r in s)
     assert 4 not in by_q
+    assert [r.movieId for r in content.items_without_genres(clean.clean_movies(m)).collect()] == [4]
     r13 = [r for r in s if r.query_movieId == 1 and r.movieId == 3][0]
     assert r13.shared_genres == "Action" and abs(r13.similarity - 0.5) < 1e-12
 
