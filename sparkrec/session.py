@@ -4,39 +4,62 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "sparkrec") -> SparkSession:
-    """Return the active session or build a local one (tests / bench)."""
+    """Return the active session or build one.
+
+    Master, memory and partition counts stay as submitted unless a caller
+    (tests, bench) names them.
+    """
     active = SparkSession.getActiveSession()
     if active is not None:
+        ship_package(active)
         return active
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("SPARKREC_DRIVER_MEM", "16g"))
-    )
+    builder = SparkSession.builder.appName(app).config("spark.sql.execution.arrow.pyspark.enabled", "true")
+    if master:
+        builder = builder.master(master).config("spark.ui.enabled", "false").config(
+            "spark.ui.showConsoleProgress", "false")
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", os.environ.get("SPARKREC_DRIVER_MEM", "16g"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package (a zip added once per application), wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="sparkrec-ship-"), "sparkrec.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("sparkrec", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; set one only if unset.
 
     On a cluster the directory must be on shared storage, so it is read from
-    the session.  Only a bare local session (tests) gets a fresh temp folder.
+    the session.  Only a bare local session (tests) gets a fresh temp folder;
+    on any other master a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="sparkrec-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
