@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from sparkrec.session import ensure_checkpoint_dir
 
@@ -40,3 +42,33 @@ def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         total += n
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def annotate(docs: DataFrame, keep: list[str], score: Callable[[list], list], fields: str) -> DataFrame:
+    """``docs`` columns ``keep`` as struct ``row``, beside ``fields`` that ``score(texts)`` returns as Arrow arrays.
+
+    The struct keeps any column names apart from the new ones.
+    """
+    schema = f"row {docs.select(*keep).schema.simpleString()}, {fields}"
+    names = [f.split()[0] for f in fields.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), *score(batch.column(1).to_pylist())], ["row", *names])
+
+    rows = docs.select(F.struct(*keep).alias("row"), F.col("text").alias("_text"))
+    return rows.mapInArrow(run, schema)
+
+
+def sample_by_hash(rows: DataFrame, group: str, per_group: int, max_chars: int) -> DataFrame:
+    """At most ``per_group`` distinct texts of each ``group`` value, those of smallest hash.
+
+    Texts over ``max_chars`` are not eligible, so the sample's bytes are bounded.
+    The cut is found on hashes alone; texts are read once more to fetch it.
+    """
+    rows = (rows.filter(F.col(group).isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars))
+            .select(F.col(group).alias("g"), "text", F.xxhash64("text").alias("h")))
+    order = Window.partitionBy("g").orderBy("h")
+    cut = (rows.select("g", "h").distinct().withColumn("n", F.row_number().over(order))
+           .filter(F.col("n") <= per_group).groupBy("g").agg(F.max("h").alias("cut")))
+    return rows.join(cut, "g").filter("h <= cut").groupBy("g", "h").agg(F.min("text").alias("text")).select("g", "text")

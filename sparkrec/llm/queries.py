@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrec.llm import chat, packing, tokenfiles, topk, urls
+from sparkrec.llm import chat, html_text, langid, packing, tokenfiles, topk, toxicity, urls
 from sparkrec.llm.common import scratch_path, staged, table
 from sparkrec.session import ship_package
 
+#: Score from which a document counts as toxic.
+TOXIC_FROM = 0.3
+
 QUERIES = {}
 ORACLE = {}
 
@@ -62,6 +65,37 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.with_global_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def held_out() -> Column:
+    """The evaluation fold by document id; a null id is never held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out().alias("held_out"))
+    model = langid.train(docs.filter(F.col("doc_id").isNotNull() & ~F.col("held_out")))
+    return langid.predict(docs, model, ["doc_id", "held_out"]).select("row.*", "lang_pred", "score")
+
+
+def toxic_labels(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """(text, toxic) of the labelled documents outside the evaluation fold."""
+    labels = table(spark, sf_dir, "labels").filter(F.col("toxic").isin(0, 1) & ~held_out())
+    return docs.select("doc_id", "text").join(labels.select("doc_id", "toxic").distinct(), "doc_id")
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out().alias("held_out"))
+    grammar = toxicity.train(toxic_labels(spark, sf_dir, docs))
+    scored = toxicity.predict(docs, grammar, ["doc_id", "held_out"]).select("row.*", "score")
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
 #: The filter's rules: verdict, host, path (fixed by the query's contract).
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
