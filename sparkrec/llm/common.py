@@ -60,15 +60,22 @@ def annotate(docs: DataFrame, keep: list[str], score: Callable[[list], list], fi
     return rows.mapInArrow(run, schema)
 
 
+MAX_LABELS = 1000
+
+
 def sample_by_hash(rows: DataFrame, group: str, per_group: int, max_chars: int) -> DataFrame:
-    """At most ``per_group`` distinct texts of each ``group`` value, those of smallest hash.
+    """At most ``per_group`` distinct texts of each ``group`` value, those of smallest hash, as (g, text).
 
-    Texts over ``max_chars`` are not eligible, so the sample's bytes are bounded.
-    The cut is found on hashes alone; texts are read once more to fetch it.
+    Texts over ``max_chars`` are not eligible and only the ``MAX_LABELS`` most
+    frequent group values are learned, so the sample's bytes are bounded.  The
+    cut hash of each group is found on hashes alone and broadcast (a row per
+    label); texts are read once more to fetch the sample and never shuffled.
     """
     rows = (rows.filter(F.col(group).isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars))
             .select(F.col(group).alias("g"), "text", F.xxhash64("text").alias("h")))
     order = Window.partitionBy("g").orderBy("h")
     cut = (rows.select("g", "h").distinct().withColumn("n", F.row_number().over(order))
            .filter(F.col("n") <= per_group).groupBy("g").agg(F.max("h").alias("cut")))
-    return rows.join(cut, "g").filter("h <= cut").groupBy("g", "h").agg(F.min("text").alias("text")).select("g", "text")
+    frequent = rows.groupBy("g").count().orderBy(F.col("count").desc(), "g").limit(MAX_LABELS).select("g")
+    cut = cut.join(F.broadcast(frequent), "g")
+    return rows.join(F.broadcast(cut), "g").filter("h <= cut").groupBy("g", "h").agg(F.min("text").alias("text")).select("g", "text")

@@ -82,16 +82,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, ["doc_id", "held_out"]).select("row.*", "lang_pred", "score")
 
 
-def toxic_labels(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
-    """(text, toxic) of the labelled documents outside the evaluation fold."""
-    labels = table(spark, sf_dir, "labels").filter(F.col("toxic").isin(0, 1) & ~held_out())
-    return docs.select("doc_id", "text").join(labels.select("doc_id", "toxic").distinct(), "doc_id")
-
-
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out().alias("held_out"))
-    grammar = toxicity.train(toxic_labels(spark, sf_dir, docs))
+    grammar = toxicity.train(docs, table(spark, sf_dir, "labels").filter(~held_out()))
     scored = toxicity.predict(docs, grammar, ["doc_id", "held_out"]).select("row.*", "score")
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
 
