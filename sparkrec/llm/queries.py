@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrec.llm import chat, html_text, langid, packing, tokenfiles, topk, toxicity, urls
+from sparkrec.llm import chat, decontam, html_text, langid, neardup, packing, tokenfiles, topk, toxicity, urls
 from sparkrec.llm.common import scratch_path, staged, table
 from sparkrec.session import ship_package
 
@@ -70,6 +70,11 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def held_out() -> Column:
     """The evaluation fold by document id; a null id is never held out."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -82,6 +87,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, ["doc_id", "held_out"]).select("row.*", "lang_pred", "score")
 
 
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out().alias("held_out"))
