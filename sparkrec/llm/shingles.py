@@ -78,7 +78,7 @@ def shingles_of(words: Words, size: int = WORDS) -> Shingles:
     n = np.diff(words.first)
     total = len(words.keys)
     rolled = np.zeros(total, U)
-    for j in range(size):
+    for j in range(min(size, total)):
         part = words.keys[j:] * U(pow(BASE, j + 1, 1 << 64))
         rolled[:total - j] += part
     per = np.where(n > 0, np.maximum(n - size + 1, 1), 0)
