@@ -144,7 +144,7 @@ def central_links(members: DataFrame, texts: DataFrame, idf) -> DataFrame:
         "block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK_NODES))).select("leader", "block", "node")
     pairs = staged(pairs, "pairs")
     nodes = pairs.unionByName(pairs.select("leader", "block", F.col("leader").alias("node"))).distinct()
-    group = nodes.join(texts, "node").select("leader", "block", "node", "text")
+    group = nodes.hint("merge").join(texts, "node").select("leader", "block", "node", "text")
 
     def verify(table: pa.Table) -> pa.Table:
         nodes, found, _ = _texts(table)
@@ -198,7 +198,7 @@ def remaining_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, tex
                     "side", "node", "label", "bands"))
     block = ["band", "key", "i", "j"]
     worth = staged(rows.groupBy(*block).applyInArrow(_worth, rows.schema), "open")
-    group = worth.join(texts, "node").select(*worth.columns, "text")
+    group = worth.hint("merge").join(texts, "node").select(*worth.columns, "text")
 
     def verify(table: pa.Table) -> pa.Table:
         nodes, found, rows = _texts(table)
@@ -235,7 +235,8 @@ def classes(docs: DataFrame) -> DataFrame:
     spread = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     full = spread.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = staged(spread.join(full, ["band", "key"]), "members")
-    texts = staged(docs.withColumnRenamed("doc_id", "node").join(members.select("node").distinct(), "node", "left_semi"), "texts")
+    texts = staged(docs.withColumnRenamed("doc_id", "node").join(
+        members.select("node").distinct().hint("merge"), "node", "left_semi"), "texts")
     first = staged(central_links(members, texts, idf), "links")
     copies = signed.join(nodes.select("digest", "node"), "digest").filter("doc_id <> node").select(
         F.col("doc_id").alias("a"), F.col("node").alias("b"))
