@@ -44,6 +44,14 @@ def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a task holds few texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def annotate(docs: DataFrame, keep: list[str], score: Callable[[list], list], fields: str) -> DataFrame:
     """``docs`` columns ``keep`` as struct ``row``, beside ``fields`` that ``score(texts)`` returns as Arrow arrays.
 
@@ -53,7 +61,7 @@ def annotate(docs: DataFrame, keep: list[str], score: Callable[[list], list], fi
     names = [f.split()[0] for f in fields.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), *score(batch.column(1).to_pylist())], ["row", *names])
 
     rows = docs.select(F.struct(*keep).alias("row"), F.col("text").alias("_text"))

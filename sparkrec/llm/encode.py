@@ -32,7 +32,7 @@ WHITE, LETTER, DIGIT, OTHER = range(4)
 KIND = np.array([WHITE if chr(c) in " \n" else LETTER if chr(c).isalpha() else DIGIT if chr(c).isdecimal() else OTHER
                  for c in range(256)], np.uint8)
 
-MEMO_ENTRIES = 350_000
+MEMO_ENTRIES = 250_000
 MEMO_CHARS = 64
 BLOCK_CHARS = 1 << 20
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64

@@ -32,7 +32,7 @@ PER_LANGUAGE = 300  # labelled texts a language is learned from
 MAX_CHARS = 20_000  # longer texts are not eligible for the sample
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 PAD = b"\n" * ORDER
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -101,22 +101,24 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_chars: int
                         "gram": pa.array(key.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
 
     counts = (sample.mapInArrow(count, "lang string, k int, gram long, n long")
-              .groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))).toPandas()
+              .groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))).toArrow()
     return build(counts)
 
 
-def build(counts) -> Model:
+def build(counts: pa.Table) -> Model:
     """Frozen cost tables from (lang, k, gram, n) counts."""
-    languages = sorted(counts["lang"].unique())
+    languages = sorted(counts["lang"].unique().to_pylist())
+    code = counts["lang"].combine_chunks().dictionary_encode()
+    to = np.array([languages.index(x) for x in code.dictionary.to_pylist()], np.int64)
+    lang_of, k_of = to[code.indices.to_numpy()], counts["k"].to_numpy()
+    gram_of, n_of = counts["gram"].to_numpy().astype(np.uint64), counts["n"].to_numpy().astype(np.float64)
     n_lang = len(languages)
     tables: list[Table] = []
     escapes: list[Table] = []
     lower: Model = Model(languages, tables, escapes)
     for order in range(ORDER + 1):
-        part = counts[counts["k"] == order]
-        gram = part["gram"].to_numpy().astype(np.uint64)
-        lang = np.searchsorted(languages, part["lang"].to_numpy().astype(str)) if len(part) else np.zeros(0, int)
-        n = part["n"].to_numpy().astype(np.float64)
+        here = k_of == order
+        gram, lang, n = gram_of[here], lang_of[here], n_of[here]
         keys, at = np.unique(gram, return_inverse=True)
         contexts, of = np.unique(keys >> np.uint64(8), return_inverse=True)
         seen = np.zeros((len(keys), n_lang))
@@ -155,11 +157,12 @@ def known_cost(model: Model, order: int, keys: np.ndarray) -> np.ndarray:
 def code_lengths(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(bits per text and language, bytes per text)."""
     block = max(1 << 14, min(BLOCK, (4 * BLOCK) // max(1, len(model.languages))))
-    data = [t.lower().encode() for t in texts]
-    sizes = np.array([len(d) for d in data], np.int64)
+    sizes = np.zeros(len(texts), np.int64)
     bits = np.zeros((len(texts), len(model.languages)))
-    for a, b in slices(sizes.tolist(), block):
-        joined = PAD + b"".join(d + PAD for d in data[a:b])
+    for a, b in slices([len(t) for t in texts], block):
+        data = [t.lower().encode() for t in texts[a:b]]
+        sizes[a:b] = [len(d) for d in data]
+        joined = PAD + b"".join(d + PAD for d in data)
         starts = np.cumsum(np.append(0, sizes[a:b] + ORDER))[:-1]
         for at in range(0, len(joined) - ORDER, block):  # one text longer than a block goes through in blocks
             key = grams(joined[at:at + block + ORDER], ORDER)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkrec.llm import icws
-from sparkrec.llm.common import staged
+from sparkrec.llm.common import pieces, staged
 from sparkrec.llm.components import connected_components
 from sparkrec.llm.shingles import U, blocks, digests, normal_bytes, shingles_of, words_of
 
@@ -46,7 +46,7 @@ MARK = -1  # pseudo bucket that counts documents
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: (bucket, documents' shingles in it), and the documents under ``MARK``."""
     counts, docs = np.zeros(1 << icws.BUCKET_BITS, np.int64), 0
-    for batch in batches:
+    for batch in pieces(batches):
         for _, _, texts in blocks(batch.column(0).to_pylist()):
             s = shingles_of(words_of(texts))
             counts += np.bincount(icws.bucket(s.keys), minlength=len(counts))
@@ -69,7 +69,7 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 def signatures(docs: DataFrame, idf) -> DataFrame:
     """(doc_id, digest, bands) of every document with an id and words; ``idf`` is a broadcast of the weights."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b, normal in blocks(texts):
                 words = words_of(normal)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import slices
+from sparkrec.llm.common import pieces, slices
 from sparkrec.llm.encode import BLOCK_CHARS, encoder
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, ids binary"
@@ -44,7 +44,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in pieces(batches):
             docs, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices([len(t) for t in texts], BLOCK_CHARS):
                 cols: list[list] = [[], [], [], [], []]
@@ -63,8 +63,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                           ["doc_id", "start", "length", "doc_tokens", "ids"])
 
-    pieces = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, SCHEMA)
-    return (pieces
+    found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, SCHEMA)
+    return (found
             .withColumn("bucket", F.log2("length").cast("int"))
             .withColumn("sequence_id", F.monotonically_increasing_id())
             .withColumn("offset", F.lit(0).cast("long")))

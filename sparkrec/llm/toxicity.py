@@ -20,7 +20,7 @@ are scanned whole; other columns are ignored or carried.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from sparkrec.llm.common import annotate
 
-SAMPLE = 1500  # labelled documents of each label that the lexicon and the coefficients are learned from
+SAMPLE = 1000  # labelled documents of each label that the lexicon and the coefficients are learned from
 MAX_CHARS = 20_000  # longer texts are not eligible for the sample
 STEM = range(4, 9)  # characters of a learned stem
 SUPPORT = 3  # toxic texts that a learned pattern must newly explain
@@ -163,11 +163,14 @@ def patterns(text: str) -> set[tuple[str, bool]]:
 def learn_lexicon(toxic: list[str], clean: list[str]) -> tuple[dict[str, float], dict[str, float]]:
     """(whole words, stems) with weights: greedy cover of the toxic texts under the clean share."""
     known = Grammar()
-    held: defaultdict = defaultdict(set)
+    support: Counter = Counter()
+    for text in toxic:
+        support.update(patterns(text))
+    held: dict = {p: set() for p, n in support.items() if n >= SUPPORT}
+    del support
     for i, text in enumerate(toxic):
-        for p in patterns(text):
+        for p in patterns(text) & held.keys():
             held[p].add(i)
-    held = {p: docs for p, docs in held.items() if len(docs) >= SUPPORT}
     touched: Counter = Counter()
     for text in clean:
         touched.update(patterns(text) & held.keys())
