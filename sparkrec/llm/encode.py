@@ -32,9 +32,9 @@ WHITE, LETTER, DIGIT, OTHER = range(4)
 KIND = np.array([WHITE if chr(c) in " \n" else LETTER if chr(c).isalpha() else DIGIT if chr(c).isdecimal() else OTHER
                  for c in range(256)], np.uint8)
 
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 450_000
 MEMO_CHARS = 64
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 21
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _POWERS = np.cumprod(np.full(BLOCK_CHARS, BASE, np.uint64))
 _INVERSES = np.cumprod(np.full(BLOCK_CHARS, pow(BASE, -1, 1 << 64), np.uint64))

@@ -33,7 +33,7 @@ MAGIC = b"TOKENEF1"
 HEADER = struct.Struct("<8s8q")  # magic, part, seq, documents, null ids, first id, ids, id width, reserved
 EF_HEADER = struct.Struct("<4q")  # values, low bits, bytes of high bits, samples
 SAMPLE = 64
-SHARD_IDS = 1 << 22
+SHARD_IDS = 1 << 21
 DOC_SCHEMA = "part int, seq int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 
@@ -144,7 +144,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             data = shard_bytes(part, seq, names, lengths, b"".join(held), width)
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["payload"])
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, 2000):
             docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices([len(t) for t in texts], BLOCK_CHARS):
                 for doc, ids in zip(docs[a:b], enc.encode_all(texts[a:b])):
