@@ -62,39 +62,38 @@ class FilterResult:
     converged: bool
 
 
-def _one_pass(df: DataFrame, min_user: int, min_movie: int) -> DataFrame:
-    movies_ok = (df.groupBy("movieId").agg(F.count(F.lit(1)).alias("n"))
-                 .filter(F.col("n") >= min_movie).select("movieId"))
-    df = df.join(movies_ok, "movieId", "left_semi")
-    users_ok = (df.groupBy("userId").agg(F.count(F.lit(1)).alias("n"))
-                .filter(F.col("n") >= min_user).select("userId"))
-    return df.join(users_ok, "userId", "left_semi").select(*RATING_COLS)
+def _counted(rows: DataFrame, key: str, least: int) -> DataFrame:
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
 
 
 def activity_filter(ratings: DataFrame, min_user: int = 20, min_movie: int = 50,
-                    max_iter: int = 10, warn: bool = True) -> FilterResult:
-    """Alternate movie >= min_movie and user >= min_user filters to a fixpoint.
+                    max_iter: int | None = None, warn: bool = True) -> FilterResult:
+    """Alternate movie >= min_movie and user >= min_user filters to the fixpoint.
 
-    At most ``max_iter`` passes, like the reference.  Each pass is cut from the
-    lineage with a reliable checkpoint, and its row count (one scalar) decides
-    whether to stop.  ``converged`` is computed after each pass (D9).
+    A pass reads the ratings once more and keeps two id tables (checkpointed);
+    the ratings themselves are filtered once, at the end.  Row counts follow
+    from the users' counts.  ``max_iter`` stops early on request; ``converged``
+    says whether the last pass changed nothing (D9).
     """
-    out = ratings.select(*RATING_COLS)   # callers pass a built (checkpointed) table
-    prev = out.count()
+    base = ratings.select(*RATING_COLS)   # callers pass a built (checkpointed) table
+    left, before = base.count(), -1
+    users = movies = None
     passes = 0
-    converged = False
-    for _ in range(max_iter):
-        nxt = cut_lineage(_one_pass(out, min_user, min_movie))
-        n = nxt.count()
+    while left != before and (max_iter is None or passes < max_iter):
+        rows = base.select("userId", "movieId")
+        if users is not None:
+            rows = rows.join(users, "userId", "left_semi").join(movies, "movieId", "left_semi")
+        movies = cut_lineage(_counted(rows, "movieId", min_movie).select("movieId"))
+        counted = cut_lineage(_counted(rows.join(movies, "movieId", "left_semi"), "userId", min_user))
+        users = counted.select("userId")
+        before, left = left, counted.agg(F.sum("n")).first()[0] or 0
         passes += 1
-        converged = n == prev
-        out, prev = nxt, n
-        if converged:
-            break
+    converged = left == before
     if not converged and warn:
-        warnings.warn(f"activity_filter: max_iter={max_iter} reached before the filtered set "
-                      "stabilised", stacklevel=2)
-    if prev == 0:
-        raise ValueError(f"activity_filter: all rows were removed (min_user_ratings={min_user}, "
-                         f"min_movie_ratings={min_movie})")
-    return FilterResult(out, passes, converged)
+        warnings.warn(f"activity filter stopped after {passes} passes; rows were still being removed", stacklevel=2)
+    if left == 0:
+        raise ValueError(f"activity filter left no ratings (users need {min_user}, movies {min_movie})")
+    if users is None:
+        return FilterResult(base, passes, converged)
+    kept = base.join(users, "userId", "left_semi").join(movies, "movieId", "left_semi").select(*RATING_COLS)
+    return FilterResult(cut_lineage(kept), passes, converged)

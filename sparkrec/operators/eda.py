@@ -18,7 +18,7 @@ def sparsity(ratings: DataFrame) -> DataFrame:
     agg = ratings.agg(F.countDistinct("userId").alias("n_users"),
                       F.countDistinct("movieId").alias("n_movies"),
                       F.count(F.lit(1)).alias("n_ratings"))
-    dens = F.col("n_ratings") / (F.col("n_users") * F.col("n_movies"))
+    dens = F.try_divide(F.col("n_ratings"), F.col("n_users") * F.col("n_movies"))
     return agg.select("n_users", "n_movies", "n_ratings", dens.alias("density"), (1 - dens).alias("sparsity"))
 
 
@@ -84,9 +84,10 @@ def short_titles(movies: DataFrame, width: int = 35) -> DataFrame:
     return movies.select("movieId", text.short_title(F.col("title"), width).alias("short_title"))
 
 
-def user_options(ratings: DataFrame, limit: int = 5000) -> DataFrame:
-    """P20: the first ``limit`` distinct user ids, ascending (a UI pick list)."""
-    return ratings.select("userId").distinct().orderBy("userId").limit(limit)
+def user_options(ratings: DataFrame, limit: int | None = None) -> DataFrame:
+    """P20: the distinct user ids, ascending; ``limit`` cuts the list for a pick list."""
+    users = ratings.select("userId").distinct().orderBy("userId")
+    return users if limit is None else users.limit(limit)
 
 
 def train_test_movies(train: DataFrame, test: DataFrame) -> DataFrame:

@@ -170,9 +170,9 @@ def _hit_summary(rows: DataFrame) -> DataFrame:
         F.count_if(ev).alias("users_evaluated"),
         F.coalesce(F.avg(F.when(ev, F.col("hit"))), F.lit(0.0)).alias("HR_at_10"),
         F.coalesce(F.avg(F.when(ev, F.col("ndcg"))), F.lit(0.0)).alias("NDCG_at_10"),
-        (F.count_if(ev & (F.col("hit") > 0)) / F.count(F.lit(1))).alias("HR_at_10_all"),
-        (F.coalesce(F.sum(F.when(ev, F.col("ndcg"))), F.lit(0.0)) / F.count(F.lit(1))).alias("NDCG_at_10_all"),
-        F.lit(0).cast("long").alias("n_missing_truth"),
+        F.coalesce(F.try_divide(F.count_if(ev & (F.col("hit") > 0)), F.count(F.lit(1))), F.lit(0.0)).alias("HR_at_10_all"),
+        F.coalesce(F.try_divide(F.sum(F.when(ev, F.col("ndcg"))), F.count(F.lit(1))), F.lit(0.0)).alias("NDCG_at_10_all"),
+        F.count_if(ev & F.col("hit").isNull()).alias("n_missing_truth"),
         F.count_if(~ev).alias("n_cold_start"))
 
 

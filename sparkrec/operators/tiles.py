@@ -27,7 +27,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_COL_BLOCK = 4096      # columns per block at most (dense block is MAX^2 doubles)
@@ -278,9 +278,13 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, top_k: int
     sims = (dots.join(na, "a").join(nb, "b")
             .filter((F.col("na") > 0) & (F.col("nb") > 0))
             .select("a", "b", (F.col("dot") / (F.col("na") * F.col("nb"))).alias("sim"))
-            .withColumn("sim_r", F.round("sim", RANK_DIGITS)))
-    return sims.select(F.col("a").alias("i"), F.col("b").alias("j"), "sim", "sim_r").unionByName(
+            .withColumn("sim_r", F.rint(F.col("sim") * 10.0 ** RANK_DIGITS) / 10.0 ** RANK_DIGITS))  # as in the tiles
+    both = sims.select(F.col("a").alias("i"), F.col("b").alias("j"), "sim", "sim_r").unionByName(
         sims.select(F.col("b").alias("i"), F.col("a").alias("j"), "sim", "sim_r"))
+    if top_k is None:
+        return both
+    best = Window.partitionBy("i").orderBy(F.col("sim_r").desc())
+    return both.withColumn("_r", F.rank().over(best)).filter(F.col("_r") <= top_k).drop("_r")
 
 
 # --- left x right scoring with per-row top-N (profiles x catalog) -----------

@@ -44,10 +44,10 @@ def built(spark: SparkSession, key: tuple, make):
 
 
 def core_ratings(spark: SparkSession, sf_dir: str, min_user: int = 20, min_movie: int = 20,
-                 max_iter: int = 10) -> DataFrame:
-    """Fixture A after the activity filter (A6), run to its fixpoint or the pass cap."""
+                 max_iter: int | None = None) -> DataFrame:
+    """Fixture A after the activity filter (A6), run to its fixpoint unless a caller asks for fewer passes."""
     return built(spark, ("core", sf_dir, min_user, min_movie, max_iter), lambda: clean.activity_filter(
-        ratings(spark, sf_dir), min_user, min_movie, max_iter, warn=False).ratings)
+        ratings(spark, sf_dir), min_user, min_movie, max_iter).ratings)
 
 
 def time_split(spark: SparkSession, sf_dir: str):

@@ -152,7 +152,7 @@ feat AS (SELECT * FROM (SELECT *, regexp_replace(regexp_replace(concat_ws(' ', c
   genres_text), '\s+', ' ', 'g'), {STRIP}) AS feature_text FROM feat1) t WHERE length(feature_text) > 0)"""
 
 
-def tfidf_sql(docs_sql: str, min_df: int = 2, max_features: int = 30000) -> str:
+def tfidf_sql(docs_sql: str, min_df: int = 2, max_features: int | None = 30000) -> str:
     """CTEs from ``docs(doc, feature_text)`` to ``weights(movieId, term, weight)``."""
     from sparkrec.functions import stopwords
 
@@ -167,7 +167,7 @@ terms AS (SELECT doc, unnest(CASE WHEN len(toks) >= 2 THEN list_concat(toks,
 tf AS (SELECT doc, term, count(*) AS tf FROM terms GROUP BY 1, 2),
 nd AS (SELECT count(*) AS n FROM docs),
 vocab AS (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1 HAVING count(*) >= {min_df}
-          ORDER BY total DESC, term LIMIT {max_features}),
+          ORDER BY total DESC, term {f'LIMIT {max_features}' if max_features else ''}),
 idf AS (SELECT term, df, total, ln((1 + n) / (1 + df)) + 1 AS idf FROM vocab, nd),
 tw AS (SELECT doc, term, tf * idf AS raw FROM tf JOIN idf USING (term)),
 tn AS (SELECT doc, sqrt(sum(raw * raw)) AS nn FROM tw GROUP BY 1),

@@ -113,10 +113,10 @@ def q_tfidf_vocabulary(spark, sf):
     return v.select("term", "df", "total", r6("idf").alias("idf"))
 
 
-@query("tfidf_documents", O.with_(O.tfidf_sql("SELECT doc_id AS doc, text AS feature_text FROM documents")) + """
+@query("tfidf_documents", O.with_(O.tfidf_sql("SELECT doc_id AS doc, text AS feature_text FROM documents", max_features=None)) + """
 SELECT movieId, term, round(weight, 6) AS weight FROM weights""")
 def q_tfidf_documents(spark, sf):
-    w, _ = tfidf.tfidf(fixtures.documents_text(spark, sf))
+    w, _ = tfidf.tfidf(fixtures.documents_text(spark, sf), max_features=None)
     return w.select("movieId", "term", r6("weight").alias("weight"))
 
 

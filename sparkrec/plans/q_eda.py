@@ -157,6 +157,16 @@ def q_alias_drift(spark, sf):
                     F.col("rating").cast("double"), "side")
 
 
+@query("alias_drift_found", O.with_(O.core_sql()) + """
+SELECT userId, movieId, rating, 'right_only' AS side
+FROM (SELECT userId, movieId, rating FROM ratings EXCEPT ALL SELECT userId, movieId, rating FROM core)""")
+def q_alias_drift_found(spark, sf):
+    """S6 where the tables do differ: the filtered ratings against all of them."""
+    d = io.alias_drift(core_ratings(spark, sf), ratings(spark, sf))
+    return d.select(F.col("userId").cast("long"), F.col("movieId").cast("long"),
+                    F.col("rating").cast("double"), "side")
+
+
 @query("model_metadata", O.with_(O.core_sql(), O.time_split_sql("core"), O.sim_sql("train", "sim", 100)) + """
 SELECT count(DISTINCT movieId) AS n_movies, count(DISTINCT userId) AS n_users, count(*) AS n_train,
   (SELECT count(*) FROM test) AS n_test, (SELECT count(*) FROM sim) AS similarity_nnz,

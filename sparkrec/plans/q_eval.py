@@ -295,7 +295,7 @@ def hit_summary_sql(src: str, extra: str = "", group: str = "") -> str:
   round(coalesce(avg(hit), 0), 6) AS HR_at_10, round(coalesce(avg(ndcg), 0), 6) AS NDCG_at_10,
   round(count(*) FILTER (WHERE hit > 0) / count(*), 6) AS HR_at_10_all,
   round(coalesce(sum(ndcg), 0) / count(*), 6) AS NDCG_at_10_all,
-  CAST(0 AS BIGINT) AS n_missing_truth, count(*) FILTER (WHERE status <> 'ok') AS n_cold_start FROM {src} {group}"""
+  count(*) FILTER (WHERE status = 'ok' AND hit IS NULL) AS n_missing_truth, count(*) FILTER (WHERE status <> 'ok') AS n_cold_start FROM {src} {group}"""
 
 
 def _hit_round(df, extra=()):
@@ -309,6 +309,12 @@ def q_eval_leave_last_out(spark, sf):
     return _hit_round(evaluate.leave_last_out_eval(core_ratings(spark, sf, 20, 20), 200))
 
 
+@query("eval_leave_last_out_all", LLO_SQL.replace("LIMIT {n}", "") + "\n" + hit_summary_sql("lrow"))
+def q_eval_leave_last_out_all(spark, sf):
+    """The whole population (sample 0)."""
+    return _hit_round(evaluate.leave_last_out_eval(core_ratings(spark, sf, 20, 20), 0))
+
+
 @query("eval_sample_sweep", LLO_SQL.replace("{n}", "200") + """,
 sizes AS (SELECT * FROM (VALUES (50), (100), (200)) v(sample_size)),
 lsw AS (SELECT sizes.sample_size, lrow.* FROM sizes JOIN lrow ON lrow.dr <= sizes.sample_size)

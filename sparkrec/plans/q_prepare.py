@@ -49,3 +49,9 @@ def q_core_20_20(spark, sf):
 SELECT userId, movieId, rating, ts AS "timestamp" FROM af10""")
 def q_core_20_25(spark, sf):
     return core_ratings(spark, sf, 20, 25, max_iter=10)
+
+
+@query("ratings_core_20_25", O.with_(O.RATINGS, O.activity_filter_sql("ratings", 20, 25, 20)) + """
+SELECT userId, movieId, rating, ts AS "timestamp" FROM af20""")
+def q_core_20_25_fixpoint(spark, sf):
+    return core_ratings(spark, sf, 20, 25)

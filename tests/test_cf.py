@@ -4,28 +4,25 @@ from sparkrec.operators import cf, similarity
 
 
 def unseen_case(spark):
-    rows = []
-    for u in range(1, 30):
-        rows += [(u, 1, 5.0), (u, 2, 4.0), (u, 3, 4.5), (u, 5, 3.0)]
-        if u >= 5:
-            rows.append((u, 4, 4.0))
-    rows.append((100, 1, 2.0))
-    return ratings_df(spark, rows, with_ts=False)
+    """Movies 11-13 are rated by all, 14 by all but the first three users; user 70 likes nothing."""
+    rows = [(u, m, 3.5 + (u + m) % 3 / 2) for u in range(1, 21) for m in (11, 12, 13)]
+    rows += [(u, 14, 4.5) for u in range(4, 21)]
+    return ratings_df(spark, [*rows, (70, 11, 1.5), (70, 13, 3.0)], with_ts=False)
 
 
 def test_cf_recommends_unseen(spark):
     r = unseen_case(spark)
     sim = similarity.item_similarity(r, 100)
     recs = cf.recommend(r, sim, r.select("userId").filter("userId = 1"), k=10).collect()
-    assert [x.movieId for x in recs] == [4]
+    assert [x.movieId for x in recs] == [14]
 
 
 def test_status_rows(spark):
     r = unseen_case(spark)
     sim = similarity.item_similarity(r, 100)
-    users = spark.createDataFrame([(1,), (5,), (100,), (999999,)], "userId long")
+    users = spark.createDataFrame([(1,), (5,), (70,), (8888,)], "userId long")
     got = {x.userId: x.status for x in cf.recommend_status(r, sim, users).collect()}
-    assert got == {1: "ok", 5: "no_candidates", 100: "no_liked", 999999: "unknown_user"}
+    assert got == {1: "ok", 5: "no_candidates", 70: "no_liked", 8888: "unknown_user"}
 
 
 def test_true_top_k_not_first_k_by_id(spark):

@@ -5,13 +5,11 @@ from sparkrec.operators import stats
 
 
 def rare_item(spark):
-    rows = []
-    for u in range(1, 30):
-        rows += [(u, 1, 4.5), (u, 2, 4.0), (u, 3, 3.5)]
-    rows.append((1, 4, 5.0))
-    movies = movies_df(spark, [(1, "A (2000)", "Drama"), (2, "B (2001)", "Comedy|Drama"),
-                               (3, "C (2002)", "Horror"), (4, "D (2003)", "Drama")])
-    return ratings_df(spark, rows), movies
+    """Movie 1 is liked by many, 2 and 3 less; movie 4 has the best mean from a single rating."""
+    rows = [(40 + u, m, score) for u in range(29) for m, score in ((3, 2.0 + u % 2), (1, 4.5), (2, 3.0 + u % 2 / 2))]
+    movies = movies_df(spark, [(4, "Quiet Lake (2011)", "Drama|Western"), (2, "Two Ships (1994)", "Adventure|Drama"),
+                               (1, "The Mill (1987)", "Drama"), (3, "Night Bus (2019)", "Thriller")])
+    return ratings_df(spark, [*rows, (55, 4, 5.0)]), movies
 
 
 def test_rare_item_ranks_below(spark):
@@ -31,7 +29,7 @@ def test_genre_filter_and_m_fallback(spark):
     ids = [x.movieId for x in stats.top_movies(m, s, 10, genre="dRaMa").collect()]
     assert set(ids) <= {1, 2, 4} and ids[0] == 1
     # genre filter runs before the m rule
-    ids = [x.movieId for x in stats.top_movies(m, s, 10, genre="horror").collect()]
+    ids = [x.movieId for x in stats.top_movies(m, s, 10, genre="thriller").collect()]
     assert ids == [3]
 
 
