@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import accumulate, chain
 
 import numpy as np
 
@@ -32,9 +33,9 @@ WHITE, LETTER, DIGIT, OTHER = range(4)
 KIND = np.array([WHITE if chr(c) in " \n" else LETTER if chr(c).isalpha() else DIGIT if chr(c).isdecimal() else OTHER
                  for c in range(256)], np.uint8)
 
-MEMO_ENTRIES = 450_000
+MEMO_ENTRIES = 500_000
 MEMO_CHARS = 64
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 22
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _POWERS = np.cumprod(np.full(BLOCK_CHARS, BASE, np.uint64))
 _INVERSES = np.cumprod(np.full(BLOCK_CHARS, pow(BASE, -1, 1 << 64), np.uint64))
@@ -73,7 +74,10 @@ class Encoder:
 
     def _fresh(self, texts: list[str], single: bool = False) -> list[bytes]:
         found = (self.single if single else self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        ids = [x.ids for x in found]
+        raw = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+        ends = [4 * n for n in accumulate(map(len, ids))]
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def _remembered(self, parts: list[bytes] | list[str]) -> list[bytes]:
         """Ids of distinct parts (bytes: Latin-1 pre-tokens); new ones go to the library together."""

@@ -44,7 +44,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in pieces(batches, 2000):
+        for batch in pieces(batches, 5000):
             docs, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices([len(t) for t in texts], BLOCK_CHARS):
                 cols: list[list] = [[], [], [], [], []]

@@ -144,7 +144,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             data = shard_bytes(part, seq, names, lengths, b"".join(held), width)
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["payload"])
 
-        for batch in pieces(batches, 2000):
+        for batch in pieces(batches, 5000):
             docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices([len(t) for t in texts], BLOCK_CHARS):
                 for doc, ids in zip(docs[a:b], enc.encode_all(texts[a:b])):
