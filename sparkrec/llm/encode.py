@@ -22,6 +22,7 @@ from itertools import accumulate, chain
 import numpy as np
 
 from sparkrec.llm.common import slices
+from sparkrec.llm.shingles import BASE, powers
 
 SEGMENT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 UNUSUAL_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
@@ -36,15 +37,22 @@ KIND = np.array([WHITE if chr(c) in " \n" else LETTER if chr(c).isalpha() else D
 MEMO_ENTRIES = 500_000
 MEMO_CHARS = 64
 BLOCK_CHARS = 1 << 22
-BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_POWERS = np.cumprod(np.full(BLOCK_CHARS, BASE, np.uint64))
-_INVERSES = np.cumprod(np.full(BLOCK_CHARS, pow(BASE, -1, 1 << 64), np.uint64))
+WINDOW = 1 << 19
 
 
 def token_keys(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """A 64-bit key of each ``data[first:last]``, from prefix sums of a polynomial."""
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWERS[:len(data)])])
-    return (sums[last] - sums[first]) * _INVERSES[first]
+    """A 64-bit key of each ``data[first:last]``, from prefix sums of a polynomial, a window of tokens at a time."""
+    out = np.empty(len(first), np.uint64)
+    cuts = np.unique(np.searchsorted(first, np.arange(0, len(data), WINDOW))).tolist()
+    for i, j in zip(cuts, [*cuts[1:], len(first)]):
+        if i == j:
+            continue
+        at, n = first[i], int(last[j - 1] - first[i])
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data[at:at + n].astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=sums[1:])
+        inverse = powers(pow(BASE, -1, 1 << 64), n)
+        out[i:j] = (sums[last[i:j] - at] - sums[first[i:j] - at]) * inverse[first[i:j] - at]
+    return out
 
 
 class Encoder:
