@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkrec.functions import text
-from sparkrec.operators.similarity import top_neighbours
-from sparkrec.operators.tiles import cosine_pairs
+from sparkrec.operators.collapse import top_similar
 
 
 def genre_features(movies_clean: DataFrame, check: bool = True) -> DataFrame:
@@ -29,13 +28,12 @@ def similar_by_genre(movies_clean: DataFrame, k: int = 10) -> DataFrame:
     """R13 for every movie at once: top-``k`` genre-cosine neighbours (positive, self excluded).
 
     Output ``(query_movieId, movieId, similarity, rank, shared_genres)``.
-    The pairwise cosine runs on the tiled product, so a genre shared by half
-    the catalog never becomes one giant join key.
+    The pairwise cosine runs on the tiled product over distinct genre vectors
+    only, so neither a common genre nor a common genre list is one join key.
     """
     feats = genre_features(movies_clean)
-    sims = cosine_pairs(feats, "token", "movieId", "count", top_k=k)
-    top = top_neighbours(sims.select(F.col("i").alias("query_movieId"), F.col("j").alias("movieId"),
-                                     "sim", "sim_r"), k, item="query_movieId", neighbour="movieId")
+    top = top_similar(feats, "token", "movieId", "count", k).select(
+        F.col("i").alias("query_movieId"), F.col("j").alias("movieId"), "sim", "rank")
     g = movies_clean.select("movieId", "genres")
     q = g.select(F.col("movieId").alias("query_movieId"), F.col("genres").alias("query_genres"))
     return (top.join(q, "query_movieId").join(g, "movieId")
@@ -51,11 +49,13 @@ def items_without_genres(movies_clean: DataFrame, query_items: DataFrame | None
     return m
 
 
-def genre_overlap(recs: DataFrame, movies_clean: DataFrame, k: int = 10) -> DataFrame:
+def genre_overlap(recs: DataFrame, movies_clean: DataFrame, k: int = 10,
+                  queries: DataFrame | None = None) -> DataFrame:
     """E8 per query movie: share of its top-``k`` recs sharing a genre (sentinel ignored).
 
     Denominator ``min(k, rows)``; 0 when the query movie has no genre.
-    ``recs`` has (query_movieId, movieId, rank).
+    ``recs`` has (query_movieId, movieId, rank).  ``queries`` (movieId) names the
+    movies that were asked for: one without any rec gets a row of 0.
     """
     if k <= 0:
         raise ValueError("k must be greater than 0")
@@ -65,8 +65,11 @@ def genre_overlap(recs: DataFrame, movies_clean: DataFrame, k: int = 10) -> Data
     per = top.groupBy("query_movieId").agg(
         F.count(F.lit(1)).alias("n_recs"),
         F.count_if(F.arrays_overlap("q_list", "genres_list") & (F.size("q_list") > 0)).alias("n_shared"))
-    return per.select("query_movieId", "n_recs",
-                      (F.col("n_shared") / F.least(F.lit(k), F.col("n_recs"))).alias("genre_overlap"))
+    if queries is not None:
+        asked = queries.select(F.col("movieId").alias("query_movieId")).distinct()
+        per = asked.join(per, "query_movieId", "left").na.fill(0, ["n_recs", "n_shared"])
+    share = F.try_divide(F.col("n_shared"), F.least(F.lit(k), F.col("n_recs")))
+    return per.select("query_movieId", "n_recs", F.coalesce(share, F.lit(0.0)).alias("genre_overlap"))
 
 
 def resolve_titles(queries: DataFrame, movies: DataFrame) -> DataFrame:

@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkrec.functions import stopwords, text
-from sparkrec.operators.similarity import top_neighbours
-from sparkrec.operators.tiles import cosine_pairs
+from sparkrec.operators.collapse import top_similar
 from sparkrec.schemas import require_columns
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"   # runs of >= 2 word characters
@@ -85,7 +84,5 @@ def tfidf(docs: DataFrame, doc: str = "movieId", text_col: str = "feature_text",
 
 def similar_by_tfidf(weights: DataFrame, k: int = 10, doc: str = "movieId") -> DataFrame:
     """R15 for every item: top-``k`` cosine neighbours (self excluded) -> content_score."""
-    sims = cosine_pairs(weights, "term", doc, "weight", top_k=k)
-    top = top_neighbours(sims.select(F.col("i").alias("query_movieId"), F.col("j").alias("movieId"),
-                                     "sim", "sim_r"), k, item="query_movieId", neighbour="movieId")
-    return top.select("query_movieId", "movieId", F.col("sim").alias("content_score"), "rank")
+    return top_similar(weights, "term", doc, "weight", k).select(
+        F.col("i").alias("query_movieId"), F.col("j").alias("movieId"), F.col("sim").alias("content_score"), "rank")

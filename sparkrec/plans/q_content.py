@@ -45,14 +45,14 @@ def q_similar_items_genre(spark, sf):
 
 
 @query("genre_overlap", O.with_(SIMILAR_GENRE_SQL) + """
-SELECT gs.movieId AS query_movieId, count(*) AS n_recs,
-  count(*) FILTER (WHERE len(q.genres_list) > 0 AND len(list_intersect(q.genres_list, m.genres_list)) > 0)
-    / least(10, count(*)) AS genre_overlap
-FROM gs JOIN mc q ON q.movieId = gs.movieId JOIN mc m ON m.movieId = gs.neighborId GROUP BY 1""")
+SELECT q.movieId AS query_movieId, count(m.movieId) AS n_recs,
+  coalesce(count(*) FILTER (WHERE len(q.genres_list) > 0 AND len(list_intersect(q.genres_list, m.genres_list)) > 0)
+    / nullif(least(10, count(m.movieId)), 0), 0) AS genre_overlap
+FROM mc q LEFT JOIN gs ON q.movieId = gs.movieId LEFT JOIN mc m ON m.movieId = gs.neighborId GROUP BY 1""")
 def q_genre_overlap(spark, sf):
     mc = movies_clean(spark, sf)
     recs = content.similar_by_genre(mc, k=10)
-    return content.genre_overlap(recs, mc, k=10)
+    return content.genre_overlap(recs, mc, k=10, queries=mc)
 
 
 def title_queries(spark, sf):
