@@ -289,9 +289,9 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, top_k: int
 
 # --- left x right scoring with per-row top-N (profiles x catalog) -----------
 
-USER_BLOCK = 512          # users per scoring tile
-ITEM_BLOCK = 32768        # items per scoring tile (a one-block catalog makes tile ranks final)
-SCORE_SCHEMA = "u long, i long, score double, score_r double, rank int"
+USER_BLOCK = 2048         # users per scoring tile
+ITEM_BLOCK = 4096         # distinct item vectors per scoring tile
+SCORE_SCHEMA = "u long, i long, score double, score_r double, size long, need long"
 
 
 DENSE_RATIO = 256         # a BLAS multiply-add is ~this much cheaper than one enumerated pair
@@ -364,86 +364,66 @@ def _accumulate(ka, ca, va, kb, cb, vb, na: int, nb: int) -> np.ndarray:
     return acc.reshape(na, nb)
 
 
-def _score_tile(n: int):
-    """Cosine of each left row (user) with each right row (item); seen excluded; top-N per user."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        side = pdf["side"].to_numpy()
-        left, right, seen = pdf[side == 0], pdf[side == 1], pdf[side == 2]
-        if left.empty or right.empty:
-            return pd.DataFrame({"u": pd.Series([], dtype="int64"), "i": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64"),
-                                 "score_r": pd.Series([], dtype="float64"),
-                                 "rank": pd.Series([], dtype="int32")})
-        users, ua = np.unique(left["a"].to_numpy(), return_inverse=True)
-        items, ia = np.unique(right["a"].to_numpy(), return_inverse=True)
-        unorm = np.zeros(len(users))
-        unorm[ua] = left["nrm"].to_numpy()
-        inorm = np.zeros(len(items))
-        inorm[ia] = right["nrm"].to_numpy()
-        acc = _accumulate(left["t"].to_numpy(), ua, left["v"].to_numpy(dtype=np.float64),
-                          right["t"].to_numpy(), ia, right["v"].to_numpy(dtype=np.float64),
-                          len(users), len(items))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            score = acc / np.outer(unorm, inorm)
-        score[~np.isfinite(score)] = 0.0
-        if not seen.empty:
-            su = np.searchsorted(users, seen["a"].to_numpy())
-            si = np.searchsorted(items, seen["b"].to_numpy())
-            ok = (su < len(users)) & (si < len(items))
-            ok &= (users[np.minimum(su, len(users) - 1)] == seen["a"].to_numpy())
-            ok &= (items[np.minimum(si, len(items) - 1)] == seen["b"].to_numpy())
-            score[su[ok], si[ok]] = 0.0
-        keep = _top_mask(score, n)
-        r, c = np.nonzero(keep)
-        s = score[r, c]
-        sr = np.round(s, RANK_DIGITS)
-        # rank inside the tile under (score_r desc, item asc); final when one block holds the catalog
-        order = np.lexsort((c, -sr, r))
-        rs = r[order]
-        first = np.r_[True, rs[1:] != rs[:-1]] if len(rs) else np.zeros(0, dtype=bool)
-        start = np.maximum.accumulate(np.where(first, np.arange(len(rs)), 0)) if len(rs) else rs
-        rank = np.empty(len(rs), dtype=np.int32)
-        rank[order] = (np.arange(len(rs)) - start + 1).astype(np.int32)
-        return pd.DataFrame({"u": users[r].astype(np.int64), "i": items[c].astype(np.int64),
-                             "score": s, "score_r": sr, "rank": rank})
-    return run
-
-
-def score_top_n(left: DataFrame, right: DataFrame, seen: DataFrame, n: int) -> tuple[DataFrame, bool]:
-    """Top-``n`` positive cosine scores per user among unseen items.
-
-    ``left(u, t, w, unorm)``: sparse user vectors; ``right(i, t, x, inorm)``:
-    sparse item vectors; ``seen(u, i)``: pairs to exclude.  Tiles are
-    (user block, item block): user rows are copied to every item block and
-    item rows to every user block, seen pairs go to one tile.  Each tile keeps
-    a tie-inclusive top-``n`` per user, so only ``n`` rows per user and item
-    block leave the task; the caller ranks the union exactly.  A user's vector
-    is bounded by the vocabulary, so heavy users do not grow a tile.
-    Returns ``(scores, final)``; ``final`` means one item block held the whole
-    catalog, so the tile ``rank`` is already the user's global rank.
+def _unpack(rows: pd.DataFrame):
+    """(row number, key, value) of every entry of packed rows."""
+    n = rows["t"].map(len).to_numpy()
+    at = np.repeat(np.arange(len(rows)), n)
+    return at, np.concatenate(list(rows["t"])), np.concatenate(list(rows["v"])).astype(np.float64)
+
+
+def _needed(r: np.ndarray, positive: np.ndarray, size: np.ndarray, need: np.ndarray):
+    """(user, item) positions whose better-scored items of the tile are together fewer than ``need[user]``."""
+    m = r.shape[1]  # every vector counts at least once, so a user's ``need`` best scores (with ties) hold them all
+    kth = np.array([np.partition(row, m - k)[m - k] if k < m else 0.0 for row, k in zip(r, need)])
+    u, c = np.nonzero(positive & (r >= kth[:, None]))
+    if not len(u):
+        return u, c
+    order = np.lexsort((-r[u, c], u))
+    u, c = u[order], c[order]
+    level, ahead = r[u, c], np.cumsum(size[c]) - size[c]
+    user_start = np.r_[True, u[1:] != u[:-1]]
+    level_start = user_start | np.r_[True, level[1:] != level[:-1]]
+    before = ahead[level_start][np.cumsum(level_start) - 1] - ahead[user_start][np.cumsum(user_start) - 1]
+    keep = before < need[u]
+    return u[keep], c[keep]
+
+
+def _score_tile(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Cosine of each user of a tile with each of its item vectors; every vector that may reach the user's list."""
+    left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+    out = dict.fromkeys(["u", "i", "score", "score_r", "size", "need"], np.zeros(0))
+    if len(left) and len(right):
+        ul, tl, vl = _unpack(left)
+        ir, tr, vr = _unpack(right)
+        score = _accumulate(tl, ul, vl, tr, ir, vr, len(left), len(right))
+        norms = np.outer(np.sqrt(np.bincount(ul, vl * vl, len(left))), np.sqrt(np.bincount(ir, vr * vr, len(right))))
+        score = np.divide(score, norms, out=np.zeros_like(score), where=norms > 0)
+        r = np.round(score, RANK_DIGITS)
+        size, need = right["n"].to_numpy(), left["n"].to_numpy()
+        u, c = _needed(r, score > 0, size, need)
+        out = {"u": left["a"].to_numpy()[u], "i": right["a"].to_numpy()[c], "score": score[u, c], "score_r": r[u, c],
+               "size": size[c], "need": need[u]}
+    return pd.DataFrame(out)
+
+
+def score_vectors(left: DataFrame, right: DataFrame, n_users: int, n_items: int) -> DataFrame:
+    """Positive cosine scores of users with distinct item vectors, as far as a user's list can need them.
+
+    ``left(a, t, v, n)`` holds a user per row (keys ``t`` and values ``v`` as
+    arrays) and how many items it needs; ``right(a, t, v, n)`` an item vector
+    per row and how many items share it.  Tiles are (user block, item block):
+    users are copied to every item block and item vectors to every user block.
+    A user's vector is bounded by the vocabulary, so no tile grows with a heavy
+    user.  A vector leaves its tile if fewer than ``need`` items of the tile
+    score better, which any list of ``need`` items is covered by.
     """
-    sizes = (left.agg(F.approx_count_distinct("u").alias("nu")).first()["nu"] or 0,
-             right.agg(F.approx_count_distinct("i").alias("ni")).first()["ni"] or 0)
     par = left.sparkSession.sparkContext.defaultParallelism
-    n_ib = max(1, math.ceil(sizes[1] / ITEM_BLOCK))
-    n_ub = max(1, math.ceil(sizes[0] / USER_BLOCK), math.ceil(2 * par / n_ib))
-    n_ub = min(n_ub, max(1, sizes[0]))
-    seq = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
-    ub = lambda c: F.pmod(F.xxhash64(c), F.lit(n_ub))
-    ib = lambda c: F.pmod(F.xxhash64(c), F.lit(n_ib))
-    cols = ["ub", "ib", "side", "t", "a", "b", "v", "nrm"]
-    lrows = left.select(ub("u").alias("ub"), seq(n_ib).alias("ib"), F.lit(0).alias("side"),
-                        F.col("t").cast("string").alias("t"), F.col("u").cast("long").alias("a"),
-                        F.lit(None).cast("long").alias("b"), F.col("w").cast("double").alias("v"),
-                        F.col("unorm").cast("double").alias("nrm"))
-    rrows = right.select(seq(n_ub).alias("ub"), ib("i").alias("ib"), F.lit(1).alias("side"),
-                         F.col("t").cast("string").alias("t"), F.col("i").cast("long").alias("a"),
-                         F.lit(None).cast("long").alias("b"), F.col("x").cast("double").alias("v"),
-                         F.col("inorm").cast("double").alias("nrm"))
-    srows = seen.select(ub("u").alias("ub"), ib("i").alias("ib"), F.lit(2).alias("side"),
-                        F.lit(None).cast("string").alias("t"), F.col("u").cast("long").alias("a"),
-                        F.col("i").cast("long").alias("b"), F.lit(None).cast("double").alias("v"),
-                        F.lit(None).cast("double").alias("nrm"))
-    allrows = lrows.select(*cols).unionByName(rrows.select(*cols)).unionByName(srows.select(*cols))
-    allrows = allrows.repartition(2 * n_ub * n_ib, "ub", "ib")   # ~one partition per tile (see _tiles)
-    return allrows.groupBy("ub", "ib").applyInPandas(_score_tile(n), SCORE_SCHEMA), n_ib == 1
+    n_ib = max(1, math.ceil(n_items / ITEM_BLOCK))
+    n_ub = min(max(1, n_users), max(math.ceil(n_users / USER_BLOCK), math.ceil(2 * par / n_ib)))
+    every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
+    block = lambda m: F.pmod(F.xxhash64("a"), F.lit(m))
+    packed = ["a", "t", "v", F.col("n").cast("long").alias("n")]
+    rows = (left.select(block(n_ub).alias("ub"), every(n_ib).alias("ib"), F.lit(0).alias("side"), *packed)
+            .unionByName(right.select(every(n_ub).alias("ub"), block(n_ib).alias("ib"), F.lit(1).alias("side"), *packed)))
+    tiles = rows.repartition(min(2 * n_ub * n_ib, 16 * par), "ub", "ib")   # tiles spread evenly (see _tiles)
+    return tiles.groupBy("ub", "ib").applyInPandas(_score_tile, SCORE_SCHEMA)
