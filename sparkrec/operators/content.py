@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrec.functions import text
@@ -72,6 +72,14 @@ def genre_overlap(recs: DataFrame, movies_clean: DataFrame, k: int = 10,
     return per.select("query_movieId", "n_recs", F.coalesce(share, F.lit(0.0)).alias("genre_overlap"))
 
 
+def _grams(text_col: Column, n: Column) -> Column:
+    """Every part of ``n`` characters of the lower-cased text; no row for a shorter one."""
+    low = F.lower(text_col)
+    last = F.length(low) - n + 1
+    at = F.when((last > 0) & (n > 0), F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    return F.explode(F.transform(at, lambda i: F.substring(low, i, n))).alias("gram")
+
+
 def resolve_titles(queries: DataFrame, movies: DataFrame) -> DataFrame:
     """P17 for a batch of ``query`` strings -> ``(query, movieId, method)``.
 
@@ -79,8 +87,9 @@ def resolve_titles(queries: DataFrame, movies: DataFrame) -> DataFrame:
     unknown id -> unresolved); exact title; case-insensitive substring, where
     titles containing both '(' and ')' are preferred, then shorter, then
     alphabetical, then smaller id.  The substring pass joins through a
-    trigram index on titles (a title contains the query only if it contains
-    the query's first trigram), so it is an equi-join, not queries x titles.
+    trigram index on titles: a title contains the query only if it contains
+    the query's rarest trigram, which decides the candidates (ids; titles are
+    joined to these alone).  A query of one or two characters is its own gram.
     """
     q = queries.select("query").distinct()
     m = movies.select("movieId", "title").filter(F.col("title").isNotNull())
@@ -95,19 +104,14 @@ def resolve_titles(queries: DataFrame, movies: DataFrame) -> DataFrame:
              .groupBy("query").agg(F.min("movieId").alias("movieId"))
              .withColumn("method", F.lit("exact")))
     rest = text_q.join(exact.select("query"), "query", "left_anti")
-    lq = F.lower(F.col("query"))
-    key_len = F.least(F.length(lq), F.lit(3))
-    rest_k = rest.withColumn("_key", F.substring(lq, 1, 3)).withColumn("_kl", key_len)
-    lt = F.lower(F.col("title"))
-    grams = m.select("movieId", "title",
-                     F.explode(F.sequence(F.lit(1), F.greatest(F.length(lt), F.lit(1)))).alias("_p"))
-    grams = grams.select("movieId", "title", F.explode(F.array(
-        *[F.struct(F.lit(n).alias("_kl"), F.substring(F.lower(F.col("title")), F.col("_p"), n).alias("_key"))
-          for n in (1, 2, 3)])).alias("_g")) \
-        .select("movieId", "title", F.col("_g._kl").alias("_kl"), F.col("_g._key").alias("_key")) \
-        .filter(F.length("_key") == F.col("_kl")).distinct()
-    cand = (rest_k.join(grams, ["_key", "_kl"])
-            .filter(F.lower(F.col("title")).contains(F.lower(F.col("query")))))
+    wanted = rest.select("query", _grams(F.col("query"), F.least(F.length(F.lower("query")), F.lit(3)))).distinct()
+    posted = m.select("movieId", F.lower("title").alias("lt")).select("movieId", F.explode(F.array(*map(F.lit, (1, 2, 3)))).alias("n"), "lt")
+    posted = (posted.select("movieId", _grams(F.col("lt"), F.col("n"))).distinct()
+              .join(wanted.select("gram").distinct(), "gram", "left_semi"))
+    rare = wanted.join(posted.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "gram", "left") \
+        .groupBy("query").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("g"))
+    cand = (rare.filter("g.n > 0").select("query", F.col("g.gram").alias("gram")).join(posted, "gram")
+            .join(m, "movieId").filter(F.lower(F.col("title")).contains(F.lower(F.col("query")))))
     paren = (F.col("title").contains("(") & F.col("title").contains(")"))
     best = cand.groupBy("query").agg(F.min(F.struct(
         (~paren).alias("np"), F.length("title").alias("len"), F.col("title").alias("t"),

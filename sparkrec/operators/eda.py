@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkrec.functions import text
-from sparkrec.operators.tiles import cooccurrence
+from sparkrec.operators.tiles import cosine_pairs
 
 
 def sparsity(ratings: DataFrame) -> DataFrame:
@@ -102,12 +102,12 @@ def co_liked(ratings: DataFrame, k: int = 10, threshold: float = 4.0) -> DataFra
     """Per movie, the ``k`` movies liked by most of the same users.
 
     ``n_users(a, b)`` is the co-occurrence count of two movies in the liked
-    set, computed by the tiled product (no per-user pair explosion).
+    set, computed by the tiled product (no per-user pair explosion); of a tile
+    only each movie's ``k`` best leave it.
     """
     likes = ratings.filter(F.col("rating") >= threshold).select("userId", "movieId", F.lit(1.0).alias("one"))
-    pairs = cooccurrence(likes, "userId", "movieId", "one")
-    both = pairs.select(F.col("a").alias("query_movieId"), F.col("b").alias("movieId"), "dot").unionByName(
-        pairs.select(F.col("b").alias("query_movieId"), F.col("a").alias("movieId"), "dot"))
+    pairs = cosine_pairs(likes, "userId", "movieId", "one", top_k=k, unit=False)
     w = Window.partitionBy("query_movieId").orderBy(F.col("n_users").desc(), F.col("movieId").asc())
-    return (both.select("query_movieId", "movieId", F.col("dot").cast("long").alias("n_users"))
+    return (pairs.select(F.col("i").alias("query_movieId"), F.col("j").alias("movieId"),
+                         F.rint("sim").cast("long").alias("n_users"))
             .withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))

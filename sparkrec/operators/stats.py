@@ -99,7 +99,7 @@ def ranked_popularity(ranking: DataFrame) -> DataFrame:
                     (F.col("_off") + F.col("_pos") - F.col("_p0") + 1).cast("long").alias("pop_rank")))
 
 
-RANK_CHUNK = 4096
+RANK_CHUNK = 1024
 
 
 def popular_recs(users: DataFrame, train: DataFrame, ranked: DataFrame, top_k: int = 10) -> DataFrame:
@@ -107,9 +107,9 @@ def popular_recs(users: DataFrame, train: DataFrame, ranked: DataFrame, top_k: i
 
     A user who has seen ``s`` movies needs at most ranks ``1 .. top_k + s``, so
     the candidate work per user is linear in that user's own history and never
-    pairs users with the whole catalog.  Candidate ranks are generated in
-    chunks of ``RANK_CHUNK`` that are spread over tasks before they are
-    expanded, so one heavy user does not land in a single task; seen pairs go
+    pairs users with the whole catalog.  The ranking is packed in chunks of
+    ``RANK_CHUNK`` movies; each chunk is copied to as many salts as there are
+    shuffle partitions, because every user needs the first one.  Seen pairs go
     through an anti join and ``row_number`` per user (with a map-side group
     limit) keeps the first ``top_k``.  ``ranked`` comes from ``ranked_popularity``.
     """
@@ -119,15 +119,15 @@ def popular_recs(users: DataFrame, train: DataFrame, ranked: DataFrame, top_k: i
     u = users.select("userId").distinct()
     depth = (u.join(seen.groupBy("userId").agg(F.count(F.lit(1)).alias("s")), "userId", "left")
              .select("userId", (F.lit(top_k) + F.coalesce(F.col("s"), F.lit(0))).alias("depth")))
-    chunks = depth.select(
-        "userId", "depth",
-        F.explode(F.sequence(F.lit(0), ((F.col("depth") - 1) / RANK_CHUNK).cast("long"))).alias("c"))
-    chunks = chunks.repartition("userId", "c")
-    ranks = chunks.select(
-        "userId",
-        F.explode(F.sequence(F.col("c") * RANK_CHUNK + 1,
-                             F.least(F.col("depth"), (F.col("c") + 1) * RANK_CHUNK))).alias("pop_rank"))
-    cand = ranks.join(ranked.select("pop_rank", "movieId"), "pop_rank")
+    salts = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = depth.select("userId", "depth", F.pmod(F.xxhash64("userId"), F.lit(salts)).alias("salt"),
+                          F.explode(F.sequence(F.lit(0), F.floor((F.col("depth") - 1) / RANK_CHUNK).cast("int"))).alias("c"))
+    packed = ranked.groupBy(F.floor((F.col("pop_rank") - 1) / RANK_CHUNK).cast("int").alias("c")).agg(
+        F.array_sort(F.collect_list(F.struct("pop_rank", "movieId"))).alias("movies"))
+    packed = packed.select("c", "movies", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
+    part = F.slice("movies", F.lit(1), F.least(F.lit(RANK_CHUNK), F.col("depth") - F.col("c") * RANK_CHUNK).cast("int"))
+    cand = wanted.join(packed, ["c", "salt"]).select("userId", F.explode(part).alias("m")) \
+        .select("userId", "m.pop_rank", "m.movieId")
     cand = cand.join(seen, ["userId", "movieId"], "left_anti")
     w = Window.partitionBy("userId").orderBy("pop_rank")
     return (cand.withColumn("rank", F.row_number().over(w))

@@ -161,10 +161,12 @@ def _top_mask(sim: np.ndarray, k: int) -> np.ndarray:
     return keep & pos
 
 
-def _tile_cosine_topk(k: int | None, max_cells: int = MAX_ACC_CELLS):
-    """Tile kernel when one row-group holds all rows: exact cosine + per-column top-k."""
+def _tile_cosine_topk(k: int | None, max_cells: int = MAX_ACC_CELLS, unit: bool = True):
+    """Tile kernel when one row-group holds all rows: exact cosine (or dot, if not ``unit``) + per-column top-k."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi, cols_a, cols_b, acc, norm_a, norm_b = _block_product(pdf, max_cells)
+        if not unit:
+            norm_a, norm_b = np.ones(len(cols_a)), np.ones(len(cols_b))
         if isinstance(acc, tuple):
             return _sparse_cosine_topk(lo, hi, cols_a, cols_b, acc, norm_a, norm_b, k)
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -208,28 +210,31 @@ def _sparse_cosine_topk(lo, hi, cols_a, cols_b, acc, norm_a, norm_b, k):
 
 
 def plan_tiles(n_cols: int, n_entries: int, parallelism: int,
-               tile_entries: int = TILE_ENTRIES) -> tuple[int, int]:
+               tile_entries: int = TILE_ENTRIES, largest: int = 0) -> tuple[int, int]:
     """Choose (column blocks ``nb``, row-groups ``P``).
 
     Prefer ``P = 1`` (every tile sees all rows, so cosine and top-k finish
     inside the tile).  ``nb`` grows until tiles hold ``tile_entries`` and there
     are enough tiles for the cluster, capped at ``MAX_BLOCKS`` copies per entry;
     past that, rows are split into ``P`` groups whose partial sums are added.
+    ``largest`` is the size of the largest column: one that fills a tile alone
+    is split over row-groups too.
     """
     nb = max(1, math.ceil(n_cols / MAX_COL_BLOCK), math.ceil(2 * n_entries / tile_entries) - 1)
     while nb * (nb + 1) // 2 < 2 * parallelism and nb < n_cols and nb < MAX_BLOCKS:
         nb += 1
     nb = max(1, min(nb, MAX_BLOCKS, max(n_cols, 1)))
-    p = max(1, math.ceil(2 * n_entries / ((nb + 1) * tile_entries)))
+    p = max(1, math.ceil(2 * n_entries / ((nb + 1) * tile_entries)), math.ceil(largest / tile_entries))
     return nb, p
 
 
 def _tiles(entries: DataFrame, row: str, col: str, value: str, tile_entries: int):
     e = entries.select(F.col(row).alias("r"), F.col(col).cast("long").alias("c"),
                        F.col(value).cast("double").alias("v"))
-    sizes = e.agg(F.approx_count_distinct("c").alias("nc"), F.count(F.lit(1)).alias("n")).first()
+    sizes = e.groupBy("c").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.count(F.lit(1)).alias("nc"), F.sum("n").alias("n"), F.max("n").alias("largest")).first()
     par = entries.sparkSession.sparkContext.defaultParallelism
-    nb, p = plan_tiles(int(sizes["nc"] or 0), int(sizes["n"] or 0), par, tile_entries)
+    nb, p = plan_tiles(sizes["nc"], sizes["n"] or 0, par, tile_entries, sizes["largest"] or 0)
     placed = e.select(
         "r", "c", "v",
         F.pmod(F.xxhash64("c"), F.lit(nb)).alias("blk"),
@@ -240,10 +245,10 @@ def _tiles(entries: DataFrame, row: str, col: str, value: str, tile_entries: int
     tiles = fanned.select(
         "r", "c", "v", "blk", "p",
         F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
-    # one partition per tile: an explicit count keeps AQE from packing the
-    # (few, compute-heavy) tiles into one task; the grouping reuses this layout
+    # an explicit count keeps AQE from packing the (few, compute-heavy) tiles
+    # into one task; the grouping reuses this layout
     n_tiles = p * nb * (nb + 1) // 2
-    return tiles.repartition(2 * n_tiles, "p", "lo", "hi").groupBy("p", "lo", "hi"), p
+    return tiles.repartition(min(2 * n_tiles, 16 * par), "p", "lo", "hi").groupBy("p", "lo", "hi"), p
 
 
 def cooccurrence(entries: DataFrame, row: str, col: str, value: str,
@@ -261,24 +266,38 @@ def column_norms(entries: DataFrame, col: str, value: str) -> DataFrame:
         F.sqrt(F.sum(F.col(value).cast("double") * F.col(value).cast("double"))).alias("norm"))
 
 
+def _divided(dots: DataFrame, norms: DataFrame) -> DataFrame:
+    """``(a, b, sim)``: dots over both columns' norms."""
+    na = norms.select(F.col("c").alias("a"), F.col("norm").alias("na"))
+    nb = norms.select(F.col("c").alias("b"), F.col("norm").alias("nb"))
+    return (dots.join(na, "a").join(nb, "b").filter((F.col("na") > 0) & (F.col("nb") > 0))
+            .select("a", "b", (F.col("dot") / (F.col("na") * F.col("nb"))).alias("sim")))
+
+
+def cosine_of(pairs: DataFrame, entries: DataFrame, row: str, col: str, value: str) -> DataFrame:
+    """``(a, b, sim)`` of the named column pairs ``(a, b)`` that share a row: only their entries are joined."""
+    e = entries.select(F.col(row).alias("r"), F.col(col).cast("long").alias("c"), F.col(value).cast("double").alias("v"))
+    asked = pairs.select("a", "b").distinct()
+    left = asked.join(e.select(F.col("c").alias("a"), "r", F.col("v").alias("va")), "a")
+    both = left.join(e.select(F.col("c").alias("b"), "r", F.col("v").alias("vb")), ["b", "r"])
+    dots = both.groupBy("a", "b").agg(F.sum(F.col("va") * F.col("vb")).alias("dot"))
+    return _divided(dots, column_norms(entries, col, value))
+
+
 def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, top_k: int | None = None,
-                 tile_entries: int = TILE_ENTRIES, max_acc_cells: int = MAX_ACC_CELLS) -> DataFrame:
-    """Cosine of co-occurring column pairs, both directions: ``(i, j, sim)``.
+                 tile_entries: int = TILE_ENTRIES, max_acc_cells: int = MAX_ACC_CELLS,
+                 unit: bool = True) -> DataFrame:
+    """Cosine of co-occurring column pairs, both directions: ``(i, j, sim, sim_r)``; the plain dot if not ``unit``.
 
     With ``top_k`` the result may be pruned to a superset of each column's
     ``top_k`` best neighbours (ties included); callers rank it exactly.
     """
     grouped, p = _tiles(entries, row, col, value, tile_entries)
     if p == 1:
-        return grouped.applyInPandas(_tile_cosine_topk(top_k, max_acc_cells), SIM_SCHEMA)
+        return grouped.applyInPandas(_tile_cosine_topk(top_k, max_acc_cells, unit), SIM_SCHEMA)
     dots = grouped.applyInPandas(_tile_product(max_acc_cells), OUT_SCHEMA).groupBy("a", "b").agg(F.sum("dot").alias("dot"))
-    norms = column_norms(entries, col, value)
-    na = norms.select(F.col("c").alias("a"), F.col("norm").alias("na"))
-    nb = norms.select(F.col("c").alias("b"), F.col("norm").alias("nb"))
-    sims = (dots.join(na, "a").join(nb, "b")
-            .filter((F.col("na") > 0) & (F.col("nb") > 0))
-            .select("a", "b", (F.col("dot") / (F.col("na") * F.col("nb"))).alias("sim"))
-            .withColumn("sim_r", F.rint(F.col("sim") * 10.0 ** RANK_DIGITS) / 10.0 ** RANK_DIGITS))  # as in the tiles
+    sims = dots.withColumn("sim", F.col("dot")) if not unit else _divided(dots, column_norms(entries, col, value))
+    sims = sims.withColumn("sim_r", F.rint(F.col("sim") * 10.0 ** RANK_DIGITS) / 10.0 ** RANK_DIGITS)  # as in the tiles
     both = sims.select(F.col("a").alias("i"), F.col("b").alias("j"), "sim", "sim_r").unionByName(
         sims.select(F.col("b").alias("i"), F.col("a").alias("j"), "sim", "sim_r"))
     if top_k is None:

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from sparkrec.operators import clean, eda, similarity, stats
-from sparkrec.operators.tiles import cosine_pairs
+from sparkrec.operators.tiles import cosine_of
 from sparkrec.plans import common
 from sparkrec.plans import oracle as O
 from sparkrec.plans.common import core_ratings, movies, r6, ratings
@@ -114,11 +114,11 @@ SELECT pairs.movieId, pairs.neighborId, round(coalesce(ps.sim, 0), 6) AS sim
 FROM pairs LEFT JOIN ps ON ps.movieId = pairs.movieId AND ps.neighborId = pairs.neighborId""")
 def q_pair_similarity(spark, sf):
     c = core_ratings(spark, sf)
-    sims = cosine_pairs(c, "userId", "movieId", "rating").select(
-        F.col("i").alias("movieId"), F.col("j").alias("neighborId"), "sim")
     cm = c.select("movieId").distinct()
     pairs = cm.select("movieId", (F.col("movieId") + 1).alias("neighborId")) \
         .join(cm.select(F.col("movieId").alias("neighborId")), "neighborId", "left_semi")
+    sims = cosine_of(pairs.select(F.col("movieId").alias("a"), F.col("neighborId").alias("b")),
+                     c, "userId", "movieId", "rating").toDF("movieId", "neighborId", "sim")
     return pairs.join(sims, ["movieId", "neighborId"], "left").select(
         "movieId", "neighborId", r6(F.coalesce("sim", F.lit(0.0))).alias("sim"))
 

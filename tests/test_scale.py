@@ -7,7 +7,7 @@ import sys
 import pytest
 from conftest import movies_df, ratings_df
 
-from sparkrec.operators import blend, clean, eda, evaluate, tiles
+from sparkrec.operators import blend, clean, content, eda, evaluate, stats, tiles
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -75,3 +75,49 @@ def test_runs_from_a_foreign_folder_with_submitted_settings(tmp_path):
                                   f"--conf spark.checkpoint.dir={tmp_path} pyspark-shell")
     done = subprocess.run([sys.executable, str(script), ROOT], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=280)
     assert "rows" in done.stdout, done.stderr[-2000:]
+
+
+def test_resolver_picks_the_rarest_gram(spark):
+    """Most titles share their first words; short, empty and over-long queries keep their defined results."""
+    titles = [(i, f"The Return {i:03d} (19{i % 90 + 10})", "Drama") for i in range(90)]
+    titles += [(200, "The Zebra (1999)", "Drama"), (201, "Q", "Drama"), (202, "The Zebra", "Drama")]
+    found = {}
+    queries = ["the zebra", "the return 04", "q", "", "zzz", "the zebra (1999) and more", "TURN 089"]
+    asked = spark.createDataFrame([(x,) for x in queries], "query string")
+    for r in content.resolve_titles(asked, movies_df(spark, titles)).collect():
+        found[r["query"]] = (r["movieId"], r["method"])
+    assert found == {"the zebra": (200, "contains"), "the return 04": (40, "contains"), "q": (201, "contains"),
+                     "": (None, "unresolved"), "zzz": (None, "unresolved"),
+                     "the zebra (1999) and more": (None, "unresolved"), "TURN 089": (89, "contains")}
+
+
+def test_popular_recs_with_a_user_who_saw_most(spark, monkeypatch):
+    monkeypatch.setattr(stats, "RANK_CHUNK", 4)
+    rows = [(1, m, 4.0) for m in range(30)] + [(u, m, 5.0) for u in range(2, 20) for m in range(u % 5, 33, 5)]
+    train = ratings_df(spark, rows, with_ts=False)
+    ranked = stats.ranked_popularity(stats.popular_ranking(train))
+    order = [r["movieId"] for r in ranked.orderBy("pop_rank").collect()]
+    users = spark.createDataFrame([(u,) for u in [*range(1, 20), 99]], "userId long")
+    got = {}
+    for r in stats.popular_recs(users, train, ranked, 5).collect():
+        got.setdefault(r["userId"], {})[r["rank"]] = r["movieId"]
+    for u in [*range(1, 20), 99]:
+        seen = {m for v, m, _ in rows if v == u}
+        assert got.get(u, {}) == dict(enumerate([m for m in order if m not in seen][:5], 1))
+
+
+def test_pairs_asked_for_and_counts(spark):
+    rows = [(u, m, 1.0 + u % 3) for u in range(12) for m in range(8) if (u * m) % 3]
+    entries = ratings_df(spark, rows, with_ts=False)
+    every = {(r["i"], r["j"]): r["sim"] for r in tiles.cosine_pairs(entries, "userId", "movieId", "rating").collect()}
+    asked = spark.createDataFrame([(1, 2), (2, 1), (1, 4), (0, 1), (5, 99)], "a long, b long")
+    got = {(r["a"], r["b"]): r["sim"] for r in tiles.cosine_of(asked, entries, "userId", "movieId", "rating").collect()}
+    assert set(got) == {p for p in [(1, 2), (2, 1), (1, 4), (0, 1), (5, 99)] if p in every}
+    assert all(abs(got[p] - every[p]) < 1e-12 for p in got)
+    liked = entries.withColumn("rating", entries["rating"] + 3)
+    one = {(r["query_movieId"], r["rank"]): (r["movieId"], r["n_users"]) for r in eda.co_liked(liked, 2).collect()}
+    by_user = {u: {m for v, m, _ in rows if v == u} for u in range(12)}
+    for m in range(8):
+        counts = sorted((-sum({m, o} <= s for s in by_user.values()), o) for o in range(8) if o != m)
+        want = [(o, -c) for c, o in counts if c][:2]
+        assert [one[m, k] for k in (1, 2) if (m, k) in one] == want
