@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrec.functions import text
+from sparkrec.operators.backfill import fill_up
 from sparkrec.operators.collapse import top_similar
 
 
@@ -24,16 +25,22 @@ def genre_features(movies_clean: DataFrame, check: bool = True) -> DataFrame:
     return feats
 
 
-def similar_by_genre(movies_clean: DataFrame, k: int = 10) -> DataFrame:
+def similar_by_genre(movies_clean: DataFrame, k: int = 10, backfill: bool = False) -> DataFrame:
     """R13 for every movie at once: top-``k`` genre-cosine neighbours (positive, self excluded).
 
     Output ``(query_movieId, movieId, similarity, rank, shared_genres)``.
     The pairwise cosine runs on the tiled product over distinct genre vectors
     only, so neither a common genre nor a common genre list is one join key.
+    With ``backfill``, lists of movies that have a genre are filled up with the
+    smallest other ids at similarity 0 (D5).
     """
     feats = genre_features(movies_clean)
     top = top_similar(feats, "token", "movieId", "count", k).select(
         F.col("i").alias("query_movieId"), F.col("j").alias("movieId"), "sim", "rank")
+    if backfill:
+        own = feats.select(F.col("movieId").alias("owner")).distinct()
+        top = fill_up(top.toDF("owner", "item", "score", "rank"), own, own.withColumn("item", F.col("owner")),
+                      movies_clean.select(F.col("movieId").alias("item")), k).toDF("query_movieId", "movieId", "sim", "rank")
     g = movies_clean.select("movieId", "genres")
     q = g.select(F.col("movieId").alias("query_movieId"), F.col("genres").alias("query_genres"))
     return (top.join(q, "query_movieId").join(g, "movieId")

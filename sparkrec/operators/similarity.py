@@ -52,11 +52,13 @@ def build_cf_model(ratings: DataFrame, top_k: int = 100) -> dict[str, DataFrame]
 def item_similarity(ratings: DataFrame, top_k: int | None = 100) -> DataFrame:
     """Cosine over raw ratings (missing = 0), self excluded, top ``top_k`` per item.
 
-    ``top_k=None`` (or <= 0) keeps the full positive matrix including the
-    diagonal, like the reference's full-matrix mode.
+    ``top_k=None`` (or <= 0), or at least as many as there are items, keeps the
+    full positive matrix including the diagonal.
     Output ``(movieId, neighborId, sim, rank)``.
     """
     require_columns(ratings, ["userId", "movieId", "rating"], "ratings")
+    if top_k and top_k > 0 and ratings.select("movieId").distinct().limit(top_k + 1).count() <= top_k:
+        top_k = None
     k = top_k if top_k and top_k > 0 else None
     sims = cosine_pairs(ratings, "userId", "movieId", "rating", top_k=k) \
         .select(F.col("i").alias("movieId"), F.col("j").alias("neighborId"), "sim", "sim_r")
@@ -80,8 +82,9 @@ def similar_items(similarity: DataFrame, query_items: DataFrame, k: int = 10) ->
     here; ``unknown_items`` lists them (the reference raises for them).
     """
     q = query_items.select(F.col("movieId").alias("query_movieId")).distinct()
-    hits = (q.join(similarity, q.query_movieId == similarity.movieId)
-            .filter(F.col("rank") <= k)
-            .select("query_movieId", F.col("neighborId").alias("movieId"),
-                    F.col("sim").alias("cf_score"), "rank"))
-    return hits
+    others = similarity.filter("movieId <> neighborId")  # a full matrix lists the item itself
+    w = Window.partitionBy("query_movieId").orderBy("place")
+    return (q.join(others, q.query_movieId == others.movieId).filter(F.col("rank") <= k + 1)
+            .select("query_movieId", F.col("neighborId").alias("movieId"), F.col("sim").alias("cf_score"),
+                    F.col("rank").alias("place"))
+            .withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("place"))

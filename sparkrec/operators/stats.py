@@ -8,30 +8,25 @@ from pyspark.sql import functions as F
 from sparkrec.schemas import require_columns
 
 
-def global_mean(ratings: DataFrame) -> Column:
-    """A2: C = mean over all ratings, as a scalar subquery (no cross join)."""
-    return ratings.select(F.avg("rating")).scalar()
-
-
 def movie_stats(ratings: DataFrame, m_quantile: float = 0.80) -> DataFrame:
-    """A1-A4: avg_rating, num_ratings, weighted_rating per movie.
+    """A1-A4: per movie the mean, the number of ratings and the weighted rating, with ``m`` and ``C``.
 
-    ``C`` and ``m`` enter as scalar subqueries.  ``m`` is the exact, linearly
-    interpolated quantile of per-movie counts; Spark's ``percentile`` keeps one
-    buffer entry per *distinct* count value, so its state stays small however
-    many movies there are.
+    Ratings are read once: the overall mean and the quantile of the counts are
+    scalar subqueries over the checkpointed per-movie table.  Null ratings
+    count nowhere; without any rating there is nothing to rank (an error).
     """
-    require_columns(ratings, ["movieId", "rating"], "ratings")
-    stats = ratings.groupBy("movieId").agg(
-        F.avg("rating").alias("avg_rating"),
-        F.count("rating").alias("num_ratings"),
-    )
-    c = global_mean(ratings)
-    m = stats.select(F.percentile(F.col("num_ratings").cast("double"), m_quantile)).scalar()
+    from sparkrec.session import cut_lineage
+
+    per_movie = cut_lineage(ratings.groupBy("movieId").agg(
+        F.sum("rating").alias("total"), F.avg("rating").alias("avg_rating"), F.count("rating").alias("num_ratings")))
+    if per_movie.filter(F.col("num_ratings") > 0).isEmpty():
+        raise ValueError("no rating to compute movie statistics from")
+    c = per_movie.select(F.sum("total") / F.sum("num_ratings")).scalar()
+    m = per_movie.select(F.percentile(F.col("num_ratings").cast("double"), m_quantile)).scalar()
     v, r = F.col("num_ratings"), F.col("avg_rating")
     wr = (v / (v + m)) * r + (m / (v + m)) * c
-    return stats.select("movieId", "avg_rating", "num_ratings",
-                        wr.alias("weighted_rating"), m.alias("m"), c.alias("C"))
+    return per_movie.select("movieId", "avg_rating", "num_ratings",
+                            wr.alias("weighted_rating"), m.alias("m"), c.alias("C"))
 
 
 def top_movies(movies: DataFrame, stats: DataFrame, top_k: int = 10,

@@ -44,6 +44,21 @@ def q_similar_items_genre(spark, sf):
     return s.select("query_movieId", "movieId", r6("similarity").alias("similarity"), "rank", "shared_genres")
 
 
+@query("similar_items_genre_backfill", O.with_(SIMILAR_GENRE_SQL) + """,
+own AS (SELECT DISTINCT movieId FROM gf),
+low AS (SELECT movieId FROM mc ORDER BY movieId LIMIT 21),
+pad AS (SELECT own.movieId, low.movieId AS neighborId, 0.0 AS sim,
+               coalesce(n.have, 0) + row_number() OVER (PARTITION BY own.movieId ORDER BY low.movieId) AS rank
+        FROM own CROSS JOIN low LEFT JOIN (SELECT movieId, count(*) AS have FROM gs GROUP BY 1) n ON n.movieId = own.movieId
+        WHERE low.movieId <> own.movieId
+          AND NOT EXISTS (SELECT 1 FROM gs WHERE gs.movieId = own.movieId AND gs.neighborId = low.movieId))
+SELECT movieId AS query_movieId, neighborId AS movieId, round(sim, 6) AS similarity, CAST(rank AS INTEGER) AS rank
+FROM (SELECT * FROM gs UNION ALL SELECT * FROM pad) t WHERE rank <= 10""")
+def q_similar_items_genre_backfill(spark, sf):
+    s = content.similar_by_genre(movies_clean(spark, sf), k=10, backfill=True)
+    return s.select("query_movieId", "movieId", r6("similarity").alias("similarity"), "rank")
+
+
 @query("genre_overlap", O.with_(SIMILAR_GENRE_SQL) + """
 SELECT q.movieId AS query_movieId, count(m.movieId) AS n_recs,
   coalesce(count(*) FILTER (WHERE len(q.genres_list) > 0 AND len(list_intersect(q.genres_list, m.genres_list)) > 0)

@@ -187,12 +187,20 @@ def q_content_model_metadata(spark, sf):
     return model_store.content_metadata(tfidf.prepare_features(movies(spark, sf)), w, v)
 
 
-@query("catalog_fingerprint")
+FINGERPRINT_SQL = """,
+fp AS (SELECT count(*) AS fp_n, bit_xor(h) AS fp_xor, CAST(sum(h) AS VARCHAR) AS fp_sum
+       FROM (SELECT CAST('0x' || substr(md5(CAST(movieId AS VARCHAR)), 1, 15) AS BIGINT) AS h
+             FROM (SELECT DISTINCT movieId FROM core) ids) hs)"""
+
+
+@query("catalog_fingerprint", O.with_(O.core_sql()) + FINGERPRINT_SQL + "SELECT * FROM fp")
 def q_catalog_fingerprint(spark, sf):
     return model_store.fingerprint(core_ratings(spark, sf))
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", O.with_(O.core_sql()) + FINGERPRINT_SQL + """
+SELECT (SELECT count(DISTINCT userId) FROM core) AS n_users, (SELECT count(DISTINCT movieId) FROM core) AS n_items,
+       (SELECT count(*) FROM core) AS n_ratings, fp.*, 'verified' AS status FROM fp""")
 def q_model_roundtrip(spark, sf):
     """S9 + S10: write the CF model tables to the shared checkpoint folder, load and verify them."""
     c = core_ratings(spark, sf)

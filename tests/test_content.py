@@ -72,3 +72,10 @@ def test_normalize(spark):
     assert got == {(1, 10): 0.5, (1, 11): 1.0, (2, 10): 0.0, (2, 12): 0.0}
     empty = spark.createDataFrame([], "userId long, movieId long, score double")
     assert blend.normalize_scores(empty).count() == 0
+
+
+def test_genre_backfill(spark):
+    m = movies_df(spark, [(1, "A", "Action"), (2, "B", "(no genres listed)"), (3, "C", "Drama"), (4, "D", "Drama")])
+    rows = content.similar_by_genre(clean.clean_movies(m), k=2, backfill=True).collect()
+    got = {(r.query_movieId, r.rank): (r.movieId, round(r.similarity, 6)) for r in rows}
+    assert got == {(1, 1): (2, 0.0), (1, 2): (3, 0.0), (3, 1): (4, 1.0), (3, 2): (1, 0.0), (4, 1): (3, 1.0), (4, 2): (1, 0.0)}

@@ -108,3 +108,10 @@ def test_similar_items_and_unknown(spark):
     got = [(x.query_movieId, x.movieId) for x in similarity.similar_items(sim, q, 1).collect()]
     assert len(got) == 1 and got[0][0] == 1
     assert [x.movieId for x in similarity.unknown_items(r.select("movieId"), q).collect()] == [999]
+
+
+def test_list_as_long_as_the_catalog_is_the_full_matrix(spark):
+    r = ratings_df(spark, [(1, 1, 4.0), (1, 2, 5.0), (2, 1, 3.0), (2, 3, 4.0)], with_ts=False)
+    full = {(x.movieId, x.neighborId) for x in similarity.item_similarity(r, 3).collect()}
+    assert full == {(1, 1), (2, 2), (3, 3), (1, 2), (2, 1), (1, 3), (3, 1)}
+    assert all(x.movieId != x.neighborId for x in similarity.item_similarity(r, 2).collect())

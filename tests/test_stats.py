@@ -49,3 +49,9 @@ def test_popular_ranking_and_recs(spark):
     assert got[3] == [2, 4]
     with pytest.raises(ValueError):
         stats.popular_recs(users, r, ranked, top_k=0)
+
+
+def test_movie_stats_needs_a_rating(spark):
+    for rows in ([], [(1, 1, None)]):
+        with pytest.raises(ValueError):
+            stats.movie_stats(ratings_df(spark, rows, with_ts=False))
