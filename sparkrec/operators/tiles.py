@@ -251,16 +251,6 @@ def _tiles(entries: DataFrame, row: str, col: str, value: str, tile_entries: int
     return tiles.repartition(min(2 * n_tiles, 16 * par), "p", "lo", "hi").groupBy("p", "lo", "hi"), p
 
 
-def cooccurrence(entries: DataFrame, row: str, col: str, value: str,
-                 tile_entries: int = TILE_ENTRIES, max_acc_cells: int = MAX_ACC_CELLS) -> DataFrame:
-    """``(a, b, dot)`` for all co-occurring column pairs (each unordered pair once)."""
-    grouped, p = _tiles(entries, row, col, value, tile_entries)
-    partial = grouped.applyInPandas(_tile_product(max_acc_cells), OUT_SCHEMA)
-    if p == 1:
-        return partial
-    return partial.groupBy("a", "b").agg(F.sum("dot").alias("dot"))
-
-
 def column_norms(entries: DataFrame, col: str, value: str) -> DataFrame:
     return entries.groupBy(F.col(col).cast("long").alias("c")).agg(
         F.sqrt(F.sum(F.col(value).cast("double") * F.col(value).cast("double"))).alias("norm"))

@@ -65,5 +65,6 @@ def test_guards(spark):
         require_columns(ratings_df(spark, [(1, 1, 4.0)]), ["userId", "genres"])
     with pytest.raises(ValueError):
         similarity.utility_matrix(ratings_df(spark, [(1, 1, 4.0, 1), (1, 1, 3.0, 2)]))
-    m = similarity.build_cf_model(ratings_df(spark, [(1, 1, 4.0), (1, 2, 3.0), (2, 1, 5.0)]))
-    assert m["similarity"].count() == 2
+    two = ratings_df(spark, [(1, 1, 4.0), (1, 2, 3.0), (2, 1, 5.0)])
+    assert similarity.build_cf_model(two, top_k=1)["similarity"].count() == 2
+    assert similarity.build_cf_model(two)["similarity"].count() == 4   # longer than the catalog: with the diagonal
