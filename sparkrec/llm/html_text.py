@@ -7,7 +7,8 @@ A second pass over the pages deletes template subtrees and the elements whose
 tag, role or class names say that they are not text (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, comments), and joins the text
 blocks of the article - of ``<article>`` or ``<main>`` where the page has one,
-else of the body.  Inside the article, a recurring plain text block is text
+else of the body.  Names are whole class and id tokens, and an element with
+such a name, or a form, that wraps the page's text is not dropped.  Inside the article, a recurring plain text block is text
 that several articles share, not template, and stays.
 
 Templates of a host are few (each needs ``MIN_SHARE`` of its pages), so they
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -41,7 +42,6 @@ BROADCAST_BYTES = 32 << 20
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-NAME = re.compile(r"[a-z]+")
 
 # Element names of HTML by the part they play.
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
@@ -53,13 +53,14 @@ TEXT_BLOCKS = set("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption"
 CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 WALLS = set("ul ol dl table select article main section div body html nav aside footer header form".split())
-DROPPED = set("head nav footer aside form script style noscript template iframe svg canvas button select textarea "
+DROPPED = set("head nav footer aside script style noscript template iframe svg canvas button select textarea "
               "title object dialog menu".split())
 DROPPED_ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar".split())
 DROPPED_NAMES = set("nav navbar navigation menu sidebar aside ad ads advert adverts advertisement advertising sponsor "
                     "sponsored promo cookie cookies consent notice notices gdpr popup modal newsletter subscribe "
                     "subscription signup share sharing social comment comments respond disqus breadcrumb breadcrumbs "
                     "related recommended widget footer copyright pagination pager login".split())
+COMMENT_NAMES = set("comment comments respond disqus".split())
 
 
 class Node:
@@ -73,7 +74,7 @@ class Node:
                 if m[1].lower() == "role":
                     self.role = value.strip()
                 else:
-                    self.names |= frozenset(NAME.findall(value))
+                    self.names |= frozenset(value.split())
         self.parts: list = []
         self.hash, self.text, self.links = 0, False, tag in ("a", "img")
 
@@ -89,10 +90,18 @@ class Node:
                 self.text = True
         self.hash = xxhash.xxh64_intdigest("\x00".join(digest)) - (1 << 63)
 
-    def dropped(self, inside: bool) -> bool:
-        return (self.tag in DROPPED or self.role in DROPPED_ROLES or bool(self.names & DROPPED_NAMES)
+    def dropped(self) -> bool:
+        """Never text, whatever it holds."""
+        return self.tag in DROPPED or self.role in DROPPED_ROLES
+
+    def named(self, inside: bool) -> bool:
+        """Not text by its names or as a form, unless it wraps the page's text."""
+        return (self.tag == "form" or bool(self.names & DROPPED_NAMES)
                 or (not inside and (self.tag == "header" or "header" in self.names)))
 
+    def article(self) -> bool:
+        return self.tag in ("article", "main") or self.role == "main"
+
 
 def parse(page: str) -> Node:
     """The element tree; text of comments, scripts, styles and titles is left out."""
@@ -141,12 +150,13 @@ def parse(page: str) -> Node:
     return root
 
 
-def walk(root: Node) -> Iterator[Node]:
+def walk(root: Node, into: Callable[[Node], bool] = lambda n: True) -> Iterator[Node]:
+    """Elements, each before those inside it."""
     todo = [root]
     while todo:
         node = todo.pop()
         yield node
-        todo.extend(p for p in node.parts if isinstance(p, Node))
+        todo.extend(p for p in node.parts if isinstance(p, Node) and into(p))
 
 
 def subtree_hashes(root: Node) -> list[int]:
@@ -156,49 +166,85 @@ def subtree_hashes(root: Node) -> list[int]:
     return [root.hash, *found]
 
 
+def own_sizes(root: Node) -> dict[Node, int]:
+    """Characters outside links of each element that can be text."""
+    nodes = list(walk(root, lambda n: not n.dropped()))
+    sizes: dict[Node, int] = {}
+    for n in reversed(nodes):
+        sizes[n] = 0 if n.tag == "a" else sum(sizes.get(p, 0) if isinstance(p, Node) else len(p.strip()) for p in n.parts)
+    return sizes
+
+
+def articles(root: Node, into: Callable[[Node], bool]) -> list[Node]:
+    """Outermost articles with text, of the root and the elements that ``into`` admits, in page order."""
+    starts, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node is not root and (node.dropped() or not into(node)):
+            continue
+        if node.article():
+            starts.append(node)
+        else:
+            todo.extend(p for p in reversed(node.parts) if isinstance(p, Node))
+    return [n for n in starts if n.text]
+
+
 def main_text(root: Node, templates: set[int]) -> str:
-    """Blocks of the article in page order, joined by a blank line."""
+    """Blocks of the article in page order, joined by a blank line.
+
+    Articles outside named elements come first; articles in or of named
+    elements are taken if they hold more than the page without them, those of
+    comments only if nothing else is left.
+    """
+    sizes = own_sizes(root)
+    holders: set[Node] = set()  # forms around an article or main
+    for n in sizes:
+        if n.article() and n.text or any(isinstance(p, Node) and p in holders for p in n.parts):
+            holders.add(n)
+
+    def wraps(node: Node) -> bool:
+        return (node.tag == "form" and node in holders and not node.names & DROPPED_NAMES
+                or 2 * sizes[node] > sizes[root] and not node.names & COMMENT_NAMES)
+
     def hidden(node: Node, inside: bool) -> bool:
-        if node.dropped(inside):
+        if node.dropped() or node.named(inside) and not wraps(node):
             return True
         if node.hash not in templates or node.tag in ("article", "main"):
             return False
         return not inside or node.links or node.tag not in TEXT_BLOCKS
 
-    starts, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        if node.tag in ("article", "main") or node.role == "main":
-            starts.append(node)
-        elif node is root or not node.dropped(False):
-            todo.extend(p for p in reversed(node.parts) if isinstance(p, Node))
-    starts = [n for n in starts if n.text and not n.names & DROPPED_NAMES]
-    inside = bool(starts)
-    blocks: list[str] = []
-    run: list[str] = []
-
-    def flush() -> None:
-        if words := "".join(run).split():
-            blocks.append(" ".join(words))
-        run.clear()
-
-    for start in starts or [root]:
-        work: list = [(p, False) for p in reversed(start.parts)]
-        while work:
-            part, ends = work.pop()
-            if ends:
-                flush()
-            elif isinstance(part, str):
-                run.append(part)
-            elif part.tag == "br":
-                run.append(" ")
-            elif not hidden(part, inside):
-                if part.tag in BLOCKS:
+    def blocks_of(starts: list[Node], inside: bool) -> str:
+        blocks: list[str] = []
+        run: list[str] = []
+
+        def flush() -> None:
+            if words := "".join(run).split():
+                blocks.append(" ".join(words))
+            run.clear()
+
+        for start in starts:
+            work: list = [(p, False) for p in reversed(start.parts)]
+            while work:
+                part, ends = work.pop()
+                if ends:
                     flush()
-                    work.append((part, True))
-                work.extend((p, False) for p in reversed(part.parts))
-        flush()
-    return "\n\n".join(blocks)
+                elif isinstance(part, str):
+                    run.append(part)
+                elif part.tag == "br":
+                    run.append(" ")
+                elif not hidden(part, inside):
+                    if part.tag in BLOCKS:
+                        flush()
+                        work.append((part, True))
+                    work.extend((p, False) for p in reversed(part.parts))
+            flush()
+        return "\n\n".join(blocks)
+
+    if starts := articles(root, lambda n: not n.named(n.article()) or wraps(n)):
+        return blocks_of(starts, True)
+    wrapped = blocks_of(articles(root, lambda n: not n.names & COMMENT_NAMES), True)
+    page = blocks_of([root], False)
+    return max(wrapped, page, key=len) or blocks_of(articles(root, lambda n: True), True)
 
 
 def host_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:

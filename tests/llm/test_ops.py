@@ -106,6 +106,24 @@ def test_html_templates_and_edges(spark):
     assert html_text.main_text(html_text.parse(page), set()) == "T\n\nOnetwo\n\nx y"
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<div class='layout has-sidebar'><article><p>Long text</article></div>", "Long text"),
+    ("<div class='with-header'><p>Long text</div>", "Long text"),
+    ("<article class='post comments-open'><p>Long text</article>", "Long text"),
+    ("<form id=aspnetForm><div><a href=/>Menu of this site</a></div><article><p>Text</article></form>", "Text"),
+    ("<form id=aspnetForm><div class=menu>Menu</div><p>Long text</form>", "Long text"),
+    ("<div class=widget><main><p>Long text</main></div><p>x", "Long text"),
+    ("<main><h1>T</h1><div class=widget><article><p>Long text</article></div></main>", "T\n\nLong text"),
+    ("<article class=notice><p>Long text</article>", "Long text"),
+    ("<div class=comments><article><p>Long text</article></div>", "Long text"),
+    ("<p>Text<div class=comments><article><p>A longer comment</article></div>", "Text"),
+    ("<article><p>Text<div class=comments><p>A longer comment</div></article>", "Text"),
+    ("<p>A longer text<aside class=related><article>Other</article></aside>", "A longer text"),
+])
+def test_html_wrappers_keep_the_article(page, want):
+    assert html_text.main_text(html_text.parse(page), set()) == want
+
+
 def test_urls_edges_and_filter(spark):
     pages = spark.createDataFrame([(1, None), (2, "no scheme"), (3, "http://A.COM/x"), (3, "http://A.COM/x"), (4, "ftp://xcom/y"),
                                    (5, "http://com?q"), (None, "https://b.net/es/")], "page_id long, url string").selectExpr("*", "1 AS rule")
