@@ -1,19 +1,25 @@
 """HTML extraction (3): site template removal, then the main text of what is left.
 
 Every page becomes an element tree.  Spark counts the hashes of all element
-subtrees per host, once for each distinct page of the host, and a subtree found
-on many of them (``MIN_PAGES`` pages and ``MIN_SHARE`` of the host) is template.
-A second pass over the pages deletes template subtrees and the elements whose
-tag, role or class names say that they are not text (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, comments), and joins the text
-blocks of the article - of ``<article>`` or ``<main>`` where the page has one,
-else of the body.  Names are whole class and id tokens, and an element with
-such a name, or a form, that wraps the page's text is not dropped.  Inside the article, a recurring plain text block is text
-that several articles share, not template, and stays.
-
-Templates of a host are few (each needs ``MIN_SHARE`` of its pages), so they
-travel as one array per host: broadcast while their measured size stays under
-``BROADCAST_BYTES``, else joined by host.
+subtrees per host, once for each distinct page of the host; a subtree found on
+``MIN_PAGES`` pages recurs.  A second pass over the pages deletes template
+subtrees and the elements whose tag, role or class names say that they are not
+text (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+comments), and joins the text blocks of the article - of ``<article>`` or
+``<main>`` where the page has one, else of the body.  Names are whole class and
+id tokens, and an element with such a name, or a form, that wraps the page's
+text is not dropped.
+
+Outside an article every recurring subtree is template, a plain text block from
+``MIN_SHARE`` of the host's pages.  Inside, plain text blocks are text that
+several articles share and stay, others are template from ``MIN_SHARE``.  Where
+several pages hold the same article all its subtrees recur: what recurs on no
+more pages than most of the article's text (``SHARED`` of the text of a page
+without article) is not template, unless, outside an article, it is on more
+than ``HOST_WIDE`` of the host's pages.
+
+Recurring subtrees are broadcast as sorted keys of host and hash while their
+size stays under ``BROADCAST_BYTES``, else joined by that key.
 
 Defined cases: null or empty html gives an empty text; a page whose url has no
 host is not compared with others; broken markup is closed as a browser would;
@@ -25,8 +31,9 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -37,7 +44,10 @@ from sparkrec.llm.urls import host_of
 
 MIN_PAGES = 4
 MIN_SHARE = 0.05
+SHARED = 0.8
+HOST_WIDE = 0.75
 BROADCAST_BYTES = 32 << 20
+KEY_BYTES = 16
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
@@ -189,9 +199,21 @@ def articles(root: Node, into: Callable[[Node], bool]) -> list[Node]:
     return [n for n in starts if n.text]
 
 
-def main_text(root: Node, templates: set[int]) -> str:
+def shared_by(texts: list[tuple[int, int]], share: float) -> int:
+    """The most pages that ``share`` of the text is on; ``texts`` are (pages, characters)."""
+    left = share * sum(size for _, size in texts)
+    for n, size in sorted(texts, reverse=True):
+        left -= size
+        if left <= 0:
+            return n
+    return 0
+
+
+def main_text(root: Node, recurring: Mapping[int, int], pages: int = 0, min_share: float = MIN_SHARE) -> str:
     """Blocks of the article in page order, joined by a blank line.
 
+    ``recurring`` has the number of pages by subtree hash, ``pages`` is the host's.
+
     Articles outside named elements come first; articles in or of named
     elements are taken if they hold more than the page without them, those of
     comments only if nothing else is left.
@@ -206,14 +228,28 @@ def main_text(root: Node, templates: set[int]) -> str:
         return (node.tag == "form" and node in holders and not node.names & DROPPED_NAMES
                 or 2 * sizes[node] > sizes[root] and not node.names & COMMENT_NAMES)
 
-    def hidden(node: Node, inside: bool) -> bool:
-        if node.dropped() or node.named(inside) and not wraps(node):
-            return True
-        if node.hash not in templates or node.tag in ("article", "main"):
+    def shown(inside: bool) -> Callable[[Node], bool]:
+        return lambda node: not (node.dropped() or node.named(inside) and not wraps(node))
+
+    def copies(starts: list[Node], inside: bool) -> int:
+        """The number of pages that hold the same text as this one."""
+        texts = []
+        for node in (n for start in starts for n in walk(start, shown(inside))):
+            n = recurring[node.hash] if node.hash in recurring else 1
+            if node.tag != "a" and (inside or n <= HOST_WIDE * pages):
+                texts.append((n, sum(len(p.strip()) for p in node.parts if isinstance(p, str))))
+        return shared_by(texts, 0.5 if inside else SHARED)
+
+    def template(node: Node, inside: bool, same: int) -> bool:
+        if node.hash not in recurring or node.tag in ("article", "main"):
             return False
-        return not inside or node.links or node.tag not in TEXT_BLOCKS
+        n, plain = recurring[node.hash], node.tag in TEXT_BLOCKS and not node.links
+        if (inside and plain) or ((inside or plain) and n < min_share * pages):
+            return False
+        return n > same or (not inside and n > HOST_WIDE * pages)
 
     def blocks_of(starts: list[Node], inside: bool) -> str:
+        same, seen = copies(starts, inside) if recurring else 0, shown(inside)
         blocks: list[str] = []
         run: list[str] = []
 
@@ -232,7 +268,7 @@ def main_text(root: Node, templates: set[int]) -> str:
                     run.append(part)
                 elif part.tag == "br":
                     run.append(" ")
-                elif not hidden(part, inside):
+                elif seen(part) and not template(part, inside, same):
                     if part.tag in BLOCKS:
                         flush()
                         work.append((part, True))
@@ -247,39 +283,72 @@ def main_text(root: Node, templates: set[int]) -> str:
     return max(wrapped, page, key=len) or blocks_of(articles(root, lambda n: True), True)
 
 
-def host_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, templates): hashes of the subtrees that recur on many distinct pages of the host."""
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def host_key(host: str) -> int:
+    return xxhash.xxh64_intdigest(host) - (1 << 63)
+
+
+def page_keys(rows: DataFrame, name: str) -> DataFrame:
+    """(``name``, page, keys) of ``rows`` (``name``, host, html): the host's key and those of all subtrees with text."""
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [subtree_hashes(parse(h)) for h in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[0] for f in found], pa.int64()),
-                 pa.array([f[1:] for f in found], pa.list_(pa.int64()))], ["host", "page", "hashes"])
+            pages, found = [], []
+            for host, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                hashes, key = subtree_hashes(parse(page)), host_key(host)
+                pages.append(hashes[0])
+                found.append([key, *(h ^ key for h in hashes[1:])])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pages, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                                             [name, "page", "keys"])
+
+    kind = rows.schema[name].dataType.simpleString()
+    return rows.select(name, "host", "html").filter("host != '' AND html IS NOT NULL").mapInArrow(
+        keys, f"{name} {kind}, page long, keys array<long>")
+
 
-    rows = pages.select(host_of(F.col("url")).alias("host"), "html").filter("host != '' AND html IS NOT NULL")
-    distinct = rows.mapInArrow(hashes, "host string, page long, hashes array<long>").groupBy("host", "page").agg(
-        F.first("hashes").alias("hashes"))
-    per_page = distinct.select("host", F.explode(F.array_append("hashes", F.lit(None))).alias("hash"))
-    counts = per_page.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.filter("hash IS NULL").select("host", F.col("n").alias("pages"))
-    many = counts.filter(f"hash IS NOT NULL AND n >= {min_pages}").join(total, "host").filter(F.col("n") >= min_share * F.col("pages"))
-    return many.groupBy("host").agg(F.collect_list("hash").alias("templates"))
+def recurring_keys(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(key, n): subtrees on many distinct pages of their host; the host's own key has all its pages."""
+    rows = pages.select(host_of(F.col("url")).alias("host"), "html").withColumn("own", F.col("host"))
+    distinct = page_keys(rows, "own").groupBy("own", "page").agg(F.first("keys").alias("keys"))
+    counts = distinct.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") >= min_pages)
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """``pages`` (page_id, url, html) as (page_id, url, text, n_chars)."""
-    templates = staged(host_templates(pages, min_pages, min_share), "templates")
-    size = templates.agg(F.sum(F.length("host") + 8 * F.size("templates"))).first()[0] or 0
-    side = F.broadcast(templates) if size <= BROADCAST_BYTES else templates
-    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(side, "host", "left")
+    counts = staged(recurring_keys(pages, min_pages), "templates")
+    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    small = KEY_BYTES * counts.count() <= BROADCAST_BYTES
+    if small:
+        found = counts.orderBy("key").toArrow()
+        shared = pages.sparkSession.sparkContext.broadcast((found["key"].to_numpy(), found["n"].to_numpy()))
+        rows = rows.withColumn("found", F.lit(None).cast("array<struct<key:bigint,n:bigint>>"))
+    else:
+        rows = rows.withColumn("doc", F.xxhash64("host", "html"))
+        each = page_keys(rows, "doc").groupBy("doc").agg(F.first("keys").alias("keys"))
+        held = each.select("doc", F.explode("keys").alias("key")).hint("merge").join(counts, "key")
+        held = held.groupBy("doc").agg(F.collect_list(F.struct("key", "n")).alias("found"))
+        rows = rows.hint("merge").join(held, "doc", "left")
+
+    def looked_up(root: Node, key: int) -> dict[int, int]:
+        keys, n = shared.value
+        own = np.array([0, *subtree_hashes(root)[1:]], np.int64) ^ np.int64(key)
+        at = np.searchsorted(keys, own)
+        at[at == len(keys)] = 0
+        hit = np.flatnonzero(keys[at] == own) if len(keys) else []
+        return dict(zip((own[hit] ^ np.int64(key)).tolist(), n[at[hit]].tolist()))
+
+    def text(page: str | None, host: str, found: list | None) -> str:
+        if not page:
+            return ""
+        root, key = parse(page), host_key(host)
+        known = {} if not host else looked_up(root, key) if small else {f["key"] ^ key: f["n"] for f in found or ()}
+        return main_text(root, known, known.pop(0, 0), min_share)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [main_text(parse(h), set(t or ())) if h else ""
-                   for h, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            out = list(map(text, *(batch.column(c).to_pylist() for c in (2, 3, 4))))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())],
                                              ["page_id", "url", "text"])
 
     schema = f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string"
-    out = rows.select("page_id", "url", "html", "templates").mapInArrow(texts, schema)
+    out = rows.select("page_id", "url", "html", "host", "found").mapInArrow(texts, schema)
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -124,6 +124,23 @@ def test_html_wrappers_keep_the_article(page, want):
     assert html_text.main_text(html_text.parse(page), set()) == want
 
 
+@pytest.mark.parametrize("limit", [html_text.BROADCAST_BYTES, 0])
+def test_html_templates_of_large_hosts_and_shared_articles(spark, monkeypatch, limit):
+    monkeypatch.setattr(html_text, "BROADCAST_BYTES", limit)
+    menu = "<div><a href=/1>One</a> <a href=/2>Two</a></div>"
+    body = "<div><p>The same article <a href=/x>link</a> on some pages of the host</p><p>Its second paragraph</p></div>"
+    rows = [(i, f"http://big.x/{i}", (menu if i < 6 else "") + f"<div>Notice of section {i % 50 if i % 50 < 2 else i}</div>"
+             f"<p>Text number {i} of this host</p>") for i in range(200)]
+    rows += [(300 + i, f"http://a.x/{i}", f"<article>{body}</article><div>Visit {i}</div>") for i in range(4)]
+    rows += [(400 + i, f"http://b.x/{i}", f"{body if i < 4 else f'<p>Page {i}</p>'}<i>{i}</i>") for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+    assert got[0] == "Text number 0 of this host" and got[51] == "Text number 51 of this host"
+    assert got[7] == "Notice of section 7\n\nText number 7 of this host"
+    same = "The same article link on some pages of the host\n\nIts second paragraph"
+    assert got[301] == same and got[402] == same + "\n\n2" and got[405] == "Page 5\n\n5"
+
+
 def test_urls_edges_and_filter(spark):
     pages = spark.createDataFrame([(1, None), (2, "no scheme"), (3, "http://A.COM/x"), (3, "http://A.COM/x"), (4, "ftp://xcom/y"),
                                    (5, "http://com?q"), (None, "https://b.net/es/")], "page_id long, url string").selectExpr("*", "1 AS rule")
