@@ -49,7 +49,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of what is left."""
     ship_package(spark)
-    return packing.digest(packing.pack(docs, tokenizer_path("word_bpe_49k.json"), end_id=1))
+    return packing.digest(packing.pack(docs, tokenizer_path("word_bpe_49k.json"), end_id=1, added_tokens=True))
 
 
 STAGES = [("language", language), ("toxicity", clean_speech), ("near_duplicates", near_duplicates),

@@ -10,6 +10,11 @@ the whole text:
   which no pre-token of the two known kinds crosses;
 * texts with unusual white space, and files with another pre-tokenizer, are
   encoded whole.
+
+With ``added_tokens`` these are the ids of an unchanged ``Tokenizer.from_file``:
+an added token of the file inside a text (``<|endoftext|>``) is its one id, and
+a text that holds one is encoded whole.  Without, such strings are ordinary text
+(``encode_special_tokens``).
 """
 
 from __future__ import annotations
@@ -58,12 +63,12 @@ def token_keys(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndar
 class Encoder:
     """``encode_all(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.memo: dict[bytes | str, bytes] = {}
         self.older: dict[bytes | str, bytes] = {}
@@ -74,6 +79,9 @@ class Encoder:
         self.words = WORD_RULE in rules and "Lowercase" in str(normal)
         self.known = self.words or (rule.get("type") == "ByteLevel" and rule["use_regex"]
                                     and not rule["add_prefix_space"] and not normal)
+        added = spec.get("added_tokens") or [] if added_tokens else []
+        self.added = [t["content"] for t in added]
+        self.known &= not any(t["normalized"] for t in added)  # those are found in normalised text only
         self.single = Tokenizer.from_file(path)  # for texts that are one normalised pre-token already
         self.single.encode_special_tokens = True
         if self.known:
@@ -157,7 +165,7 @@ class Encoder:
         out: list[bytes] = [b""] * len(texts)
         plain: list[tuple[int, bytes]] = []
         for i, text in enumerate(texts):
-            if not self.known:
+            if not self.known or any(token in text for token in self.added):
                 out[i] = self._fresh([text])[0]
                 continue
             try:
@@ -176,11 +184,11 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per Python worker and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, added_tokens: bool = False) -> Encoder:
+    """One encoder per Python worker, file and treatment of added tokens."""
+    if (path, added_tokens) not in _ENCODERS:
+        _ENCODERS[path, added_tokens] = Encoder(path, added_tokens)
+    return _ENCODERS[path, added_tokens]

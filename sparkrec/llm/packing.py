@@ -33,7 +33,8 @@ def piece_lengths(n: int, window: int) -> list[int]:
     return [window] * full + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW,
+         added_tokens: bool = False) -> DataFrame:
     """Pieces of all documents: ``SCHEMA`` plus ``bucket`` (log2 of the length), ``sequence_id`` and ``offset``.
 
     ``ids`` holds little-endian unsigned 32-bit ids; each piece is one whole sequence.
@@ -42,7 +43,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
         raise ValueError("window must be a power of two")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, added_tokens)
         end = np.array([end_id], "<u4").tobytes()
         for batch in pieces(batches, 5000):
             docs, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]

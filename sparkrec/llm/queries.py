@@ -54,13 +54,14 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.digest(packing.pack(docs, tokenizer_path("word_bpe_49k.json"), end_id=1))
+    return packing.digest(packing.pack(docs, tokenizer_path("word_bpe_49k.json"), end_id=1, added_tokens=True))
 
 
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
-    tokenfiles.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=2)
+    tokenfiles.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end_id=2,
+                                 added_tokens=True)
     rows = staged(tokenfiles.read_token_files(spark, path), "token-rows")
     return tokenfiles.with_global_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 

@@ -128,10 +128,10 @@ class TokenFile:
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int,
-                      shard_ids: int = SHARD_IDS) -> None:
+                      shard_ids: int = SHARD_IDS, added_tokens: bool = False) -> None:
     """Encode, sort and write every document; a file closes when it holds ``shard_ids`` ids."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, added_tokens)
         width = 2 if max(enc.vocabulary, end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], "<u4").tobytes()
         part, seq = TaskContext.get().partitionId(), 0

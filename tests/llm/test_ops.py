@@ -4,6 +4,7 @@ import html
 import re
 import zlib
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
@@ -77,6 +78,34 @@ def test_packing_and_files_round_trip(spark, tmp_path):
     assert tokenfiles.read_token_files(spark, out + "0").count() == 0
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_equals_unmodified_library(name):
+    plain = Tokenizer.from_file(tokenizer_path(name))
+    texts = [t or "" for _, t in DOCS] + ["a <|endoftext|> b", "<|startoftext|>A<|endoftext|>", "<|ENDOFTEXT|> b", "<|endoftext|", "é<|endoftext|>é",
+                                          "漢 <|endoftext|>\n\n字", "x <|endoftext|>" * 2000, "endoftext|> it's"]
+    encoder = Encoder(tokenizer_path(name), added_tokens=True)
+    for got in (encoder.encode_all(texts), encoder.encode_all(texts)):
+        for text, ids in zip(texts, got):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_queries_give_the_ids_of_an_unmodified_library(spark, tmp_path):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for query, name, end in [("op10_token_files", "byte_bpe_50k.json", 2), ("op2_packing", "word_bpe_49k.json", 1)]:
+        plain = Tokenizer.from_file(tokenizer_path(name))
+        want = [np.array(plain.encode(t or "", add_special_tokens=False).ids + [end], "<u4") for _, t in DOCS]
+        rows = QUERIES[query](spark, str(tmp_path)).collect()
+        if query == "op10_token_files":
+            assert sorted((r["n_tokens"], r["ids_crc32"]) for r in rows) == sorted((len(w), zlib.crc32(w.tobytes())) for w in want)
+        else:
+            crcs = sorted(zlib.crc32(w[at:at + n].tobytes()) for w in want
+                          for at, n in zip(np.cumsum([0, *packing.piece_lengths(len(w), packing.WINDOW)]), packing.piece_lengths(len(w), packing.WINDOW)))
+            assert sorted(r["ids_crc32"] for r in rows) == crcs
+    packed = corpus_pipeline.packed(spark, docs, str(tmp_path)).collect()
+    assert sorted(r["ids_crc32"] for r in packed) == crcs
+
+
 def test_elias_fano_select():
     rng = np.random.default_rng(2)
     for values in (np.zeros(1, int), np.cumsum(rng.integers(0, 900, 1000)), np.cumsum(rng.integers(0, 2, 700)), np.array([0, 2 ** 40])):
