@@ -30,6 +30,18 @@ def weights(s: Shingles, idf: np.ndarray) -> np.ndarray:
     return (1 + np.log(s.counts.astype(np.float32))) * idf[bucket(s.keys)]
 
 
+def plain_samples(s: Shingles, n_samples: int = SAMPLES) -> np.ndarray:
+    """(texts, n_samples) 32-bit samples; two texts agree in one with the similarity of their shingle sets."""
+    sizes = np.diff(s.first)
+    out = np.zeros((len(sizes), n_samples), np.uint32)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        for k in range(n_samples):
+            least = np.minimum.reduceat(mix(s.keys + _SEEDS[SAMPLES + k]), s.first[:-1][full])
+            out[full, k] = (least & U(0xFFFFFFFF)).astype(np.uint32)
+    return out
+
+
 def samples(s: Shingles, weight: np.ndarray, n_samples: int = SAMPLES) -> np.ndarray:
     """(texts, n_samples) 32-bit samples; two texts agree in one with their weighted Jaccard similarity.
 

@@ -2,8 +2,9 @@
 
 1. Document frequencies of word shingles are counted over all documents in
    hashed buckets (a fixed number of counters, broadcast as weights).
-2. Each text gets ``SAMPLES`` consistent weighted samples; two consecutive ones
-   make a band key.  Equal word sequences collapse to one node here, so a large
+2. Each text gets ``SAMPLES`` consistent weighted samples and as many of equal
+   weights, as texts of the same shingles in other counts are similar by the
+   latter only; two consecutive ones make a band key.  Equal word sequences collapse to one node here, so a large
    group of exact copies never meets a bucket.
 3. In every bucket each node is compared with the bucket's most central nodes
    (those that share most buckets), and similar pairs are merged to components.
@@ -38,7 +39,7 @@ from sparkrec.llm.shingles import U, blocks, digests, normal_bytes, shingles_of,
 
 SIMILARITY = 0.8
 CENTRAL = 3  # nodes of a bucket that all its others are compared with first
-AGREE = 10  # of SAMPLES: a pair of similarity 0.8 has fewer with probability 0.0006
+AGREE = 10  # of SAMPLES, weighted or plain: a pair of similarity 0.8 has fewer with probability 0.0006
 BLOCK_NODES = 256
 MARK = -1  # pseudo bucket that counts documents
 
@@ -74,7 +75,7 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
             for a, b, normal in blocks(texts):
                 words = words_of(normal)
                 s = shingles_of(words)
-                got = icws.samples(s, icws.weights(s, idf.value)).astype(U)
+                got = np.concatenate([icws.samples(s, icws.weights(s, idf.value)), icws.plain_samples(s)], 1).astype(U)
                 keys = (got[:, ::2] << U(32) | got[:, 1::2]).astype(np.int64)
                 out = pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), pa.array(digests(words), pa.binary()),
@@ -159,14 +160,17 @@ def central_links(members: DataFrame, texts: DataFrame, idf) -> DataFrame:
 
 def _open_pairs(bands: np.ndarray, labels: np.ndarray, side: np.ndarray, band: int, same: bool) -> np.ndarray:
     """Pairs (upper triangle) of a block that need a look: other component, enough agreement, first common band."""
-    half = np.concatenate([bands >> U(32), bands & U(0xFFFFFFFF)], 1)
-    agree = np.zeros((len(bands), len(bands)), np.int16)
+    enough = np.zeros((len(bands), len(bands)), bool)
     earlier = np.zeros((len(bands), len(bands)), bool)
-    for k in range(half.shape[1]):
-        agree += half[:, k, None] == half[None, :, k]
+    for part in np.split(bands, 2, axis=1):  # weighted, plain
+        half = np.concatenate([part >> U(32), part & U(0xFFFFFFFF)], 1)
+        agree = np.zeros((len(bands), len(bands)), np.int16)
+        for k in range(half.shape[1]):
+            agree += half[:, k, None] == half[None, :, k]
+        enough |= agree >= AGREE
     for k in range(band):
         earlier |= bands[:, k, None] == bands[None, :, k]
-    need = (agree >= AGREE) & ~earlier & (labels[:, None] != labels[None, :])
+    need = enough & ~earlier & (labels[:, None] != labels[None, :])
     if not same:
         need &= side[:, None] != side[None, :]
     return np.triu(need, 1)

@@ -102,6 +102,21 @@ def test_remaining_links_finds_what_central_nodes_miss(spark):
     assert labels.count() == 600 and labels.select("label").distinct().count() == 1
 
 
+def test_near_duplicates_of_repeated_texts(spark):
+    """Texts of the same shingles in other counts, by buckets and in the block comparison alone."""
+    rng = np.random.default_rng(7)
+    base = [" ".join(f"w{i}" for i in rng.integers(0, 10 ** 6, 150)) for _ in range(60)]
+    rows = [(10 * i + k, " ".join([t] * n)) for i, t in enumerate(base) for k, n in enumerate((1, 3, 5, 10))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: i // 10 * 10 for i, _ in rows}
+    assert {r["doc_id"]: r["class_id"] for r in neardup.classes(docs).collect()} == want
+    idf = np.ones(1 << icws.BUCKET_BITS, np.float32)
+    bands = np.array([r["bands"] for r in neardup.signatures(docs, spark.sparkContext.broadcast(idf)).orderBy("doc_id").collect()])
+    ids = np.arange(len(rows))
+    need = neardup._open_pairs(bands.astype(np.uint64), ids, ids, 0, True)
+    assert [(i, j) for i, j in zip(*np.nonzero(need))] == [(i, j) for i in ids for j in ids if i < j and i // 4 == j // 4]
+
+
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(3)
     common = [f"a{i}" for i in rng.integers(0, 10 ** 6, 300)]
