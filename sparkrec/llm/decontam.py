@@ -6,7 +6,11 @@ a text with at most e edits shares at least ``m - q + 1 - q e`` character
 q-grams with it, all within 2e + 1 neighbouring diagonals (text position less
 item position).  Every text position is looked up in the items' q-gram index,
 hits are counted in overlapping diagonal bands of twice that width, and bands
-that reach the bound are verified by banded alignment of the whole item.
+that reach the bound are verified by banded alignment of the whole item.  Items of
+more than two windows are also indexed as windows of ``WINDOW`` characters,
+one every ``STEP``, found in the same way: a passage of ``WINDOW + STEP``
+characters holds a whole one.  A row of a window has ``WINDOW`` item_chars and
+the window's edits, and is left out where the whole item is found.
 
 Items are indexed on the driver in blocks of at most ``INDEX_CHARS`` and
 broadcast; a larger benchmark takes more passes over the texts.
@@ -34,6 +38,8 @@ from sparkrec.llm.shingles import BASE, NOT_WORD, SPACED, U, powers
 Q = 10
 EDIT_SHARE = 0.07  # edits allowed per character of an item
 MIN_CHARS = 25
+WINDOW = 80
+STEP = 40
 INDEX_CHARS = 1 << 22
 BLOCK = 1 << 19
 MATCH_TYPE = "array<struct<item_id:bigint,start:bigint,end:bigint,edits:int,item_chars:int>>"
@@ -82,6 +88,8 @@ class Index:
 def build_index(rows: list[tuple[int, str]]) -> Index:
     items = [(i, np.frombuffer(normalised(t), np.uint8)) for i, t in rows]
     items = [(i, d) for i, d in items if len(d) >= MIN_CHARS]
+    items += [(i, d[a:a + WINDOW]) for i, d in items if len(d) > 2 * WINDOW
+              for a in [*range(0, len(d) - WINDOW, STEP), len(d) - WINDOW]]
     keys = [qgram_keys(d) for _, d in items]
     flat = np.concatenate([np.zeros(0, U), *keys])
     item = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
@@ -177,9 +185,9 @@ def search(index: Index, texts: list[bytes]) -> list[list[dict]]:
 
 
 def distinct_regions(rows: list[dict]) -> list[dict]:
-    """Of overlapping regions of one item the one with fewest edits."""
+    """Of overlapping regions of one item the one with fewest edits, of the whole item before its windows."""
     kept: list[dict] = []
-    for r in sorted(rows, key=lambda r: (r["item_id"], r["edits"], r["start"])):
+    for r in sorted(rows, key=lambda r: (r["item_id"], r["item_chars"] == WINDOW, r["edits"], r["start"])):
         if not any(k["item_id"] == r["item_id"] and r["start"] < k["end"] and k["start"] < r["end"] for k in kept):
             kept.append(r)
     return sorted(kept, key=lambda r: (r["start"], r["item_id"]))
@@ -189,7 +197,7 @@ def indexes(benchmark: DataFrame) -> Iterator[Index]:
     """Indexes of the items, a block of bounded size at a time."""
     items = benchmark.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = chars // INDEX_CHARS + 1
+    n = (1 + WINDOW // STEP) * chars // INDEX_CHARS + 1  # windows too
     for b in range(n):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()
         yield build_index(sorted((r["item_id"], r["text"]) for r in rows if r["item_id"] is not None))

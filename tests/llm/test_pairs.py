@@ -178,6 +178,18 @@ def test_decontamination_edits_against_full_alignment():
                 assert i not in best
 
 
+def test_decontamination_finds_passages_of_long_items():
+    rng = np.random.default_rng(4)
+    words = ["".join(map(chr, rng.integers(97, 123, 5))) for _ in range(400)]
+    sentences = [" ".join(rng.choice(words, 12)) for _ in range(3)]
+    other = " ".join(rng.choice(words, 200))
+    index = decontam.build_index([(1, ". ".join(sentences))])
+    texts = [f"{other} {sentences[0]} {sentences[1]} {other}", f"{sentences[1]} {sentences[2]}", f"{other} {' '.join(sentences)}", other]
+    found = decontam.search(index, [decontam.normalised(t) for t in texts])
+    assert {m["item_chars"] for m in found[0] + found[1]} == {decontam.WINDOW} and found[0] and found[1]
+    assert [(m["edits"], m["item_chars"]) for m in found[2]] == [(0, len(" ".join(sentences)))] and found[3] == []
+
+
 EDGE = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, " \n ", "en", None, 3), (None, "some words here", "en", "s", 15),
         (4, "!!! ???", "de", "s", 7), (5, "one two", "en", "s", 7), (5, "one two", "en", "s", 7), (6, "one two", None, "s", 7),
         (7, "word " * 30000, "en", "s", 150000), (8, "漢字 テスト", "ja", "s", 6)]
