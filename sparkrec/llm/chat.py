@@ -116,4 +116,4 @@ def digest(chats: DataFrame, template: Template = DEFAULT) -> DataFrame:
     return read.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(flat, 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"))
+        F.length("formatted").cast("long").alias("formatted_chars"), "state", "valid")

@@ -192,6 +192,18 @@ def test_chat_edges(spark):
     assert chat.format_chat(df.limit(0)).count() == 0
 
 
+def test_chat_query_validates_turn_order(spark):
+    rows = QUERIES["op8_chat_format"](spark, SF).select("conv_id", "state", "valid").collect()
+    roles = {}
+    for r in table(spark, SF, "conversations").orderBy("conv_id", "turn").collect():
+        roles.setdefault(r["conv_id"], []).append(r["role"])
+    assert [r["valid"] for r in rows if r["conv_id"] == -7] == [True] and len(rows) == len(roles) + 1
+    for r in rows:
+        order = [x for x in roles.get(r["conv_id"], []) if x != "system"]
+        if order and order != ["user", "assistant"] * (len(order) // 2):
+            assert not r["valid"]
+
+
 def test_classifiers_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     lang = QUERIES["op6_language_id"](spark, sf).join(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
