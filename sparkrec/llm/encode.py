@@ -22,12 +22,13 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Callable
 from itertools import accumulate, chain
 
 import numpy as np
 
 from sparkrec.llm.common import slices
-from sparkrec.llm.shingles import BASE, powers
+from sparkrec.llm.shingles import BASE, U, mix
 
 SEGMENT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 UNUSUAL_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
@@ -39,25 +40,88 @@ WHITE, LETTER, DIGIT, OTHER = range(4)
 KIND = np.array([WHITE if chr(c) in " \n" else LETTER if chr(c).isalpha() else DIGIT if chr(c).isdecimal() else OTHER
                  for c in range(256)], np.uint8)
 
-MEMO_ENTRIES = 500_000
+MEMO_BYTES = 16 << 20
+ENTRY_BYTES = 200  # of an entry besides its characters and ids
 MEMO_CHARS = 64
 BLOCK_CHARS = 1 << 22
-WINDOW = 1 << 19
-
+#: Masks of the first 0 to 8 bytes of a little-endian word.
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def distinct_tokens(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of one token of each kind, kind of each token) of the tokens ``data[first:last]``, told apart by their bytes.
+
+    Tokens of up to 16 bytes are two machine words and a length: sorted by a
+    hash of them, then compared in full with the first of their kind (and sorted
+    by the words themselves if a hash ever joins two kinds).  Longer tokens are
+    looked up as bytes.
+    """
+    size = last - first
+    short, long = np.flatnonzero(size <= 16), np.flatnonzero(size > 16)
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    words = np.ndarray((len(data) + 8,), "<u8", padded, 0, (1,))
+    n = size[short]
+    low = words[first[short]] & MASKS[np.minimum(n, 8)]
+    high = words[np.minimum(first[short] + 8, len(data))] & MASKS[np.maximum(n - 8, 0)]
+    key = mix(low ^ mix(high + n.astype(U) * U(BASE)))
+    _, at, kind = np.unique(key, return_index=True, return_inverse=True)
+    if not all(np.array_equal(x[at][kind], x) for x in (low, high, n)):
+        order = np.lexsort((n, high, low))
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([x[order][1:] != x[order][:-1] for x in (low, high, n)], axis=0)
+        kind = np.empty(len(order), np.int64)
+        kind[order] = np.cumsum(new) - 1
+        at = order[new]
+    kinds = np.empty(len(size), np.int64)
+    kinds[short] = kind
+    names: dict[bytes, int] = {}
+    places = []
+    for i in long.tolist():
+        token = data[first[i]:last[i]].tobytes()
+        if token not in names:
+            names[token] = len(at) + len(names)
+            places.append(i)
+        kinds[i] = names[token]
+    return np.concatenate([short[at], np.array(places, np.int64)]), kinds
+
+
+def gather(table: list[bytes], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids, running count) of the tokens ``kinds``, whose ids ``table`` holds as little-endian bytes."""
+    flat = np.frombuffer(b"".join(table), "<u4")
+    sizes = np.array([len(x) // 4 for x in table], np.int64)
+    offsets = np.cumsum(sizes) - sizes
+    counts = sizes[kinds]
+    total = np.cumsum(counts)
+    return flat[np.repeat(offsets[kinds] - (total - counts), counts) + np.arange(total[-1] if len(total) else 0)], total
+
+
+class Memo:
+    """Ids of distinct parts seen lately: two generations of at most ``MEMO_BYTES`` each."""
+
+    def __init__(self, fresh: Callable[[list], list[bytes]]):
+        self.fresh = fresh
+        self.memo: dict[bytes | str, bytes] = {}
+        self.older: dict[bytes | str, bytes] = {}
+        self.held = 0
 
-def token_keys(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """A 64-bit key of each ``data[first:last]``, from prefix sums of a polynomial, a window of tokens at a time."""
-    out = np.empty(len(first), np.uint64)
-    cuts = np.unique(np.searchsorted(first, np.arange(0, len(data), WINDOW))).tolist()
-    for i, j in zip(cuts, [*cuts[1:], len(first)]):
-        if i == j:
-            continue
-        at, n = first[i], int(last[j - 1] - first[i])
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data[at:at + n].astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=sums[1:])
-        inverse = powers(pow(BASE, -1, 1 << 64), n)
-        out[i:j] = (sums[last[i:j] - at] - sums[first[i:j] - at]) * inverse[first[i:j] - at]
-    return out
+    def look_up(self, parts: list) -> list[bytes]:
+        """Ids of each part; new ones are encoded together."""
+        out = list(map(self.memo.get, parts))
+        lost = [i for i, ids in enumerate(out) if ids is None]
+        new = []
+        for i in lost:
+            out[i] = self.older.get(parts[i])
+            if out[i] is None:
+                new.append(i)
+        for i, ids in zip(new, self.fresh([parts[i] for i in new])):
+            out[i] = ids
+        for i in lost:
+            if len(parts[i]) <= MEMO_CHARS:
+                self.memo[parts[i]] = out[i]
+                self.held += ENTRY_BYTES + len(parts[i]) + len(out[i])
+                if self.held > MEMO_BYTES:
+                    self.older, self.memo, self.held = self.memo, {}, 0
+        return out
 
 
 class Encoder:
@@ -70,8 +134,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added_tokens
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.memo: dict[bytes | str, bytes] = {}
-        self.older: dict[bytes | str, bytes] = {}
+        self.bytes_memo = Memo(lambda parts: self._fresh([p.decode("latin-1") for p in parts], single=True))
+        self.text_memo = Memo(self._fresh)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         rule, normal = spec["pre_tokenizer"] or {}, spec["normalizer"]
@@ -95,25 +159,6 @@ class Encoder:
         ends = [4 * n for n in accumulate(map(len, ids))]
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _remembered(self, parts: list[bytes] | list[str]) -> list[bytes]:
-        """Ids of distinct parts (bytes: Latin-1 pre-tokens); new ones go to the library together."""
-        memo, older = self.memo, self.older
-        out = list(map(memo.get, parts))
-        lost = [i for i, ids in enumerate(out) if ids is None]
-        new = []
-        for i in lost:
-            out[i] = older.get(parts[i])
-            if out[i] is None:
-                new.append(i)
-        single = bool(parts) and isinstance(parts[0], bytes)
-        texts = [parts[i].decode("latin-1") if single else parts[i] for i in new]
-        for i, ids in zip(new, self._fresh(texts, single)):
-            out[i] = ids
-        memo.update((parts[i], out[i]) for i in lost if len(parts[i]) <= MEMO_CHARS)
-        if len(memo) > MEMO_ENTRIES:
-            self.older, self.memo = memo, {}
-        return out
-
     def _latin(self, texts: list[bytes]) -> list[bytes]:
         """Ids of one-byte texts; together at most one block, none empty."""
         data = np.frombuffer(b"".join(texts), np.uint8)
@@ -136,15 +181,10 @@ class Encoder:
         if self.words:
             held = kind[first] != WHITE
             first, last = first[held], last[held]
-        _, at, which = np.unique(token_keys(data, first, last), return_index=True, return_inverse=True)
+        at, kinds = distinct_tokens(data, first, last)
         raw = data.tobytes()
-        ids = self._remembered([raw[a:b] for a, b in zip(first[at].tolist(), last[at].tolist())])
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        sizes = np.array([len(x) // 4 for x in ids], np.int64)
-        offsets = np.cumsum(sizes) - sizes
-        counts = sizes[which]
-        total = np.cumsum(counts)
-        tokens = flat[np.repeat(offsets[which] - (total - counts), counts) + np.arange(total[-1] if len(total) else 0)]
+        ids = self.bytes_memo.look_up([raw[a:b] for a, b in zip(first[at].tolist(), last[at].tolist())])
+        tokens, total = gather(ids, kinds)
         bounds = np.append(0, total)[np.searchsorted(first, np.append(0, ends))]
         return [tokens[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
 
@@ -156,7 +196,7 @@ class Encoder:
                 cut += 1
             parts = SEGMENT.findall(text[at:cut])
             kinds = list(dict.fromkeys(parts))
-            ids = dict(zip(kinds, self._remembered(kinds)))
+            ids = dict(zip(kinds, self.text_memo.look_up(kinds)))
             out.append(b"".join([ids[p] for p in parts]))
             at = cut
         return b"".join(out)
