@@ -145,11 +145,18 @@ WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
 e AS (SELECT *, length(text) + length(role) + 14
-        + len(regexp_extract_all(text || role, '[\\#<:]')) AS chars FROM t)
-SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
-       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(chars) AS BIGINT) AS formatted_chars
-FROM e GROUP BY conv_id
+        + len(regexp_extract_all(text || role, '[\\#<:]')) AS chars FROM t),
+c AS (
+  SELECT conv_id, count(*) AS n_turns,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+         CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+         sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+         CAST(sum(chars) AS BIGINT) AS formatted_chars,
+         arg_max(role, (coalesce(turn, -9223372036854775808), turn IS NOT NULL, role, text)) AS last_role,
+         string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END, ''
+                    ORDER BY turn NULLS FIRST, role, text) AS roles
+  FROM e GROUP BY conv_id),
+m AS (SELECT * EXCLUDE (last_role, roles),
+             CASE WHEN regexp_full_match(roles, 's|s?(ua)*u|s?(ua)+') THEN last_role ELSE 'reject' END AS state FROM c)
+SELECT *, state = 'assistant' AS valid FROM m
 """
