@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrec.llm import chat, decontam, html_text, langid, neardup, packing, tokenfiles, topk, toxicity, urls
+from sparkrec.llm import align, chat, decontam, html_text, langid, neardup, packing, tokenfiles, topk, toxicity, urls
 from sparkrec.llm.common import scratch_path, staged, table
 from sparkrec.session import ship_package
 
@@ -160,3 +160,10 @@ m AS (SELECT * EXCLUDE (last_role, roles),
              CASE WHEN regexp_full_match(roles, 's|s?(ua)*u|s?(ua)+') THEN last_role ELSE 'reject' END AS state FROM c)
 SELECT *, state = 'assistant' AS valid FROM m
 """
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    found = align.digest(table(spark, sf_dir, "documents"), *paths, keep=["doc_id"])
+    return found.select("row.doc_id", *found.columns[1:])
