@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrec.llm import align, chat, decontam, html_text, langid, neardup, packing, tokenfiles, topk, toxicity, urls
+from sparkrec.llm import align, chat, decontam, html_text, langid, neardup, packing, repair, tokenfiles, topk, toxicity, urls
 from sparkrec.llm.common import scratch_path, staged, table
 from sparkrec.session import ship_package
 
@@ -167,3 +167,81 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
     found = align.digest(table(spark, sf_dir, "documents"), *paths, keep=["doc_id"])
     return found.select("row.doc_id", *found.columns[1:])
+
+
+@query
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.read_rows(table(spark, sf_dir, "conversations"))
+    return repair.digest(rows, repair.repair(repair.damage(rows)))
+
+
+ORACLE["op11_structure_repair"] = r"""
+WITH RECURSIVE
+polynomial AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations),
+hashed AS (
+  SELECT given.*, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(name, ''), lambda x: CAST(ord(x) AS BIGINT))),
+                                  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS d
+  FROM given, polynomial),
+damaged AS (
+  SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hashed WHERE d <> 0
+  UNION ALL SELECT conv_id, turn, role, text FROM hashed WHERE d = 3),
+numbered AS (
+  SELECT *, row_number() OVER w AS i, left(lag(role) OVER w, 1) || left(role, 1) AS pair
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+faults AS (
+  SELECT *, left(role, 1) AS r, CASE
+      WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
+  FROM numbered),
+priced AS (SELECT *, fault IN ('', 'truncated') AS may, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS extra,
+                  chr(10) || role || ':' || text AS kept FROM faults),
+counts AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM priced GROUP BY conv_id),
+costs AS (
+  SELECT conv_id, n AS i, {'c': 0, 'a': '', 't': ''} AS s0, {'c': 6, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'} AS s1,
+         {'c': 3, 'a': 'I', 't': chr(10) || 'assistant:'} AS s2, {'c': 0, 'a': '', 't': ''} AS s3
+  FROM counts
+  UNION ALL
+  SELECT conv_id, i - 1, list_sort([b0, {'c': u.c + 3, 'a': 'I' || u.a, 't': chr(10) || 'user:' || u.t}])[1],
+         list_sort([b1, {'c': u.c + 3, 'a': 'I' || u.a, 't': chr(10) || 'user:' || u.t}])[1], u,
+         list_sort([b3, {'c': b2.c + 3, 'a': 'I' || b2.a, 't': chr(10) || 'user:' || b2.t}])[1]
+  FROM (
+    SELECT *, list_sort([b2, {'c': b3.c + 3, 'a': 'I' || b3.a, 't': chr(10) || 'assistant:' || b3.t}])[1] AS u
+    FROM (
+      SELECT c.conv_id, c.i,
+        list_sort([{'c': s0.c + 4, 'a': 'D' || s0.a, 't': s0.t},
+          CASE WHEN may AND r = 's' THEN {'c': s1.c + extra, 'a': 'K' || s1.a, 't': kept || s1.t} END,
+          CASE WHEN may AND r = 'u' THEN {'c': s2.c + extra, 'a': 'K' || s2.a, 't': kept || s2.t} END,
+          CASE WHEN may THEN {'c': s2.c + 3 + extra, 'a': 'R' || s2.a, 't': chr(10) || 'user:' || text || s2.t} END], 'ASC', 'NULLS LAST')[1] AS b0,
+        list_sort([{'c': s1.c + 4, 'a': 'D' || s1.a, 't': s1.t},
+          CASE WHEN may AND r = 'u' THEN {'c': s2.c + extra, 'a': 'K' || s2.a, 't': kept || s2.t} END,
+          CASE WHEN may THEN {'c': s2.c + 3 + extra, 'a': 'R' || s2.a, 't': chr(10) || 'user:' || text || s2.t} END], 'ASC', 'NULLS LAST')[1] AS b1,
+        list_sort([{'c': s2.c + 4, 'a': 'D' || s2.a, 't': s2.t},
+          CASE WHEN may AND r = 'a' THEN {'c': s3.c + extra, 'a': 'K' || s3.a, 't': kept || s3.t} END,
+          CASE WHEN may THEN {'c': s3.c + 3 + extra, 'a': 'R' || s3.a, 't': chr(10) || 'assistant:' || text || s3.t} END], 'ASC', 'NULLS LAST')[1] AS b2,
+        list_sort([{'c': s3.c + 4, 'a': 'D' || s3.a, 't': s3.t},
+          CASE WHEN may AND r = 'u' THEN {'c': s2.c + extra, 'a': 'K' || s2.a, 't': kept || s2.t} END,
+          CASE WHEN may THEN {'c': s2.c + 3 + extra, 'a': 'R' || s2.a, 't': chr(10) || 'user:' || text || s2.t} END], 'ASC', 'NULLS LAST')[1] AS b3
+      FROM costs c JOIN priced p ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.i = p.i)))
+SELECT o.conv_id, CAST(coalesce(n.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(n.blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(n.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(n.truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(n.illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(c.s0.c, 0) AS BIGINT) AS cost,
+       coalesce(c.s0.a, '') AS audit, sha256(substr(coalesce(c.s0.t, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts n ON o.conv_id IS NOT DISTINCT FROM n.conv_id
+LEFT JOIN costs c ON o.conv_id IS NOT DISTINCT FROM c.conv_id AND c.i = 0
+"""
