@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrec.llm import align, chat, decontam, html_text, langid, neardup, packing, repair, tokenfiles, topk, toxicity, urls
+from sparkrec.llm import align, chat, decontam, html_text, langid, neardup, ngram_join, packing, repair, tokenfiles, topk, toxicity, urls
 from sparkrec.llm.common import scratch_path, staged, table
 from sparkrec.session import ship_package
 
@@ -245,3 +245,25 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counts n ON o.conv_id IS NOT DISTINCT FROM n.conv_id
 LEFT JOIN costs c ON o.conv_id IS NOT DISTINCT FROM c.conv_id AND c.i = 0
 """
+
+
+@query
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_ngram_join"] = r"""
+WITH RECURSIVE
+rows_ AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') AS w FROM documents),
+sets AS (SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM rows_),
+items AS (SELECT rid, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.rid AS a, b.rid AS b FROM items a JOIN items b ON a.x = b.x AND a.rid <> b.rid AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+  GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT rid AS a, rid AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT x.doc_id, CAST(len(x.s) AS BIGINT) AS n_shingles, min(y.doc_id) AS component_id
+FROM reach r JOIN sets x ON r.a = x.rid JOIN sets y ON r.b = y.rid GROUP BY x.rid, x.doc_id, x.s
+"""

@@ -23,7 +23,7 @@ DOCS = [(1, None), (2, ""), (None, "null id"), (3, "Hello  World\n\n it's <|endo
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("embeddings", "pages", "conversations"):
+    for t in ("embeddings", "pages", "conversations", "documents"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(ORACLE[name])
     names = sorted(c[0] for c in want.description)
