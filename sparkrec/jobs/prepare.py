@@ -13,8 +13,9 @@ def run(spark, movies_raw, ratings_raw, out: str, cf=(20, 50), content=(20, 5))
     movies = clean.clean_movies(movies_raw)
     # dedup + range once; both activity filters start from the same checkpointed table
     base = cut_lineage(clean.prepare_ratings(ratings_raw))
-    r_cf = clean.activity_filter(base, cf[0], cf[1])
-    r_content = clean.activity_filter(base, content[0], content[1])
+    layout = clean.edge_layout(base)
+    r_cf = clean.activity_filter(base, cf[0], cf[1], layout=layout)
+    r_content = clean.activity_filter(base, content[0], content[1], layout=layout)
     io.save_processed(movies, r_cf.ratings, r_content.ratings, out)
     return {"ratings_cf_passes": r_cf.passes, "ratings_content_passes": r_content.passes}
 

@@ -80,12 +80,17 @@ def recommend(history: DataFrame, similarity: DataFrame, users: DataFrame | None
 
 
 def recommend_status(history: DataFrame, similarity: DataFrame, users: DataFrame,
-                     threshold: float = 4.0) -> DataFrame:
-    """R6 errors as rows: ``ok / unknown_user / no_liked / no_candidates`` per requested user."""
+                     threshold: float = 4.0, candidates: DataFrame | None = None) -> DataFrame:
+    """R6 errors as rows: ``ok / unknown_user / no_liked / no_candidates`` per requested user.
+
+    ``candidates``: the users' ``candidate_scores``, if a caller has them already.
+    """
     u = users.select("userId").distinct()
     per_user = history.groupBy("userId").agg(
         F.count_if(F.col("rating") >= threshold).alias("n_liked"))
-    cands = candidate_scores(history, similarity, u, threshold).groupBy("userId") \
+    if candidates is None:
+        candidates = candidate_scores(history, similarity, u, threshold)
+    cands = candidates.groupBy("userId") \
         .agg(F.count(F.lit(1)).alias("n_candidates"))
     j = u.join(per_user, "userId", "left").join(cands, "userId", "left")
     status = (F.when(F.col("n_liked").isNull(), "unknown_user")

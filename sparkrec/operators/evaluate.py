@@ -7,12 +7,14 @@ metrics are joins and aggregates (no per-user Python loop).
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkrec.operators import blend, cf, metrics, profile, similarity, split, stats
+from sparkrec.session import cut_lineage
 
 
 def draw_key(seed: int):
@@ -94,13 +96,17 @@ def alpha_sweep(train, test, users, sim, weights, alphas=(0.5, 0.6, 0.7, 0.8, 0.
                         m.alias("num_matched"), (m / F.lit(float(k))).alias(f"precision_at_{k}"),
                         (m / F.col("num_truth")).alias(f"recall_at_{k}"),
                         F.when(m > 0, 1.0).otherwise(0.0).alias(f"hit_rate_at_{k}"))
+    return per_user, alpha_summary(per_user, k, threshold)
+
+
+def alpha_summary(per_user: DataFrame, k: int = 10, threshold: float = 4.0) -> DataFrame:
+    """One summary row per alpha of the sweep's per-user rows."""
     z = lambda c: F.coalesce(F.avg(c), F.lit(0.0))
-    summary = per_user.groupBy("alpha").agg(
+    return per_user.groupBy("alpha").agg(
         F.lit("hybrid").alias("model"), F.lit(k).alias("top_k"), F.lit(float(threshold)).alias("positive_threshold"),
         F.count(F.lit(1)).alias("evaluated_users"), z(f"precision_at_{k}").alias(f"precision_at_{k}"),
         z(f"recall_at_{k}").alias(f"recall_at_{k}"), z(f"hit_rate_at_{k}").alias(f"hit_rate_at_{k}"),
         z("num_matched").alias("average_matches"), z("num_truth").alias("average_truth_items"))
-    return per_user, summary
 
 
 def best_alpha(summary: DataFrame, k: int = 10) -> DataFrame:
@@ -142,11 +148,15 @@ def leakage(recs: DataFrame, history: DataFrame) -> DataFrame:
 
 def _leave_last_out_scores(ratings: DataFrame, sample: int | None, k: int, min_rating: float, seed: int,
                            top_k_sim: int):
-    """E9-E11 core: per sampled user ``(userId, draw_rank, status, hit, ndcg)``."""
+    """E9-E11 core: per sampled user ``(userId, draw_rank, status, hit, ndcg)``.
+
+    The similarity and the candidates are written once; lists, states and
+    metrics are read from them.
+    """
     from pyspark.sql import Window
 
-    train, test = split.leave_last_out(ratings)
-    sim = similarity.item_similarity(train, top_k_sim)
+    train, test = map(cut_lineage, split.leave_last_out(ratings))
+    sim = cut_lineage(similarity.item_similarity(train, top_k_sim))
     eligible = test.join(train.select("movieId").distinct(), "movieId", "left_semi").select("userId").distinct()
     users = eligible.select("userId", draw_key(seed).alias("draw"))
     if sample:
@@ -155,23 +165,27 @@ def _leave_last_out_scores(ratings: DataFrame, sample: int | None, k: int, min_r
         users = users.withColumn("draw_rank", F.row_number().over(Window.orderBy("draw")))
     else:
         users = users.withColumn("draw_rank", F.lit(None).cast("int"))
-    status = cf.recommend_status(train, sim, users, min_rating)
-    ok = status.filter(F.col("status") == "ok").select("userId")
-    recs = cf.recommend(train, sim, ok, k, min_rating)
+    users = cut_lineage(users)
+    candidates = cut_lineage(cf.candidate_scores(train, sim, users, min_rating))
+    status = cf.recommend_status(train, sim, users, min_rating, candidates)
+    ok = status.filter(F.col("status") == "ok").select("userId")  # these have candidates
+    recs = cf.top_k_per_user(candidates, k)
     t = test.join(ok, "userId", "left_semi").select("userId", "movieId")
     scores = metrics.hit_and_ndcg(recs, t, k)
     return (users.join(status.select("userId", "status"), "userId")
             .join(scores, "userId", "left").select("userId", "draw_rank", "status", "hit", "ndcg"))
 
 
-def _hit_summary(rows: DataFrame) -> DataFrame:
+def _hit_summary(rows: DataFrame, k: int = 10) -> DataFrame:
+    """HR and NDCG (named by ``k``) over the users served and over all."""
     ev = F.col("status") == "ok"
+    share = lambda x: F.coalesce(F.try_divide(x, F.count(F.lit(1))), F.lit(0.0))
     return rows.agg(
         F.count_if(ev).alias("users_evaluated"),
-        F.coalesce(F.avg(F.when(ev, F.col("hit"))), F.lit(0.0)).alias("HR_at_10"),
-        F.coalesce(F.avg(F.when(ev, F.col("ndcg"))), F.lit(0.0)).alias("NDCG_at_10"),
-        F.coalesce(F.try_divide(F.count_if(ev & (F.col("hit") > 0)), F.count(F.lit(1))), F.lit(0.0)).alias("HR_at_10_all"),
-        F.coalesce(F.try_divide(F.sum(F.when(ev, F.col("ndcg"))), F.count(F.lit(1))), F.lit(0.0)).alias("NDCG_at_10_all"),
+        F.coalesce(F.avg(F.when(ev, F.col("hit"))), F.lit(0.0)).alias(f"HR_at_{k}"),
+        F.coalesce(F.avg(F.when(ev, F.col("ndcg"))), F.lit(0.0)).alias(f"NDCG_at_{k}"),
+        share(F.count_if(ev & (F.col("hit") > 0))).alias(f"HR_at_{k}_all"),
+        share(F.sum(F.when(ev, F.col("ndcg")))).alias(f"NDCG_at_{k}_all"),
         F.count_if(ev & F.col("hit").isNull()).alias("n_missing_truth"),
         F.count_if(~ev).alias("n_cold_start"))
 
@@ -185,7 +199,7 @@ def leave_last_out_eval(ratings: DataFrame, sample: int | None = 200, k: int = 1
     cannot serve (unknown / no liked / no candidates) count as cold start and
     stay in the ``_all`` denominators (A11/A12).
     """
-    return _hit_summary(_leave_last_out_scores(ratings, sample, k, min_rating, seed, top_k_sim))
+    return _hit_summary(_leave_last_out_scores(ratings, sample, k, min_rating, seed, top_k_sim), k)
 
 
 def sample_sweep(ratings: DataFrame, sizes=(50, 100, 200), k: int = 10, min_rating: float = 4.0,
@@ -193,6 +207,19 @@ def sample_sweep(ratings: DataFrame, sizes=(50, 100, 200), k: int = 10, min_rati
     """The draw order is nested, so the largest sample is scored once and
     each smaller size is a prefix of it."""
     rows = _leave_last_out_scores(ratings, max(sizes), k, min_rating, seed, 100)
-    parts = [_hit_summary(rows.filter(F.col("draw_rank") <= n)).select(F.lit(n).alias("sample_size"), "*")
+    parts = [_hit_summary(rows.filter(F.col("draw_rank") <= n), k).select(F.lit(n).alias("sample_size"), "*")
              for n in sizes]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def timed_sweep(ratings: DataFrame, sizes=(50, 100, 200), k: int = 10, min_rating: float = 4.0,
+                seed: int = 42) -> DataFrame:
+    """E19 with ``elapsed_s``: each size is evaluated by itself, from split to summary, and timed by the driver."""
+    spark = ratings.sparkSession
+    out = []
+    for n in sizes:
+        start = time.monotonic()
+        row = leave_last_out_eval(ratings, n, k, min_rating, seed).first().asDict()
+        out.append({"sample_size": n, **row, "elapsed_s": time.monotonic() - start})
+    return spark.createDataFrame(out, ", ".join(
+        f"{name} {'long' if isinstance(value, int) else 'double'}" for name, value in out[0].items()))

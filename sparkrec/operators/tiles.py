@@ -14,7 +14,10 @@ Work split:
 * inside a tile, NumPy accumulates the block product with ``bincount``
   (a sparse-times-sparse product), and only the non-zero *sums* leave the
   task -- pairs are pre-aggregated before any shuffle;
-* the partial sums of the ``P`` row-groups are added by one hash aggregate.
+* with several row-groups, a tile sends its share of the block product packed
+  by sub-blocks of columns; one reducer per (lo, hi, sub-block) adds the ``P``
+  shares and their squared norms, scores and keeps each column's best, so pair
+  rows are never shuffled, only top-k lists.
 
 A row with many entries (a heavy user) is cut by the column blocks; a column
 with many entries (a popular movie or token) is cut by the row-groups, so no
@@ -36,7 +39,9 @@ TILE_ENTRIES = 1_000_000  # target entries per tile
 PAIR_CHUNK = 4_000_000    # products materialised at once inside a tile
 RANK_DIGITS = 8           # rankings compare scores rounded to 8 decimals (float-order noise)
 
-OUT_SCHEMA = "a long, b long, dot double"
+PART_FIELDS = ("lo", "hi", "sub", "ca", "qa", "cb", "qb", "i", "j", "d")
+PART_SCHEMA = ("lo long, hi long, sub long, ca array<long>, qa array<double>, cb array<long>, qb array<double>, "
+               "i array<long>, j array<long>, d array<double>")
 SIM_SCHEMA = "i long, j long, sim double, sim_r double"
 
 
@@ -123,23 +128,66 @@ def _topk_sparse(rows, cols, vals, k: int) -> np.ndarray:
     return keep
 
 
-def _tile_product(max_cells: int = MAX_ACC_CELLS):
-    """Tile kernel for split row-groups: partial dot sums of each unordered column pair."""
-    return lambda pdf: _tile_product_run(pdf, max_cells)
+def _tile_parts(n_sub: int, max_cells: int = MAX_ACC_CELLS):
+    """Tile kernel for split row-groups: this row-group's share of the block product, packed by sub-blocks of ``lo`` columns."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        lo, hi, cols_a, cols_b, acc, norm_a, norm_b = _block_product(pdf, max_cells)
+        if isinstance(acc, tuple):
+            i, j, d = acc
+        else:
+            i, j = np.nonzero(acc)
+            d = acc[i, j]
+        sub = _sub_block(cols_a, n_sub)
+        out = {name: [] for name in PART_FIELDS}
+        for s in range(n_sub):
+            own = np.flatnonzero(sub == s)
+            at = np.flatnonzero(sub[i] == s)
+            place = np.searchsorted(own, i[at])
+            row = (lo, hi, s, cols_a[own], norm_a[own] ** 2, cols_b, norm_b ** 2, place, j[at], d[at])
+            for name, value in zip(PART_FIELDS, row):
+                out[name].append(value)
+        return pd.DataFrame(out)
+    return run
 
 
-def _tile_product_run(pdf: pd.DataFrame, max_cells: int) -> pd.DataFrame:
-    lo, hi, cols_a, cols_b, acc, _, _ = _block_product(pdf, max_cells)
-    if isinstance(acc, tuple):
-        i, j, d = acc
-        keep = (d != 0) & ((i < j) if lo == hi else True)
-        i, j, d = i[keep], j[keep], d[keep]
-    else:
-        if lo == hi:
-            acc = np.triu(acc, k=1)
-        i, j = np.nonzero(acc)
-        d = acc[i, j]
-    return pd.DataFrame({"a": cols_a[i].astype(np.int64), "b": cols_b[j].astype(np.int64), "dot": d})
+def _sub_block(cols: np.ndarray, n_sub: int) -> np.ndarray:
+    """Sub-block of each column id: the same in every row-group."""
+    mixed = (cols.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+    return (mixed % np.uint64(n_sub)).astype(np.int64)
+
+
+def _reduce_parts(k: int | None, max_cells: int = MAX_ACC_CELLS, unit: bool = True):
+    """Reducer of one sub-block: adds the row-groups' shares, then scores and keeps each column's best."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = int(pdf["lo"].iat[0]), int(pdf["hi"].iat[0])
+        cols_a, norm_a = _summed(pdf["ca"], pdf["qa"])
+        cols_b, norm_b = _summed(pdf["cb"], pdf["qb"])
+        if not unit:
+            norm_a, norm_b = np.ones(len(cols_a)), np.ones(len(cols_b))
+        dense = len(cols_a) * len(cols_b) <= max_cells
+        acc = np.zeros(len(cols_a) * len(cols_b)) if dense else None
+        codes, sums = [], []
+        for ca, cb, i, j, d in zip(pdf["ca"], pdf["cb"], pdf["i"], pdf["j"], pdf["d"]):
+            if not len(d):
+                continue
+            code = np.searchsorted(cols_a, ca)[i] * len(cols_b) + np.searchsorted(cols_b, cb)[j]
+            if dense:
+                acc[code] += d  # a share holds each pair once
+            else:
+                codes.append(code)
+                sums.append(d)
+        if dense:
+            return _cosine_topk(lo, hi, cols_a, cols_b, acc.reshape(len(cols_a), len(cols_b)), norm_a, norm_b, k)
+        u, inv = np.unique(np.concatenate(codes) if codes else np.zeros(0, np.int64), return_inverse=True)
+        total = np.bincount(inv, np.concatenate(sums), len(u)) if codes else np.zeros(0)
+        return _sparse_cosine_topk(lo, hi, cols_a, cols_b, (u // len(cols_b), u % len(cols_b), total), norm_a, norm_b, k)
+    return run
+
+
+def _summed(cols, squares) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct column ids of all shares, and their lengths over all row-groups."""
+    names, at = np.unique(np.concatenate(list(cols)), return_inverse=True)
+    return names, np.sqrt(np.bincount(at, np.concatenate(list(squares)), len(names)))
 
 
 def _top_mask(sim: np.ndarray, k: int) -> np.ndarray:
@@ -169,31 +217,38 @@ def _tile_cosine_topk(k: int | None, max_cells: int = MAX_ACC_CELLS, unit: bool
             norm_a, norm_b = np.ones(len(cols_a)), np.ones(len(cols_b))
         if isinstance(acc, tuple):
             return _sparse_cosine_topk(lo, hi, cols_a, cols_b, acc, norm_a, norm_b, k)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            sim = acc / np.outer(norm_a, norm_b)
-        sim[~np.isfinite(sim)] = 0.0
-        if lo == hi:
-            np.fill_diagonal(sim, 0.0)
-        out_i, out_j, out_s = [], [], []
-        keep = sim > 0 if k is None else _top_mask(sim, k)
-        i, j = np.nonzero(keep)
-        out_i.append(cols_a[i]); out_j.append(cols_b[j]); out_s.append(sim[i, j])
-        if lo != hi:
-            keep_t = sim.T > 0 if k is None else _top_mask(sim.T, k)
-            j2, i2 = np.nonzero(keep_t)
-            out_i.append(cols_b[j2]); out_j.append(cols_a[i2]); out_s.append(sim[i2, j2])
-        sims = np.concatenate(out_s)
-        return pd.DataFrame({"i": np.concatenate(out_i).astype(np.int64),
-                             "j": np.concatenate(out_j).astype(np.int64),
-                             "sim": sims, "sim_r": np.round(sims, RANK_DIGITS)})
+        return _cosine_topk(lo, hi, cols_a, cols_b, acc, norm_a, norm_b, k)
     return run
 
 
+def _cosine_topk(lo, hi, cols_a, cols_b, acc, norm_a, norm_b, k: int | None) -> pd.DataFrame:
+    """Best positive cosines of each column of a dense block product; of both sides, unless the blocks are one."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        sim = acc / np.outer(norm_a, norm_b)
+    sim[~np.isfinite(sim)] = 0.0
+    if lo == hi:
+        _, at_a, at_b = np.intersect1d(cols_a, cols_b, assume_unique=True, return_indices=True)
+        sim[at_a, at_b] = 0.0
+    keep = sim > 0 if k is None else _top_mask(sim, k)
+    i, j = np.nonzero(keep)
+    out_i, out_j, out_s = [cols_a[i]], [cols_b[j]], [sim[i, j]]
+    if lo != hi:
+        keep_t = sim.T > 0 if k is None else _top_mask(sim.T, k)
+        j2, i2 = np.nonzero(keep_t)
+        out_i.append(cols_b[j2])
+        out_j.append(cols_a[i2])
+        out_s.append(sim[i2, j2])
+    sims = np.concatenate(out_s)
+    return pd.DataFrame({"i": np.concatenate(out_i).astype(np.int64),
+                         "j": np.concatenate(out_j).astype(np.int64),
+                         "sim": sims, "sim_r": np.round(sims, RANK_DIGITS)})
+
+
 def _sparse_cosine_topk(lo, hi, cols_a, cols_b, acc, norm_a, norm_b, k):
     i, j, d = acc
     with np.errstate(divide="ignore", invalid="ignore"):
         sim = d / (norm_a[i] * norm_b[j])
-    ok = np.isfinite(sim) & (sim > 0) & ((i != j) if lo == hi else True)
+    ok = np.isfinite(sim) & (sim > 0) & ((cols_a[i] != cols_b[j]) if lo == hi else True)
     i, j, sim = i[ok], j[ok], sim[ok]
     if k is None:
         keep_a = np.ones(len(i), dtype=bool)
@@ -285,15 +340,9 @@ def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, top_k: int
     grouped, p = _tiles(entries, row, col, value, tile_entries)
     if p == 1:
         return grouped.applyInPandas(_tile_cosine_topk(top_k, max_acc_cells, unit), SIM_SCHEMA)
-    dots = grouped.applyInPandas(_tile_product(max_acc_cells), OUT_SCHEMA).groupBy("a", "b").agg(F.sum("dot").alias("dot"))
-    sims = dots.withColumn("sim", F.col("dot")) if not unit else _divided(dots, column_norms(entries, col, value))
-    sims = sims.withColumn("sim_r", F.rint(F.col("sim") * 10.0 ** RANK_DIGITS) / 10.0 ** RANK_DIGITS)  # as in the tiles
-    both = sims.select(F.col("a").alias("i"), F.col("b").alias("j"), "sim", "sim_r").unionByName(
-        sims.select(F.col("b").alias("i"), F.col("a").alias("j"), "sim", "sim_r"))
-    if top_k is None:
-        return both
-    best = Window.partitionBy("i").orderBy(F.col("sim_r").desc())
-    return both.withColumn("_r", F.rank().over(best)).filter(F.col("_r") <= top_k).drop("_r")
+    # as many sub-blocks as row-groups: a reducer holds no more cells than a tile did
+    parts = grouped.applyInPandas(_tile_parts(p, max_acc_cells), PART_SCHEMA)
+    return parts.groupBy("lo", "hi", "sub").applyInPandas(_reduce_parts(top_k, max_acc_cells, unit), SIM_SCHEMA)
 
 
 # --- left x right scoring with per-row top-N (profiles x catalog) -----------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkrec.operators import clean
 from sparkrec.sources import fixtures
+from sparkrec.sources.stage_store import VersionedCache
 
 DIGITS = 6
 
@@ -20,7 +21,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture A after latest-wins dedup and the valid range (W1, P8), built once per session."""
     from sparkrec.session import cut_lineage
 
-    return built(spark, ("ratings", sf_dir),
+    return built(spark, ("ratings",), sf_dir, RATING_TABLES,
                  lambda: cut_lineage(clean.prepare_ratings(fixtures.ratings_raw(spark, sf_dir))))
 
 
@@ -28,25 +29,28 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.movies_raw(spark, sf_dir)
 
 
-_BUILT: dict = {}
+_BUILT = VersionedCache()
 
+#: Driver tables that the fixture ratings and movies come from.
+RATING_TABLES = ("lineitem", "orders")
+MOVIE_TABLES = ("part",)
 
-def built(spark: SparkSession, key: tuple, make):
-    """Build a checkpointed table once per session (the 'processed data' of the reference).
+
+def built(spark: SparkSession, key: tuple, sf_dir: str, tables: tuple[str, ...], make):
+    """A checkpointed table, built once per session and version of its input files.
 
     Values are checkpointed DataFrames: their files live in the session's
-    checkpoint directory, so reuse across queries is safe and cheap.
+    checkpoint directory, so reuse across queries is safe and cheap.  A changed
+    input file (path, size or modification time) makes it again.
     """
-    k = (id(spark), spark.sparkContext.applicationId) + key
-    if k not in _BUILT:
-        _BUILT[k] = make()
-    return _BUILT[k]
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
+    return _BUILT.get(spark, (id(spark), spark.sparkContext.applicationId, sf_dir, *key), paths, make)
 
 
 def core_ratings(spark: SparkSession, sf_dir: str, min_user: int = 20, min_movie: int = 20,
                  max_iter: int | None = None) -> DataFrame:
     """Fixture A after the activity filter (A6), run to its fixpoint unless a caller asks for fewer passes."""
-    return built(spark, ("core", sf_dir, min_user, min_movie, max_iter), lambda: clean.activity_filter(
+    return built(spark, ("core", min_user, min_movie, max_iter), sf_dir, RATING_TABLES, lambda: clean.activity_filter(
         ratings(spark, sf_dir), min_user, min_movie, max_iter).ratings)
 
 
@@ -54,7 +58,7 @@ def time_split(spark: SparkSession, sf_dir: str):
     """(train, test): per-user time split (E2) of the (20, 20) core ratings."""
     from sparkrec.operators import split
 
-    return built(spark, ("split", sf_dir), lambda: split.time_split(core_ratings(spark, sf_dir), 0.2, 1))
+    return built(spark, ("split",), sf_dir, RATING_TABLES, lambda: split.time_split(core_ratings(spark, sf_dir), 0.2, 1))
 
 
 def core_similarity(spark: SparkSession, sf_dir: str, k: int = 100) -> DataFrame:
@@ -62,7 +66,7 @@ def core_similarity(spark: SparkSession, sf_dir: str, k: int = 100) -> DataFrame
     from sparkrec.operators import similarity
     from sparkrec.session import cut_lineage
 
-    return built(spark, ("coresim", sf_dir, k),
+    return built(spark, ("coresim", k), sf_dir, RATING_TABLES,
                  lambda: cut_lineage(similarity.item_similarity(core_ratings(spark, sf_dir), k)))
 
 
@@ -71,5 +75,5 @@ def train_similarity(spark: SparkSession, sf_dir: str, k: int = 100) -> DataFram
     from sparkrec.operators import similarity
     from sparkrec.session import cut_lineage
 
-    return built(spark, ("trainsim", sf_dir, k),
+    return built(spark, ("trainsim", k), sf_dir, RATING_TABLES,
                  lambda: cut_lineage(similarity.item_similarity(time_split(spark, sf_dir)[0], k)))

@@ -110,7 +110,7 @@ def movie_tfidf(spark, sf):
     """(weights, vocabulary) of the fixture movies, built and checkpointed once per session."""
     from sparkrec.session import cut_lineage
 
-    return common.built(spark, ("tfidf", sf), lambda: tuple(
+    return common.built(spark, ("tfidf",), sf, common.MOVIE_TABLES, lambda: tuple(
         cut_lineage(x) for x in tfidf.tfidf(tfidf.prepare_features(movies(spark, sf)))))
 
 
@@ -189,3 +189,11 @@ def q_content_candidates(spark, sf):
     w, _ = movie_tfidf(spark, sf)
     r = profile.ranked_content(train(spark, sf), w, 500)
     return r.select("userId", "movieId", r6("score").alias("score"), "rank")
+
+
+@query("content_recs_pruned", O.with_(*CONTENT_BASE) + CONTENT_SCORES_SQL + "\n" + O.top_k_sql("cun", 10))
+def q_content_recs_pruned(spark, sf):
+    """The same lists from vector blocks of 64, so that bounds decide which blocks a user meets."""
+    w, _ = movie_tfidf(spark, sf)
+    r = profile.ranked_content(train(spark, sf), w, 10, item_block=64)
+    return r.select("userId", "movieId", r6("score").alias("score"), "rank")

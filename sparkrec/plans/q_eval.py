@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkrec.operators import cf, evaluate
+from sparkrec.operators import cf, evaluate, metrics
 from sparkrec.plans import common
 from sparkrec.plans import oracle as O
 from sparkrec.plans.common import core_ratings, r6
 from sparkrec.plans.q_blend import PROFILE_FOR, hybrid_sql
 from sparkrec.plans.q_content import CONTENT_BASE, movie_tfidf
 from sparkrec.plans.registry import query
+from sparkrec.session import cut_lineage
 
 ALPHAS = (0.5, 0.6, 0.7, 0.8, 0.9)
 ALPHA_SQL = ", ".join(f"({a})" for a in ALPHAS)
@@ -122,11 +123,18 @@ FULL_BASE = CONTENT_BASE
 
 
 def inputs(spark, sf):
+    """The split and the sampled users (bounded rows, written once, as every model is scored for them)."""
     train, test = common.time_split(spark, sf)
-    users = evaluate.select_users(train, test, 100, 42, 4.0)
+    users = common.built(spark, ("eval_users",), sf, common.RATING_TABLES,
+                         lambda: cut_lineage(evaluate.select_users(train, test, 100, 42, 4.0)))
     return train, test, users
 
 
+def per_user_rows(spark, sf, name, make):
+    """A model's per-user rows, scored and written once; its summaries are aggregates of them."""
+    return common.built(spark, ("eval", name), sf, common.RATING_TABLES + common.MOVIE_TABLES, lambda: cut_lineage(make()[0]))
+
+
 @query("eval_users", O.with_(*EVAL_BASE) + EU_SQL + "\nSELECT userId, draw FROM eu")
 def q_eval_users(spark, sf):
     return inputs(spark, sf)[2]
@@ -146,26 +154,30 @@ def _sum(df, extra=()):
 
 def popular_eval(spark, sf):
     train, test, users = inputs(spark, sf)
-    return evaluate.evaluate_popular(train, test, users, 10, 4.0)
+    rows = per_user_rows(spark, sf, "popular", lambda: evaluate.evaluate_popular(train, test, users, 10, 4.0))
+    return rows, metrics.summarize(rows, "popular", 10, 4.0)
 
 
 def cf_eval(spark, sf):
     train, test, users = inputs(spark, sf)
     sim = common.train_similarity(spark, sf)
-    return evaluate.evaluate_cf(train, test, users, sim, 10, 30, 4.0)
+    rows = per_user_rows(spark, sf, "cf", lambda: evaluate.evaluate_cf(train, test, users, sim, 10, 30, 4.0))
+    return rows, metrics.summarize(rows, "knn_cf", 10, 4.0)
 
 
 def content_eval(spark, sf):
     train, test, users = inputs(spark, sf)
     w, _ = movie_tfidf(spark, sf)
-    return evaluate.evaluate_content(train, test, users, w, 10, 4.0)
+    rows = per_user_rows(spark, sf, "content", lambda: evaluate.evaluate_content(train, test, users, w, 10, 4.0))
+    return rows, metrics.summarize(rows, "knn_content", 10, 4.0)
 
 
 def sweep(spark, sf):
     train, test, users = inputs(spark, sf)
     sim = common.train_similarity(spark, sf)
     w, _ = movie_tfidf(spark, sf)
-    return evaluate.alpha_sweep(train, test, users, sim, w, ALPHAS, 10, 50, 4.0, 500)
+    rows = per_user_rows(spark, sf, "hybrid", lambda: evaluate.alpha_sweep(train, test, users, sim, w, ALPHAS, 10, 50, 4.0, 500))
+    return rows, evaluate.alpha_summary(rows, 10, 4.0)
 
 
 @query("eval_popular_users", O.with_(*EVAL_BASE) + EU_SQL + POP_SQL + "\n" + round_per_user("ppu"))
@@ -205,14 +217,8 @@ def q_best_alpha(spark, sf):
 
 
 def comparison(spark, sf):
-    train, test, users = inputs(spark, sf)
-    sim = common.train_similarity(spark, sf)
-    w, _ = movie_tfidf(spark, sf)
-    pop = evaluate.evaluate_popular(train, test, users)[1]
-    cfs = evaluate.evaluate_cf(train, test, users, sim, 10, 30)[1]
-    cts = evaluate.evaluate_content(train, test, users, w)[1]
-    hyb = evaluate.best_alpha(evaluate.alpha_sweep(train, test, users, sim, w, ALPHAS, 10, 50, 4.0, 500)[1])
-    return evaluate.compare_models([pop, cfs, cts, hyb])
+    best = evaluate.best_alpha(sweep(spark, sf)[1])
+    return evaluate.compare_models([popular_eval(spark, sf)[1], cf_eval(spark, sf)[1], content_eval(spark, sf)[1], best])
 
 
 COMPARISON_SQL = (O.with_(*FULL_BASE) + EU_SQL + _hybrid_eval_sql() + POP_SQL

@@ -68,3 +68,29 @@ def test_guards(spark):
     two = ratings_df(spark, [(1, 1, 4.0), (1, 2, 3.0), (2, 1, 5.0)])
     assert similarity.build_cf_model(two, top_k=1)["similarity"].count() == 2
     assert similarity.build_cf_model(two)["similarity"].count() == 4   # longer than the catalog: with the diagonal
+
+
+def test_peeling_reads_only_the_buckets_of_removed_ids(spark):
+    # a dense core that stays, and a chain that loses one user and one movie per pass
+    rows = [(u, m, 3.0) for u in range(100, 130) for m in range(100, 130)]
+    rows += [(u, m, 3.0) for u in range(8) for m in (u, u + 1)] + [(0, 100, 2.0)]
+    base = ratings_df(spark, rows)
+    layout = clean.edge_layout(base, rows_per_bucket=20)
+    assert layout.buckets == -(-len(rows) // 20)
+    res = clean.activity_filter(base, 2, 2, layout=layout)
+    want = {(u, m) for u, m, _ in rows}
+    while True:
+        movies = {m for m in {m for _, m in want} if sum(x == m for _, x in want) >= 2}
+        step = {(u, m) for u, m in want if m in movies}
+        users = {u for u in {u for u, _ in step} if sum(x == u for x, _ in step) >= 2}
+        step = {(u, m) for u, m in step if u in users}
+        if step == want:
+            break
+        want = step
+    assert {(r["userId"], r["movieId"]) for r in res.ratings.collect()} == want
+    assert res.converged and res.passes > 3
+    assert all(a <= 2 and b <= 2 for a, b in res.read) and res.read[-1] == (0, 0)
+    files = layout.edges(spark, "movieId", [0, 1]).inputFiles()
+    assert all("bucket=0" in f or "bucket=1" in f for f in files)
+    again = clean.activity_filter(base, 2, 2, layout=layout)
+    assert again.ratings.count() == len(want)
