@@ -63,15 +63,11 @@ def genre_coverage(ranked: DataFrame, movies_clean: DataFrame, top: int = 100) -
 
 
 def movies_profile(movies: DataFrame) -> DataFrame:
-    """One row per column: name, type, null count, row count."""
-    n = F.count(F.lit(1))
-    rows = [movies.agg(F.lit(c).alias("column"), F.lit(t).alias("dtype"),
-                       F.count_if(F.col(c).isNull()).alias("nulls"), n.alias("rows"))
-            for c, t in movies.dtypes]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    """One row per column: name, type, null count, row count; one scan, then one row turned on its side."""
+    counts = movies.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(movies.columns)])
+    per_column = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("dtype"), F.col(f"n{i}").alias("nulls"))
+                           for i, (c, t) in enumerate(movies.dtypes)])
+    return counts.select("rows", F.inline(per_column)).select("column", "dtype", "nulls", "rows")
 
 
 def title_search(movies: DataFrame, needle: str) -> DataFrame:

@@ -95,6 +95,7 @@ def ranked_popularity(ranking: DataFrame) -> DataFrame:
 
 
 RANK_CHUNK = 1024
+CHUNK_USERS = 1024  # users that share a copy of a chunk: as many as it has movies
 
 
 def popular_recs(users: DataFrame, train: DataFrame, ranked: DataFrame, top_k: int = 10) -> DataFrame:
@@ -103,8 +104,8 @@ def popular_recs(users: DataFrame, train: DataFrame, ranked: DataFrame, top_k: i
     A user who has seen ``s`` movies needs at most ranks ``1 .. top_k + s``, so
     the candidate work per user is linear in that user's own history and never
     pairs users with the whole catalog.  The ranking is packed in chunks of
-    ``RANK_CHUNK`` movies; each chunk is copied to as many salts as there are
-    shuffle partitions, because every user needs the first one.  Seen pairs go
+    ``RANK_CHUNK`` movies.  Every user needs the first chunk, fewer each next
+    one: a chunk is copied once per ``CHUNK_USERS`` users that reach it.  Seen pairs go
     through an anti join and ``row_number`` per user (with a map-side group
     limit) keeps the first ``top_k``.  ``ranked`` comes from ``ranked_popularity``.
     """
@@ -114,12 +115,13 @@ def popular_recs(users: DataFrame, train: DataFrame, ranked: DataFrame, top_k: i
     u = users.select("userId").distinct()
     depth = (u.join(seen.groupBy("userId").agg(F.count(F.lit(1)).alias("s")), "userId", "left")
              .select("userId", (F.lit(top_k) + F.coalesce(F.col("s"), F.lit(0))).alias("depth")))
-    salts = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = depth.select("userId", "depth", F.pmod(F.xxhash64("userId"), F.lit(salts)).alias("salt"),
-                          F.explode(F.sequence(F.lit(0), F.floor((F.col("depth") - 1) / RANK_CHUNK).cast("int"))).alias("c"))
+    reached = depth.select("userId", "depth", F.explode(
+        F.sequence(F.lit(0), F.floor((F.col("depth") - 1) / RANK_CHUNK).cast("int"))).alias("c"))
+    salts = reached.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / CHUNK_USERS).alias("salts"))
+    wanted = reached.join(salts, "c").select("userId", "depth", "c", F.pmod(F.xxhash64("userId"), F.col("salts")).alias("salt"))
     packed = ranked.groupBy(F.floor((F.col("pop_rank") - 1) / RANK_CHUNK).cast("int").alias("c")).agg(
         F.array_sort(F.collect_list(F.struct("pop_rank", "movieId"))).alias("movies"))
-    packed = packed.select("c", "movies", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
+    packed = packed.join(salts, "c").select("c", "movies", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
     part = F.slice("movies", F.lit(1), F.least(F.lit(RANK_CHUNK), F.col("depth") - F.col("c") * RANK_CHUNK).cast("int"))
     cand = wanted.join(packed, ["c", "salt"]).select("userId", F.explode(part).alias("m")) \
         .select("userId", "m.pop_rank", "m.movieId")

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from sparkrec.operators import clean, eda, similarity, stats
+from sparkrec.operators import clean, eda, similarity, sketches, stats
 from sparkrec.operators.tiles import cosine_of
 from sparkrec.plans import common
 from sparkrec.plans import oracle as O
@@ -209,3 +209,11 @@ def q_model_roundtrip(spark, sf):
     model_store.save_cf_model(c, sim, path)
     tables = model_store.load_cf_model(spark, path, expected_n_ratings=c.count())
     return tables["meta"].withColumn("status", F.lit("verified"))
+
+
+@query("eda_activity_sketches")
+def q_activity_sketches(spark, sf):
+    """A14/A17 by sketches of each rating's month, merged: estimates beside the exact figures' query ``eda_sparsity``."""
+    r = ratings(spark, sf)
+    month = F.date_trunc("month", F.timestamp_seconds("timestamp"))
+    return sketches.figures(sketches.merged(sketches.activity_sketches(r, month)))
