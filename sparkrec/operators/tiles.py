@@ -283,26 +283,34 @@ def plan_tiles(n_cols: int, n_entries: int, parallelism: int,
     return nb, p
 
 
-def _tiles(entries: DataFrame, row: str, col: str, value: str, tile_entries: int):
+def _tiles(entries: DataFrame, row: str, col: str, value: str, tile_entries: int, only: DataFrame | None = None):
+    """(grouped tile rows, row-groups).  With ``only`` (its first column), tiles hold a block of these columns.
+
+    They take blocks of their own, numbered first; their entries go to every
+    tile of their block, all others to the tiles shared with those blocks.
+    """
     e = entries.select(F.col(row).alias("r"), F.col(col).cast("long").alias("c"),
                        F.col(value).cast("double").alias("v"))
     sizes = e.groupBy("c").agg(F.count(F.lit(1)).alias("n")).agg(
         F.count(F.lit(1)).alias("nc"), F.sum("n").alias("n"), F.max("n").alias("largest")).first()
     par = entries.sparkSession.sparkContext.defaultParallelism
     nb, p = plan_tiles(sizes["nc"], sizes["n"] or 0, par, tile_entries, sizes["largest"] or 0)
-    placed = e.select(
-        "r", "c", "v",
-        F.pmod(F.xxhash64("c"), F.lit(nb)).alias("blk"),
-        F.pmod(F.xxhash64("r"), F.lit(p)).alias("p"))
-    fanned = placed.select(
-        "r", "c", "v", "blk", "p",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nb - 1).cast("long"))).alias("other"))
-    tiles = fanned.select(
+    block, first = F.pmod(F.xxhash64("c"), F.lit(nb)), F.lit(nb)
+    n_tiles = p * nb * (nb + 1) // 2
+    if only is not None:
+        asked = only.select(F.col(only.columns[0]).cast("long").alias("c")).distinct().withColumn("asked", F.lit(True))
+        own = max(1, math.ceil(asked.count() / MAX_COL_BLOCK))
+        e = e.join(asked, "c", "left")
+        block = F.when(F.col("asked"), F.pmod(F.xxhash64("c"), F.lit(own))).otherwise(own + block)
+        first = F.when(F.col("asked"), F.lit(own + nb)).otherwise(F.lit(own))
+        n_tiles = p * (own * (own + 1) // 2 + own * nb)
+    placed = e.select("r", "c", "v", block.alias("blk"), F.pmod(F.xxhash64("r"), F.lit(p)).alias("p"),
+                      F.explode(F.sequence(F.lit(0).cast("long"), first.cast("long") - 1)).alias("other"))
+    tiles = placed.select(
         "r", "c", "v", "blk", "p",
         F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
     # an explicit count keeps AQE from packing the (few, compute-heavy) tiles
     # into one task; the grouping reuses this layout
-    n_tiles = p * nb * (nb + 1) // 2
     return tiles.repartition(min(2 * n_tiles, 16 * par), "p", "lo", "hi").groupBy("p", "lo", "hi"), p
 
 
@@ -331,13 +339,15 @@ def cosine_of(pairs: DataFrame, entries: DataFrame, row: str, col: str, value: s
 
 def cosine_pairs(entries: DataFrame, row: str, col: str, value: str, top_k: int | None = None,
                  tile_entries: int = TILE_ENTRIES, max_acc_cells: int = MAX_ACC_CELLS,
-                 unit: bool = True) -> DataFrame:
+                 unit: bool = True, only: DataFrame | None = None) -> DataFrame:
     """Cosine of co-occurring column pairs, both directions: ``(i, j, sim, sim_r)``; the plain dot if not ``unit``.
 
+    ``only``: just the pairs with an end in these columns.
+
     With ``top_k`` the result may be pruned to a superset of each column's
     ``top_k`` best neighbours (ties included); callers rank it exactly.
     """
-    grouped, p = _tiles(entries, row, col, value, tile_entries)
+    grouped, p = _tiles(entries, row, col, value, tile_entries, only)
     if p == 1:
         return grouped.applyInPandas(_tile_cosine_topk(top_k, max_acc_cells, unit), SIM_SCHEMA)
     # as many sub-blocks as row-groups: a reducer holds no more cells than a tile did
