@@ -27,5 +27,5 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module so that its ``@query`` decorators run."""
     from sparkrec.plans import (  # noqa: F401
-        q_blend, q_cf, q_content, q_eda, q_eval, q_prepare, q_rank,
+        q_blend, q_cf, q_content, q_eda, q_eval, q_io, q_prepare, q_rank,
     )
