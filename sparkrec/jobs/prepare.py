@@ -9,14 +9,14 @@ from sparkrec.session import cut_lineage, get_spark
 from sparkrec.sources import fixtures, io
 
 
-def run(spark, movies_raw, ratings_raw, out: str, cf=(20, 50), content=(20, 5)) -> dict:
+def run(spark, movies_raw, ratings_raw, out: str, cf=(20, 50), content=(20, 5), by_user=False) -> dict:
     movies = clean.clean_movies(movies_raw)
     # dedup + range once; both activity filters start from the same checkpointed table
     base = cut_lineage(clean.prepare_ratings(ratings_raw))
     layout = clean.edge_layout(base)
     r_cf = clean.activity_filter(base, cf[0], cf[1], layout=layout)
     r_content = clean.activity_filter(base, content[0], content[1], layout=layout)
-    io.save_processed(movies, r_cf.ratings, r_content.ratings, out)
+    io.save_processed(movies, r_cf.ratings, r_content.ratings, out, by_user)
     return {"ratings_cf_passes": r_cf.passes, "ratings_content_passes": r_content.passes}
 
 
@@ -28,6 +28,7 @@ def main(argv=None) -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--cf", type=int, nargs=2, default=(20, 50), metavar=("MIN_USER", "MIN_MOVIE"))
     p.add_argument("--content", type=int, nargs=2, default=(20, 5), metavar=("MIN_USER", "MIN_MOVIE"))
+    p.add_argument("--by-user", action="store_true", help="also write ratings_cf in buckets of the user")
     a = p.parse_args(argv)
     spark = get_spark()
     if a.sf_dir:
@@ -35,7 +36,7 @@ def main(argv=None) -> None:
     else:
         m = io.load_movies_raw(spark, f"{a.csv_dir}/movies.csv")
         r = io.load_ratings_raw(spark, f"{a.csv_dir}/ratings.csv")
-    print(run(spark, m, r, a.out, tuple(a.cf), tuple(a.content)))
+    print(run(spark, m, r, a.out, tuple(a.cf), tuple(a.content), a.by_user))
 
 
 if __name__ == "__main__":

@@ -88,7 +88,7 @@ def test_training_jobs_commit_loadable_models(spark):
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 def test_command_lines(spark, tmp_path):
     from sparkrec.jobs import build_all, leave_last_out, prepare
-    from sparkrec.sources import io, model_store
+    from sparkrec.sources import bucketed, io, model_store
 
     ratings, movies, _ = small(spark)
     csv = tmp_path / "csv"
@@ -96,8 +96,9 @@ def test_command_lines(spark, tmp_path):
     pandas_ratings, pandas_movies = ratings.toPandas(), movies.toPandas()
     pandas_ratings.to_csv(csv / "ratings.csv", index=False)
     pandas_movies.to_csv(csv / "movies.csv", index=False)
-    prepare.main(["--csv-dir", str(csv), "--out", str(tmp_path / "processed"), "--cf", "2", "2", "--content", "2", "1"])
-    assert io.load_processed(spark, str(tmp_path / "processed"))[1].count() > 0
+    prepare.main(["--csv-dir", str(csv), "--out", str(tmp_path / "processed"), "--cf", "2", "2", "--content", "2", "1", "--by-user"])
+    kept = io.load_processed(spark, str(tmp_path / "processed"))[1].count()
+    assert kept > 0 and bucketed.open_bucketed(spark, str(tmp_path / "processed" / io.BY_USER)).count() == kept
     build_all.main(["--processed", str(tmp_path / "processed"), "--out", str(tmp_path / "models")])
     assert model_store.load_cf_model(spark, str(tmp_path / "models/knn_cf"))["items"].count() > 0
     leave_last_out.main(["--processed", str(tmp_path / "processed"), "--out", str(tmp_path / "llo"), "--sample", "5", "--k", "4",
