@@ -14,13 +14,16 @@ when ``100 * intersection >= PERCENT * union``.
    the prefix is extended as needed.  Linked sets share at least one signature.
    Group numbers depend on the size's power of two; sets that may link
    into the next power are indexed under both.
-3. Equal sets are one node.  All nodes of a signature are first compared with
-   its least node, and links merge into components.
-4. Signatures that still hold different components are compared completely, but
-   for the nodes of their largest component among themselves: the
-   parity sketches of two linked sets differ in at most as many bits as the sets
-   do in shingles, which leaves few pairs to verify on the texts.  Blocks have
-   at most ``BLOCK_NODES`` nodes a side and emit links, never pairs.
+3. Equal sets are one node.  Signatures are range-sorted, so that equal ones
+   stand together; those of equal node lists are one group.
+4. All nodes of a group are first compared with its least node, and links merge
+   into components.
+5. Groups that still hold different components are compared completely, but
+   for the nodes of their largest component among themselves.  Blocks have at
+   most ``BLOCK_NODES`` nodes a side and emit links, never pairs.
+
+Before texts are compared, parity sketches are: those of two linked sets differ
+in at most as many bits as the sets do in shingles, which leaves few pairs.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; shingles are 64-bit hashes
 of their words' 64-bit hashes (xxh3), sets are named by 128 bits over them.
@@ -35,6 +38,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import pieces, staged
+from sparkrec.llm.common import by_group, join_by_size, pieces, slices, staged
 from sparkrec.llm.components import connected_components
 from sparkrec.llm.shingles import U, mix
 
@@ -50,41 +54,66 @@ WORDS = 4
 PERCENT = 85
 COUNTER_BITS = 22  # the driver and each worker hold one byte a counter
 SLICES = 64
+BLOCK_BYTES = 1 << 20
+LIST_NODES = 256  # signatures of more nodes are groups of their own
 COMBINED_FROM = 6  # smallest size class (log2) whose frequent shingles are combined
 FREQUENT, VERY_FREQUENT = 16, 256  # times the mean counter, and shingles besides
 BLOCK_NODES = 4096
 PAIR_BLOCK = 256
-HOT = 4096
-MEMO_WORDS, MEMO_BYTES = 100_000, 32
 _SALT = mix(np.arange(1, 300, dtype=U) * U(0xD6E8FEB86659FD93))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; a bounded number of short ones is remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= MEMO_BYTES:
-            if len(self) >= MEMO_WORDS:
-                self.clear()
-            self[word] = value
-        return value
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
 
 
-_HASHES = WordHashes()
+def word_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words ``data[first:last]``: of up to 16 bytes as two machine words, of longer ones by xxh3."""
+    size = last - first
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    words = np.ndarray((len(data) + 8,), "<u8", padded, 0, (1,))
+    low = words[first] & MASKS[np.minimum(size, 8)]
+    high = words[np.minimum(first + 8, len(data))] & MASKS[np.clip(size - 8, 0, 8)]
+    out = mix(mix(low + _SALT[260]) ^ (high + size.astype(U) * _SALT[261]))
+    for i in np.flatnonzero(size > 16):
+        out[i] = xxhash.xxh3_64_intdigest(data[first[i]:last[i]].tobytes(), 1)
+    return out
 
 
-def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of a whole text."""
-    words = (text or "").encode().lower().split()  # of bytes: A-Z only, and blanks are exactly 20 and 09 to 0D
-    if not words:
-        return np.zeros(0, U)
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), U, len(words))
-    n = max(len(words) - size + 1, 1)
-    keys = np.full(n, min(len(words), size), U)
-    for j in range(min(size, len(words))):
-        keys = mix((keys ^ hashes[j:j + n]) + _SALT[j])
-    return np.unique(keys)
+def block_shingles(texts: list[str | None], size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all shingles in order, where those of each text begin and the number of all); repeats included."""
+    raw = [(t or "").encode().lower() for t in texts]  # of bytes: A-Z only
+    data = np.frombuffer(b" ".join([b"", *raw, b""]), np.uint8)
+    word = ~BLANK[data]
+    edge = np.flatnonzero(word[1:] != word[:-1]) + 1
+    start, end = edge[::2], edge[1::2]
+    hashes = word_hashes(data, start, end)
+    lengths = np.array([len(r) for r in raw], np.int64)
+    at = np.searchsorted(start, np.append(0, np.cumsum(lengths + 1)) + 1)
+    n_words = np.diff(at)
+    per = np.where(n_words > 0, np.maximum(n_words - size + 1, 1), 0)
+    ends = np.cumsum(per)
+    text = np.repeat(np.arange(len(per)), per)
+    place = at[:-1][text] + np.arange(len(text)) - (ends - per)[text]
+    held = np.minimum(n_words, size)[text]
+    keys = held.astype(U)
+    for j in range(size):
+        more = mix((keys ^ hashes[np.minimum(place + j, len(hashes) - 1)]) + _SALT[j]) if len(text) else keys
+        keys = np.where(held > j, more, keys)
+    return keys, np.append(0, ends)
+
+
+def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """Sorted hashes of the distinct shingles of each whole text."""
+    for a, b in slices([len(t or "") for t in texts], BLOCK_BYTES):
+        keys, first = block_shingles(texts[a:b])
+        for x, y in zip(first, first[1:]):
+            yield np.unique(keys[x:y])
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    return next(shingle_sets([text]))
 
 
 def counter(keys: np.ndarray) -> np.ndarray:
@@ -92,24 +121,31 @@ def counter(keys: np.ndarray) -> np.ndarray:
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: the counters in use, a row of (slice, places, counts) for each slice."""
-    counts = np.zeros(1 << COUNTER_BITS, np.int32)
+    """Per task a row for each slice: counters up to 255 in a byte each, and the places and counts of larger ones.
+
+    Repeats within a text count too: the order is none the worse for it.
+    """
+    counts = np.zeros(1 << COUNTER_BITS, np.int64)
     for batch in pieces(batches):
-        for text in batch.column(0).to_pylist():
-            np.add.at(counts, counter(shingle_set(text)), 1)
+        texts = batch.column(0).to_pylist()
+        for a, b in slices([len(t or "") for t in texts], BLOCK_BYTES):
+            np.add.at(counts, counter(block_shingles(texts[a:b])[0]), 1)
     width = len(counts) // SLICES
-    parts = [np.flatnonzero(counts[s:s + width]).astype(np.int32) for s in range(0, len(counts), width)]
+    rows = [counts[s:s + width] for s in range(0, len(counts), width)]
+    large = [np.flatnonzero(r > 255) for r in rows]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.arange(SLICES, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary()),
-         pa.array([counts[s * width + p].tobytes() for s, p in enumerate(parts)], pa.binary())], ["slice", "places", "counts"])
+        [pa.array(np.arange(SLICES, dtype=np.int32)),
+         pa.array([np.where(r > 255, 0, r).astype(np.uint8).tobytes() for r in rows], pa.binary()),
+         pa.array([x.tolist() for x in large], pa.list_(pa.int32())),
+         pa.array([r[x].tolist() for r, x in zip(rows, large)], pa.list_(pa.int64()))], ["slice", "counts", "places", "larger"])
 
 
 def _sum_slice(key: tuple, groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((1 << COUNTER_BITS) // SLICES, np.int64)
     for batch in groups:
-        for places, counts in zip(batch.column("places"), batch.column("counts")):
-            at = np.frombuffer(places.as_buffer(), np.int32)
-            total[at] += np.frombuffer(counts.as_buffer(), np.int32)
+        for counts, places, larger in zip(*(batch.column(n) for n in ("counts", "places", "larger"))):
+            total += np.frombuffer(counts.as_buffer(), np.uint8)
+            total[places.values.to_numpy()] += larger.values.to_numpy()
     level = np.where(total > 0, 1 + np.floor(4 * np.log2(np.maximum(total, 1))), 0).astype(np.uint8)  # a quarter octave each
     yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([level.tobytes()], pa.binary()),
                                       pa.array([int(total.sum())], pa.int64())], ["slice", "levels", "total"])
@@ -117,7 +153,7 @@ def _sum_slice(key: tuple, groups: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 def frequency_levels(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(level of each counter, tokens a signature takes at each level), from every document."""
-    rows = docs.select("text").mapInArrow(_frequencies, "slice int, places binary, counts binary")
+    rows = docs.select("text").mapInArrow(_frequencies, "slice int, counts binary, places array<int>, larger array<long>")
     found = rows.groupBy("slice").applyInArrow(_sum_slice, "slice int, levels binary, total long").orderBy("slice").collect()
     levels = np.frombuffer(b"".join(bytes(r["levels"]) for r in found) or bytes(1 << COUNTER_BITS), np.uint8)
     mean = sum(r["total"] for r in found) / len(levels)
@@ -151,7 +187,10 @@ def _combined(keys: np.ndarray, take: np.ndarray, groups: int, need: int) -> np.
 
 
 def signatures(keys: np.ndarray, levels: np.ndarray, takes: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(size class, signatures) of a set, for its own class and, if it may link into it, the next."""
+    """(size class, signatures) of a set, for its own class and, if it may link into it, the next.
+
+    The class is the lowest six bits of each signature.
+    """
     n = len(keys)
     if not n:
         return []
@@ -166,7 +205,7 @@ def signatures(keys: np.ndarray, levels: np.ndarray, takes: np.ndarray) -> list[
             got = mix(keys[:need] + _SALT[251])
         else:
             got = _combined(keys, take.astype(np.int64), max((16 << kind) // 100, 1), need)
-        out.append((kind, mix(got ^ _SALT[kind])))
+        out.append((kind, mix(got ^ _SALT[kind]) & ~U(63) | U(kind)))
     return out
 
 
@@ -177,47 +216,112 @@ def sketch(keys: np.ndarray, kind: int) -> bytes:
     return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8)).tobytes()
 
 
-SIGNED = "doc_id long, h long, n long, digest binary, entries array<struct<kind:int,signatures:array<long>,sketch:binary>>"
+SIGNED = "doc_id long, h long, n long, digest binary, node long, entries array<struct<kind:int,signatures:array<long>,sketch:binary>>"
 
 
-def sign(docs: DataFrame, model) -> DataFrame:
-    """``SIGNED`` for every row of (doc_id, text, h); ``model`` broadcasts what ``frequency_levels`` returns."""
-    inner = pa.struct([("kind", pa.int32()), ("signatures", pa.list_(pa.int64())), ("sketch", pa.binary())])
+def sign(docs: DataFrame, model, salt: int = 0) -> DataFrame:
+    """``SIGNED`` for every row of (doc_id, text, h); ``model`` broadcasts what ``frequency_levels`` returns.
 
+    ``node`` is 64 bits of the set's digest.  A set that a task has seen before
+    gets no entries again.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, takes = model.value
+        seen: set[int] = set()
         for batch in pieces(batches, 500):
-            n, digests, entries = [], [], []
-            for text in batch.column(1).to_pylist():
-                keys = shingle_set(text)
+            n, digests, nodes, per, kinds, found, sketches = [], [], [], [], [], [], []
+            for keys in shingle_sets(batch.column(1).to_pylist()):
+                digest = hashlib.blake2b(keys.tobytes(), digest_size=16).digest()
+                node = xxhash.xxh3_64_intdigest(digest, salt) - (1 << 63)
                 n.append(len(keys))
-                digests.append(hashlib.blake2b(keys.tobytes(), digest_size=16).digest())
-                entries.append([{"kind": kind, "signatures": got.view(np.int64), "sketch": sketch(keys, kind)}
-                                for kind, got in signatures(keys, levels, takes)])
+                digests.append(digest)
+                nodes.append(node)
+                entries = [] if node in seen else signatures(keys, levels, takes)
+                seen.add(node)
+                per.append(len(entries))
+                for kind, got in entries:
+                    kinds.append(kind)
+                    found.append(got.view(np.int64))
+                    sketches.append(sketch(keys, kind))
+            flat = np.concatenate([np.zeros(0, np.int64), *found])
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            entry = pa.StructArray.from_arrays(
+                [pa.array(kinds, pa.int32()), pa.ListArray.from_arrays(ends, pa.array(flat)), pa.array(sketches, pa.binary())],
+                ["kind", "signatures", "sketch"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(entries, pa.list_(inner))], ["doc_id", "h", "n", "digest", "entries"])
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(nodes, pa.int64()),
+                 pa.ListArray.from_arrays(np.cumsum([0, *per]).astype(np.int32), entry)],
+                ["doc_id", "h", "n", "digest", "node", "entries"])
 
     return docs.select("doc_id", "text", "h").mapInArrow(run, SIGNED)
 
 
-def join_by_size(rows: DataFrame, keyed: DataFrame, key: str, size: str) -> DataFrame:
-    """``rows`` joined with ``keyed`` (a row per key, with the number of its rows in ``size``).
+def _lists(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Sorted (sig, node) rows to the node lists of the signatures that several nodes share.
 
-    Keys with over 1 of ``HOT`` rows are fewer than ``HOT``: they are broadcast, so
-    no task gets all rows of a hot key; the others are joined.
+    The first and the last signature of a task may go on in others, and lists
+    over ``most`` are not held: these come out node by node, with the signature.
+    """
+    sigs = nodes = np.zeros(0, np.int64)
+    first, long = True, None
+    for batch in batches:
+        sigs = np.concatenate([sigs, batch.column("sig").to_numpy()])
+        nodes = np.concatenate([nodes, batch.column("node").to_numpy()])
+        if not len(sigs):
+            continue
+        new = np.append(True, (sigs[1:] != sigs[:-1]) | (nodes[1:] != nodes[:-1]))
+        sigs, nodes = sigs[new], nodes[new]
+        start = np.flatnonzero(np.append(True, sigs[1:] != sigs[:-1]))
+        size = np.diff(np.append(start, len(sigs)))
+        single = size > most
+        if len(start) > 1:
+            single[0] |= first
+            first = False
+        if long is not None:
+            single |= sigs[start] == long
+        tail = start[-1]
+        if len(sigs) - tail > most:  # goes on, or has been given out in part
+            long, tail = int(sigs[-1]), len(sigs) - 1
+        whole = np.arange(len(start)) < len(start) - 1
+        alone = np.repeat(single & whole, size)
+        alone[start[-1]:tail] = True
+        runs = [nodes[a:a + n] for a, n in zip(start[whole & ~single & (size > 1)], size[whole & ~single & (size > 1)])]
+        kinds = sigs[start[whole & ~single & (size > 1)]]
+        yield _list_batch(sigs[alone], nodes[alone], kinds, runs)
+        sigs, nodes = sigs[tail:], nodes[tail:]
+    yield _list_batch(sigs, nodes, sigs[:0], [])
+
+
+def _list_batch(sigs: np.ndarray, nodes: np.ndarray, of_lists: np.ndarray, lists: list[np.ndarray]) -> pa.RecordBatch:
+    flat = np.concatenate([nodes, *lists]).astype(np.int64)
+    ends = np.cumsum([0, *[1] * len(nodes), *map(len, lists)]).astype(np.int32)
+    names = pa.array(np.append(sigs, np.zeros(len(lists), np.int64)), mask=np.arange(len(sigs) + len(lists)) >= len(sigs))
+    return pa.RecordBatch.from_arrays([pa.array((np.append(sigs, of_lists) & 63).astype(np.int32)), names, pa.ListArray.from_arrays(ends, pa.array(flat))],
+                                      ["kind", "sig", "nodes"])
+
+
+def shared_groups(signed: DataFrame, list_nodes: int = LIST_NODES) -> DataFrame:
+    """(sig, kind, node, size, leader): the nodes of every group of two or more nodes that share a signature.
+
+    Signatures of equal node lists are one group, named by a hash of the list.
+    Rows are cut by range, so a hot signature is spread over tasks.
     """
-    total = keyed.agg(F.sum(size).alias("n")).first()["n"] or 0
-    hot = F.broadcast(keyed.filter(F.col(size) > total // HOT + PAIR_BLOCK))
-    return rows.join(hot, key).unionByName(
-        rows.join(hot.select(key), key, "left_anti").join(keyed.filter(F.col(size) <= total // HOT + PAIR_BLOCK), key))
+    spread = signed.select("node", F.explode("entries").alias("e")).select("node", F.explode("e.signatures").alias("sig"))
+    ordered = spread.repartitionByRange("sig", "node").sortWithinPartitions("sig", "node")
+    found = staged(ordered.mapInArrow(partial(_lists, most=list_nodes), "kind int, sig long, nodes array<long>"), "lists")
+    lists = found.filter("sig IS NULL").select("kind", "nodes").distinct().withColumn("sig", F.xxhash64("kind", "nodes"))
+    rows = lists.select("sig", "kind", F.explode("nodes").alias("node")).unionByName(
+        found.filter("sig IS NOT NULL").select("sig", "kind", F.col("nodes")[0].alias("node"))).distinct()
+    rows = staged(rows, "rows")
+    sizes = staged(rows.groupBy("sig", "kind").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader")).filter("size > 1"), "sizes")
+    return join_by_size(rows, sizes, ["sig", "kind"], "size")
 
 
 class Sets:
     """The shingle sets of the texts of one block, as numbers."""
 
     def __init__(self, texts: list[str]):
-        sets = [shingle_set(t) for t in texts]
+        sets = list(shingle_sets(texts))
         self.size = np.array([len(s) for s in sets], np.int64)
         self.first = np.append(0, np.cumsum(self.size))
         names, self.at = np.unique(np.concatenate(sets), return_inverse=True)
@@ -239,8 +343,27 @@ def _links(found: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
+def _allowed_pairs(bits: np.ndarray, sizes: np.ndarray, i: int, js: np.ndarray) -> np.ndarray:
+    """Those of ``js`` whose sizes and sketches allow a link with ``i``."""
+    js = js[(100 * sizes[js] >= PERCENT * sizes[i]) & (100 * sizes[i] >= PERCENT * sizes[js])]
+    apart = np.bitwise_count(bits[js] ^ bits[i]).sum(1, dtype=np.int64)
+    return js[(100 + PERCENT) * apart <= (100 - PERCENT) * (sizes[i] + sizes[js])]
+
+
+def _sketches(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(table), -1)
+
+
+def _star_worth(table: pa.Table) -> pa.Table:
+    """A block's leader and those of its nodes that may link to it; no rows if there are none."""
+    nodes = table["node"].to_numpy()
+    at = int(np.flatnonzero(nodes == table["leader"][0].as_py())[0])
+    js = _allowed_pairs(_sketches(table), table["n"].to_numpy(), at, np.flatnonzero(nodes != nodes[at]))
+    return table.take(pa.array([at, *js.tolist()] if len(js) else [], pa.int64()))
+
+
 def _verify_star(table: pa.Table) -> pa.Table:
-    """Links of a block between its leader and the others; a node's rows hold the same set."""
+    """Links of a block between its leader and the others."""
     rows = dict(zip(table["node"].to_pylist(), table["text"].to_pylist()))
     leader = table["leader"][0].as_py()
     nodes = [leader, *(n for n in rows if n != leader)]
@@ -248,34 +371,32 @@ def _verify_star(table: pa.Table) -> pa.Table:
     return _links([(n, leader) for n, h in zip(nodes[1:], hit) if h])
 
 
-def star_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links of distinct (leader, node) pairs, in blocks of about ``PAIR_BLOCK`` nodes."""
-    size = staged(pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("n")), "leaders")
-    blocks = join_by_size(pairs, size, "leader", "n").select(
-        "leader", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / PAIR_BLOCK)).alias("block"), "node")
-    blocks = staged(blocks, "blocks")
-    nodes = blocks.unionByName(blocks.select("leader", "block", F.col("leader").alias("node")).distinct())
-    group = nodes.hint("merge").join(texts, "node")
-    return group.groupBy("leader", "block").applyInArrow(_verify_star, LINKS)
+def star_blocks(members: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(leader, block, kind, node, n, sketch): leaders with those nodes of their groups that may link to them."""
+    pairs = staged(members.filter("node <> leader").select("leader", "kind", "node").distinct(), "pairs")
+    size = staged(pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("size")), "leaders")
+    blocks = staged(join_by_size(pairs, size, "leader", "size").select(
+        "leader", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / PAIR_BLOCK)).alias("block"), "kind", "node"), "blocks")
+    nodes = blocks.unionByName(blocks.select("leader", "block", "kind", F.col("leader").alias("node")).distinct())
+    rows = nodes.join(sketches.hint("merge"), ["node", "kind"]).select("leader", "block", "kind", "node", "n", "sketch")
+    return by_group(rows, ["leader", "block", "kind"], _star_worth, rows.schema).drop("n", "sketch")
+
+
+def with_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    return rows.join(texts.hint("merge"), "node")
 
 
 def _open_pairs(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
-    """(i, js) of a block: pairs of different components whose sketches and sizes allow a link, each pair once."""
+    """(i, js) of a block: pairs of different components that may link, each pair once."""
     labels, sizes, side = (table[c].to_numpy() for c in ("label", "n", "side"))
-    bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(table), -1)
+    bits = _sketches(table)
     lo, hi = table["i"][0].as_py(), table["j"][0].as_py()
     names, counts = np.unique(labels, return_counts=True)
     largest = labels == names[np.argmax(counts)]
     for i in np.flatnonzero(~largest if lo == hi else side == lo):
         ok = labels != labels[i]
-        if lo == hi:
-            ok &= largest | (np.arange(len(table)) > i)
-        else:
-            ok &= side == hi
-        ok &= (100 * sizes >= PERCENT * sizes[i]) & (100 * sizes[i] >= PERCENT * sizes)
-        js = np.flatnonzero(ok)
-        apart = np.bitwise_count(bits[js] ^ bits[i]).sum(1, dtype=np.int64)
-        js = js[(100 + PERCENT) * apart <= (100 - PERCENT) * (sizes[i] + sizes[js])]
+        ok &= largest | (np.arange(len(table)) > i) if lo == hi else side == hi
+        js = _allowed_pairs(bits, sizes, i, np.flatnonzero(ok))
         if len(js):
             yield int(i), js
 
@@ -311,58 +432,73 @@ def _verify_block(table: pa.Table) -> pa.Table:
     return _links(links)
 
 
-def remaining_links(members: DataFrame, entries: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links between nodes of different components that share a signature.
+def remaining_blocks(members: DataFrame, sketches: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of blocks that hold pairs of different components which may link.
 
-    Nodes of a signature's largest component are side 0, 1, ... of blocks that
-    meet the others' blocks only.
+    A group over ``BLOCK_NODES`` is cut into sides; the nodes of its largest
+    component are sides of their own that meet the others' sides only.
     """
-    known = members.select("sig", "kind", "node").join(labels, "node", "left").select(
-        "sig", "kind", "node", F.coalesce("label", "node").alias("label"))
-    parts = known.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = parts.groupBy("sig").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels"))
-    mixed = staged(mixed.filter("labels > 1").select("sig", "size", F.col("m.n").alias("most"), F.col("m.label").alias("major")), "mixed")
-    rows = join_by_size(known, mixed, "sig", "size")
+    group = ["sig", "kind"]
+    known = members.select(*group, "node").join(labels.hint("merge"), "node", "left").select(
+        *group, "node", F.coalesce("label", "node").alias("label"))
+    parts = known.groupBy(*group, "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy(*group).agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels"))
+    mixed = staged(mixed.filter("labels > 1").select(*group, "size", F.col("m.n").alias("most"), F.col("m.label").alias("major")), "mixed")
+    rows = join_by_size(known, mixed, group, "size")
     small = F.col("size") <= BLOCK_NODES
     others = F.when(small, 1).otherwise(F.ceil((F.col("size") - F.col("most")) / BLOCK_NODES))
     majors = F.when(small, 0).otherwise(F.ceil(F.col("most") / BLOCK_NODES))
     is_major = ~small & (F.col("label") == F.col("major"))
     side = F.when(is_major, others + F.pmod(F.xxhash64("node"), F.greatest(majors, F.lit(1)))).otherwise(F.pmod(F.xxhash64("node"), others))
-    meets = F.when(is_major, F.sequence(F.lit(0).cast("long"), others - 1)).otherwise(F.sequence(F.lit(0).cast("long"), others + majors - 1))
+    meets = F.sequence(F.lit(0).cast("long"), F.when(is_major, others - 1).otherwise(others + majors - 1))
     blocks = (rows.withColumn("side", side.cast("long")).withColumn("other", F.explode(meets))
-              .select("sig", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "kind", "node", "label"))
-    full = blocks.join(entries.select("node", "kind", "n", "sketch"), ["node", "kind"])
-    full = full.select("sig", "i", "j", "side", "node", "label", "n", "sketch")
-    open_rows = staged(full.groupBy("sig", "i", "j").applyInArrow(_worth, full.schema), "open")
-    group = open_rows.hint("merge").join(texts, "node").select(*open_rows.columns, "text")
-    return group.groupBy("sig", "i", "j").applyInArrow(_verify_block, LINKS)
+              .select(*group, F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "label"))
+    full = blocks.join(sketches.hint("merge"), ["node", "kind"]).select(*group, "i", "j", "side", "node", "label", "n", "sketch")
+    return by_group(full, [*group, "i", "j"], _worth, full.schema)
 
 
-def components(docs: DataFrame) -> DataFrame:
+def components(docs: DataFrame, list_nodes: int = LIST_NODES) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row per row of ``docs``."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text").withColumn("h", F.xxhash64("text"))
     model = spark.sparkContext.broadcast(frequency_levels(docs))
-    signed = staged(sign(docs, model).withColumn("rid", F.monotonically_increasing_id()), "signed")
-    nodes = signed.filter("n > 0").groupBy("digest").agg(
-        F.min(F.struct("rid", "doc_id", "h")).alias("first"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
-    nodes = staged(nodes.select("digest", F.col("first.rid").alias("node"), "first.doc_id", "first.h", "least", "copies"), "nodes")
-    entries = staged(signed.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
-                     .select(F.col("rid").alias("node"), "n", F.explode("entries").alias("e"))
-                     .select("node", "n", "e.kind", "e.signatures", "e.sketch"), "entries")
-    spread = entries.select("node", "kind", F.explode("signatures").alias("sig"))
-    shared = staged(spread.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader")).filter("size > 1"), "shared")
-    members = staged(join_by_size(spread, shared, "sig", "size"), "members")
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("d"), F.col("h").alias("k"))
-    texts = staged(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")))
-                   .groupBy("node").agg(F.min("text").alias("text")), "texts")
-    first = staged(star_links(members.filter("node <> leader").select("leader", "node").distinct(), texts), "links")
+    salt = 0
+    while True:
+        signed = staged(sign(docs, model, salt), "signed")
+        nodes = staged(signed.filter("n > 0").groupBy("node").agg(
+            F.min("digest").alias("digest"), F.max("digest").alias("other"), F.min(F.struct("doc_id", "h")).alias("first"),
+            F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "nodes")
+        if nodes.filter("digest <> other").isEmpty():
+            break
+        salt += 1  # two sets had one 64-bit name
+    model.destroy()
+    members = staged(shared_groups(signed, list_nodes), "members")
+    wanted = members.select("node").distinct()
+    each = signed.select("node", "n", F.explode("entries").alias("e")).select("node", "n", "e.kind", "e.sketch")
+    sketches = staged(each.join(wanted.hint("merge"), "node", "left_semi").groupBy("node", "kind").agg(
+        F.min("n").alias("n"), F.min("sketch").alias("sketch")), "sketches")
+    stars = staged(star_blocks(members, sketches), "stars")
+    texts = staged(texts_of(docs, nodes, stars.select("node").distinct()), "texts")
+    first = staged(by_group(with_texts(stars, texts), ["leader", "block", "kind"], _verify_star, LINKS), "links")
     labels = connected_components(first)
-    rest = staged(remaining_links(members, entries, labels, texts), "links")
+    opened = staged(remaining_blocks(members, sketches, labels), "open")
+    texts = staged(texts_of(docs, nodes, opened.select("node").distinct()), "texts")
+    rest = staged(by_group(with_texts(opened, texts), ["sig", "kind", "i", "j"], _verify_block, LINKS), "links")
     final = connected_components(first.unionByName(rest))
-    named = nodes.join(final, "node", "left").select("digest", "copies", "least", F.coalesce("label", "node").alias("label"))
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("nodes"))
-    ids = staged(join_by_size(named, least, "label", "nodes").select("digest", "copies", "component_id"), "ids")
-    some = join_by_size(signed.filter("n > 0").select("doc_id", "n", "digest"), ids, "digest", "copies")
+    named = staged(nodes.join(final.hint("merge"), "node", "left").select("node", "copies", "least", F.coalesce("label", "node").alias("label")), "named")
+    least = staged(named.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("nodes")), "least")
+    ids = staged(join_by_size(named, least, "label", "nodes").select("node", "copies", "component_id"), "ids")
+    some = join_by_size(signed.filter("n > 0").select("doc_id", "n", "node"), ids, "node", "copies")
     none = signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return some.select("doc_id", "n", "component_id").unionByName(none).withColumnRenamed("n", "n_shingles")
+
+
+def texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) of the wanted nodes: the text of one document of each.
+
+    The wanted ids are written first, so that Spark knows their size: few are
+    broadcast, many are joined by a shuffle of the texts.
+    """
+    at = staged(nodes.join(wanted, "node", "left_semi").select("node", F.col("first.doc_id").alias("d"), F.col("first.h").alias("k")), "wanted")
+    return (docs.join(at, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")))
+            .groupBy("node").agg(F.min("text").alias("text")))

@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from sparkrec.llm import ngram_join
+from sparkrec.llm import common, ngram_join
 from sparkrec.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -48,8 +48,10 @@ def edited(rng, words, n):
 
 @pytest.mark.parametrize("frequent, very, block", [(16, 256, 4096), (0, 1e9, 7), (0, 0, 7)])
 def test_documents_and_planted_copies_match_all_pairs(spark, monkeypatch, frequent, very, block):
-    for name, value in (("FREQUENT", frequent), ("VERY_FREQUENT", very), ("BLOCK_NODES", block), ("PAIR_BLOCK", block), ("HOT", 5)):
+    for name, value in (("FREQUENT", frequent), ("VERY_FREQUENT", very), ("BLOCK_NODES", block), ("PAIR_BLOCK", block)):
         monkeypatch.setattr(ngram_join, name, value)
+    monkeypatch.setattr(common, "HOT", 5)
+    monkeypatch.setattr(common, "HOT_LEAST", 7)
     rng = np.random.default_rng(1)
     rows = [(r["doc_id"], r["text"]) for r in table(spark, SF, "documents").collect()]
     base = [f"t{rng.integers(3000)}" for _ in range(170)]
@@ -59,7 +61,7 @@ def test_documents_and_planted_copies_match_all_pairs(spark, monkeypatch, freque
              (9205, "ÀB c d e"), (9206, "àB c d e"), (9207, "NULL id here it is"), (9000, "again the same id"), (9000, "again the same id"),
              (9208, "x y " * 9000), (9209, "x y " * 300), (9210, "a\x1cb c d e"), (9211, "a b c d e")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS node", "2 AS n").repartition(4)
-    assert rows_of(ngram_join.components(docs)) == brute(rows)
+    assert rows_of(ngram_join.components(docs, min(block, 256))) == brute(rows)
 
 
 def test_empty_table(spark):
@@ -93,3 +95,29 @@ def test_sketches_never_exceed_the_difference():
         kind = n.bit_length() - 1
         a, b = (np.frombuffer(ngram_join.sketch(k, kind), np.uint64) for k in (x, y))
         assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y))
+
+
+def test_node_lists_of_sorted_rows_in_any_batches():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    rows = np.unique(np.stack([rng.integers(0, 60, 400) << 6 | 9, rng.integers(0, 40, 400)], 1), axis=0)
+    want = {}
+    for sig, node in rows.tolist():
+        want.setdefault(sig, []).append(node)
+    doubled = np.repeat(rows, rng.integers(1, 3, len(rows)), axis=0)
+    for size, most in ((1, 4), (7, 100), (1000, 3), (50, 6)):
+        batches = [pa.RecordBatch.from_arrays([pa.array(doubled[a:a + size, k]) for k in (0, 1)], ["sig", "node"])
+                   for a in range(0, len(doubled), size)]
+        single, lists = {}, []
+        for batch in ngram_join._lists(iter(batches), most):
+            for r in batch.to_pylist():
+                assert r["kind"] == 9
+                if r["sig"] is None:
+                    lists.append(r["nodes"])
+                else:
+                    single.setdefault(r["sig"], []).append(r["nodes"][0])
+        ends = {rows[0, 0], rows[-1, 0]}
+        assert sorted(lists) == sorted(n for s, n in want.items() if 1 < len(n) <= most and s not in ends)
+        assert all(sorted(set(n)) == want[s] for s, n in single.items())
+        assert single.keys() == ends | {s for s, n in want.items() if len(n) > most}
