@@ -6,9 +6,10 @@ subtrees per host, once for each distinct page of the host; a subtree found on
 subtrees and the elements whose tag, role or class names say that they are not
 text (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 comments), and joins the text blocks of the article - of ``<article>`` or
-``<main>`` where the page has one, else of the body.  Names are whole class and
-id tokens, and an element with such a name, or a form, that wraps the page's
-text is not dropped.
+``<main>`` where the page has one, else of the body.  Names are class and
+id tokens, and an element with a layout's name, or a form, that wraps the page's
+text is not dropped.  A name joined with ``-`` or ``_`` counts if its other
+parts are plain nouns of layout (``comments-area``).  Hidden elements are dropped.
 
 Outside an article every recurring subtree is template, a plain text block from
 ``MIN_SHARE`` of the host's pages.  Inside, plain text blocks are text that
@@ -49,9 +50,10 @@ HOST_WIDE = 0.75
 BROADCAST_BYTES = 32 << 20
 KEY_BYTES = 16
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)([^>\"']*)")
+UNQUOTED = re.compile(r"[^>\"']*")
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+NAME_PARTS = re.compile(r"[-_]+")
 
 # Element names of HTML by the part they play.
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
@@ -71,20 +73,44 @@ DROPPED_NAMES = set("nav navbar navigation menu sidebar aside ad ads advert adve
                     "subscription signup share sharing social comment comments respond disqus breadcrumb breadcrumbs "
                     "related recommended widget footer copyright pagination pager login".split())
 COMMENT_NAMES = set("comment comments respond disqus".split())
+#: Dropped names that a layout also gives to what surrounds the text.
+WRAPPER_NAMES = set("nav navigation sidebar aside widget".split())
+#: What a dropped name may be joined with and still name the thing itself (``comments-area``, ``site-footer``); a
+#: name with any other part (``has-sidebar``, ``comments-open``) describes something else.
+NEUTRAL_PARTS = set("site page main post entry area list section banner button buttons bar box block wrapper wrap container "
+                    "inner outer item items link links form title top bottom left right global primary secondary content "
+                    "header message reader user reply thread panel group text".split())
+
+
+def name_kinds(names: frozenset[str]) -> frozenset[str]:
+    """The dropped names that the class and id tokens ``names`` are, or are joined from."""
+    out = names & DROPPED_NAMES
+    for name in names:
+        if "-" in name or "_" in name:
+            parts = set(NAME_PARTS.split(name)) - {""}
+            if parts <= DROPPED_NAMES | NEUTRAL_PARTS:
+                out |= parts & DROPPED_NAMES
+    return out
 
 
 class Node:
-    __slots__ = ("tag", "names", "role", "parts", "hash", "text", "links")
+    __slots__ = ("tag", "names", "kinds", "role", "hidden", "parts", "hash", "text", "links")
 
     def __init__(self, tag: str, attributes: str):
-        self.tag, self.names, self.role = tag, frozenset(), ""
-        if "=" in attributes:
+        self.tag, self.names, self.kinds, self.role, self.hidden = tag, frozenset(), frozenset(), "", False
+        if attributes:
             for m in ATTRIBUTE.finditer(attributes):
-                value = (m[2] or m[3] or m[4] or "").lower()
-                if m[1].lower() == "role":
-                    self.role = value.strip()
-                else:
+                key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+                if key in ("class", "id"):
                     self.names |= frozenset(value.split())
+                elif key == "role":
+                    self.role = value.strip()
+                elif key == "hidden":
+                    self.hidden |= value != "until-found"
+                elif key == "style":
+                    self.hidden |= "display:none" in "".join(value.split())
+            if self.names:
+                self.kinds = name_kinds(self.names)
         self.parts: list = []
         self.hash, self.text, self.links = 0, False, tag in ("a", "img")
 
@@ -102,11 +128,11 @@ class Node:
 
     def dropped(self) -> bool:
         """Never text, whatever it holds."""
-        return self.tag in DROPPED or self.role in DROPPED_ROLES
+        return self.tag in DROPPED or self.role in DROPPED_ROLES or self.hidden
 
     def named(self, inside: bool) -> bool:
         """Not text by its names or as a form, unless it wraps the page's text."""
-        return (self.tag == "form" or bool(self.names & DROPPED_NAMES)
+        return (self.tag == "form" or bool(self.kinds)
                 or (not inside and (self.tag == "header" or "header" in self.names)))
 
     def article(self) -> bool:
@@ -116,20 +142,47 @@ class Node:
 def parse(page: str) -> Node:
     """The element tree; text of comments, scripts, styles and titles is left out."""
     root = Node("html", "")
-    stack, at = [root], 0
+    stack, at, shown = [root], 0, 0  # shown: where text that is not yet in the tree begins
+    held: dict[str, int] = {}  # open elements of each tag
 
     def pop() -> None:
-        stack.pop().close()
-
-    while m := TOKEN.search(page, at):
-        if m.start() > at:
-            stack[-1].parts.append(entities.unescape(page[at:m.start()]))
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
+        node = stack.pop()
+        held[node.tag] = held.get(node.tag, 0) - 1
+        node.close()
+
+    def text_to(end: int) -> None:
+        if end > shown:
+            stack[-1].parts.append(entities.unescape(page[shown:end]))
+
+    while (open_at := page.find("<", at)) >= 0:
+        m = TAG.match(page, open_at + 1)
+        if not m:
+            if page.startswith("!--", open_at + 1):
+                end = page.find("-->", open_at + 4)
+                end = end + 3 if end >= 0 else len(page)
+            elif page[open_at + 1:open_at + 2] in ("!", "?"):
+                end = page.find(">", open_at) + 1
+                if not end:
+                    break  # no tag ends from here on: the rest is text
+            else:
+                at = open_at + 1
+                continue
+            text_to(open_at)
+            shown = at = end
             continue
+        end = m.end()
+        while (mark := page[end:end + 1]) in ("'", '"') and mark:
+            close = page.find(mark, end + 1)
+            end = page.find(">", end) if close < 0 else UNQUOTED.match(page, close + 1).end()
+            if end < 0:
+                break
+        if end < 0 or end >= len(page):
+            break
+        text_to(open_at)
+        tag, attributes = m[2].lower(), page[m.start(3):end]
+        shown = at = end + 1
         if m[1]:
-            if any(n.tag == tag for n in stack[1:]):
+            if held.get(tag, 0) > 0:
                 while stack[-1].tag != tag:
                     pop()
                 pop()
@@ -137,24 +190,25 @@ def parse(page: str) -> Node:
         if tag in ("html", "body"):
             continue
         over = CLOSES.get(tag, set()) | ({"p"} if tag in BLOCKS else set())
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in over:
-                while len(stack) > depth:
-                    pop()
-                break
-            if stack[depth].tag in WALLS:
-                break
-        node = Node(tag, m[3])
+        if any(held.get(t, 0) > 0 for t in over):
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].tag in over:
+                    while len(stack) > depth:
+                        pop()
+                    break
+                if stack[depth].tag in WALLS:
+                    break
+        node = Node(tag, attributes)
         stack[-1].parts.append(node)
         if tag in RAW:
-            end = re.compile(f"</{tag}", re.I).search(page, at)
-            at = end.start() if end else len(page)
-        if tag in VOID or (m[3].endswith("/") and tag not in BLOCKS and tag not in RAW):
+            raw_end = re.compile(f"</{re.escape(tag)}", re.I).search(page, at)
+            shown = at = raw_end.start() if raw_end else len(page)
+        if tag in VOID or (attributes.endswith("/") and tag not in BLOCKS and tag not in RAW):
             node.close()
         else:
             stack.append(node)
-    if at < len(page):
-        stack[-1].parts.append(entities.unescape(page[at:]))
+            held[tag] = held.get(tag, 0) + 1
+    text_to(len(page))
     while stack:
         pop()
     return root
@@ -225,8 +279,10 @@ def main_text(root: Node, recurring: Mapping[int, int], pages: int = 0, min_shar
             holders.add(n)
 
     def wraps(node: Node) -> bool:
-        return (node.tag == "form" and node in holders and not node.names & DROPPED_NAMES
-                or 2 * sizes[node] > sizes[root] and not node.names & COMMENT_NAMES)
+        """A form or an element of a joined layout name around an article, or of a layout's name around most of the page."""
+        if not node.kinds <= WRAPPER_NAMES:
+            return False
+        return node in holders and not node.names & DROPPED_NAMES or 2 * sizes[node] > sizes[root]
 
     def shown(inside: bool) -> Callable[[Node], bool]:
         return lambda node: not (node.dropped() or node.named(inside) and not wraps(node))
@@ -278,7 +334,7 @@ def main_text(root: Node, recurring: Mapping[int, int], pages: int = 0, min_shar
 
     if starts := articles(root, lambda n: not n.named(n.article()) or wraps(n)):
         return blocks_of(starts, True)
-    wrapped = blocks_of(articles(root, lambda n: not n.names & COMMENT_NAMES), True)
+    wrapped = blocks_of(articles(root, lambda n: not n.kinds & COMMENT_NAMES), True)
     page = blocks_of([root], False)
     return max(wrapped, page, key=len) or blocks_of(articles(root, lambda n: True), True)
 
