@@ -12,9 +12,9 @@ Query blocks join candidate blocks by block number.  The query side is
 broadcast while its measured size stays under ``BROADCAST_BYTES``; beyond that
 the same join shuffles the blocks.
 
-Defined cases: a vector that is null, empty, or holds a null, non-finite or (as
-an integer) out-of-range component (``MAX_COMPONENT``) takes no part, nor does
-a row with a null id; only vectors of equal length are scored against each
+Defined cases: a vector that is null, empty, or holds a null or non-finite
+component takes no part, nor does a row with a null id; a score that could pass
+2**62 (by the product of the largest lengths) is an error; only vectors of equal length are scored against each
 other; rows with the query's own id are not its candidates; of repeated query
 ids the smallest vector asks; repeated candidate rows rank as often as they
 occur; fewer than k candidates give them all; an empty table gives no rows.
@@ -35,7 +35,7 @@ from sparkrec.llm.common import staged
 BINS = 1024
 BLOCK_ROWS = 4096
 QUERY_BLOCK = 256
-MAX_COMPONENT = 1 << 26
+LARGEST = float(1 << 62)  # a vector of this length fails the bound on scores, whatever it meets
 BROADCAST_BYTES = 64 << 20
 BLOCK_SCHEMA = "dim int, n int, ids binary, vectors binary, norm double"
 HIST_SCHEMA = "query_id long, bin int, n long"
@@ -43,8 +43,16 @@ HIT_SCHEMA = "query_id long, vec_id long, score long"
 
 
 def quantised(vector: np.ndarray, scale: int) -> np.ndarray | None:
+    """The integer vector, None if it takes no part; components that no integer product could use come out as the largest."""
     out = np.floor(scale * vector.astype(np.float64))
-    return out.astype(np.int32) if len(out) and np.isfinite(out).all() and np.abs(out).max() <= MAX_COMPONENT else None
+    if not len(out) or not np.isfinite(vector).all():
+        return None
+    return out.astype(np.int32) if np.abs(out).max() < 1 << 31 else np.clip(out, -LARGEST, LARGEST).astype(np.int64)
+
+
+def unpacked(data: bytes, rows: int, dim: int) -> np.ndarray:
+    """The integers of a block, 4 or 8 bytes each."""
+    return np.frombuffer(data, f"<i{len(data) // (rows * dim)}").reshape(rows, dim)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[pa.RecordBatch]:
@@ -81,7 +89,7 @@ def _queries(blocks: DataFrame, pick) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 ids = np.frombuffer(r["ids"], np.int64)
-                m = np.frombuffer(r["vectors"], np.int32).reshape(len(ids), r["dim"])
+                m = unpacked(r["vectors"], len(ids), r["dim"])
                 keep = np.flatnonzero(pick(ids))
                 yield pa.RecordBatch.from_pydict({
                     "query_id": pa.array(ids[keep]), "dim": pa.array([r["dim"]] * len(keep), pa.int32()),
@@ -103,8 +111,8 @@ def _pairs(batches: Iterator[pa.RecordBatch], k: int):
     for batch in batches:
         for r in batch.to_pylist():
             ids = np.frombuffer(r["ids"], np.int64)
-            m = np.frombuffer(r["vectors"], np.int32).reshape(len(ids), r["dim"])
-            q = np.stack([np.frombuffer(x["v"], np.int32) for x in r["queries"]])
+            m = unpacked(r["vectors"], len(ids), r["dim"])
+            q = np.concatenate([unpacked(x["v"], 1, r["dim"]) for x in r["queries"]])
             qid = np.array([x["query_id"] for x in r["queries"]], np.int64)
             low = np.array([x["low"] for x in r["queries"]], np.int64)
             width = np.array([x["width"] for x in r["queries"]], np.int64)
@@ -154,6 +162,8 @@ def top_k(vectors: DataFrame, pick, k: int, scale: int = 256, id_col: str = "vec
     reach = blocks.agg(F.max("norm")).first()[0]
     if not size:
         return blocks.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    if longest * reach >= 2.0 ** 62:
+        raise ValueError("the integer products of these vectors may not fit 64 bits; use a smaller scale")
     bound = int(longest * reach) + 1
     width = 1
     while width * BINS < 2 * bound + 1:
