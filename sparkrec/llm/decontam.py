@@ -4,9 +4,12 @@ Texts and benchmark items are normalised (lower case, runs of other characters
 than letters and digits to one blank).  An item of m characters that occurs in
 a text with at most e edits shares at least ``m - q + 1 - q e`` character
 q-grams with it, all within 2e + 1 neighbouring diagonals (text position less
-item position).  Every text position is looked up in the items' q-gram index,
-hits are counted in overlapping diagonal bands of twice that width, and bands
-that reach the bound are verified by banded alignment of the whole item.  Items of
+item position); edits in w runs, such as replaced words, leave
+``m - q + 1 - e - w (q - 1)``.  Every text position is looked up in the items'
+q-gram index, hits are counted in overlapping diagonal bands of twice that
+width, and bands that reach the bound of ``EDIT_SHARE`` are verified by banded
+alignment of the whole item within ``RUN_SHARE``: found is what has few edits
+anywhere, or more in a few runs (one for every ``RUN_CHARS`` characters).  Items of
 more than two windows are also indexed as windows of ``WINDOW`` characters,
 one every ``STEP``, found in the same way: a passage of ``WINDOW + STEP``
 characters holds a whole one.  A row of a window has ``WINDOW`` item_chars and
@@ -36,7 +39,9 @@ from sparkrec.llm.common import annotate, slices
 from sparkrec.llm.shingles import BASE, NOT_WORD, SPACED, U, powers
 
 Q = 10
-EDIT_SHARE = 0.07  # edits allowed per character of an item
+EDIT_SHARE = 0.07  # edits allowed per character of an item, wherever they are
+RUN_SHARE = 0.2  # and in a few runs
+RUN_CHARS = 40
 MIN_CHARS = 25
 WINDOW = 80
 STEP = 40
@@ -71,6 +76,12 @@ def budget(m: int) -> int:
     return max(0, min(int(EDIT_SHARE * m), (m - Q) // Q))
 
 
+def limit(m: int) -> int:
+    """Edits allowed in runs: as many as leave the q-grams that ``budget`` asks for."""
+    runs = max(1, m // RUN_CHARS)
+    return max(budget(m), min(int(RUN_SHARE * m), Q * budget(m) - runs * (Q - 1)))
+
+
 @dataclass
 class Index:
     """q-grams of a block of items with their postings, and a bitmap that most text positions fail."""
@@ -128,7 +139,7 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, limit: int) -
 
 def occurrences(index: Index, text: np.ndarray, k: int, band: int) -> tuple[int, int, int] | None:
     """(edits, start, end) of item ``k`` in ``text`` on the band's diagonals, if within budget."""
-    item, e = index.items[k], budget(len(index.items[k]))
+    item, e = index.items[k], limit(len(index.items[k]))
     step = 2 * e + 1
     low, high = band * step, band * step + 2 * step - 1
     left, right = max(0, low - e), min(len(text), high + len(item) + e + 1)
@@ -164,8 +175,8 @@ def search(index: Index, texts: list[bytes]) -> list[list[dict]]:
     item = index.item[post]
     diagonal = at - starts[doc] - index.place[post]
     sizes = np.array([len(d) for d in index.items])
-    edits = np.array([budget(m) for m in sizes])
-    band = diagonal // (2 * edits[item] + 1)
+    edits, widths = (np.array([f(m) for m in sizes]) for f in (budget, limit))
+    band = diagonal // (2 * widths[item] + 1)
     # each hit counts in the two bands that hold its diagonal
     key = np.stack([np.tile(doc, 2), np.tile(item, 2), np.concatenate([band, band - 1])])
     order = np.lexsort(key[::-1])
