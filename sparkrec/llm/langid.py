@@ -170,7 +170,7 @@ def code_lengths(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray
             inside = np.searchsorted(starts, np.arange(at, at + len(key)), "right") - 1
             cost[np.arange(at, at + len(key)) >= (starts + sizes[a:b])[inside]] = 0
             first = np.flatnonzero(np.append(True, np.diff(inside) > 0))
-            bits[a + inside[first]] += np.add.reduceat(cost, first, axis=0)
+            bits[a + inside[first]] += np.add.reduceat(cost, first, axis=0, dtype=np.float64)
     return bits, sizes
 
 

@@ -25,12 +25,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import annotate
+from sparkrec.llm.common import annotate, least_of_each
 
-SAMPLE = 1000  # labelled documents of each label that the lexicon and the coefficients are learned from
+SAMPLE = 1500  # labelled documents of each label that the lexicon and the coefficients are learned from
 MAX_CHARS = 20_000  # longer texts are not eligible for the sample
 STEM = range(4, 9)  # characters of a learned stem
 SUPPORT = 3  # toxic texts that a learned pattern must newly explain
@@ -192,15 +192,16 @@ def learn_lexicon(toxic: list[str], clean: list[str]) -> tuple[dict[str, float],
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_chars: int = MAX_CHARS) -> Grammar:
     """Learn lexicon and coefficients from ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic 0/1) covers.
 
-    The sample - at most ``sample`` documents of each label, by hash of the id -
-    is drawn from the labels alone and broadcast, so texts are not shuffled.
+    The sample - at most ``sample`` texts of each label, by hash - is drawn
+    among labelled texts of at most ``max_chars`` characters on ids and hashes
+    alone, then broadcast, so texts are not shuffled.
     """
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = (labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).distinct()
-              .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample).select("doc_id", "toxic"))
-    rows = (docs.select("doc_id", "text").filter(F.length("text") <= max_chars)
-            .join(F.broadcast(picked), "doc_id").select("toxic", "text").distinct().collect())
-    return fit([(int(r["toxic"]), r["text"]) for r in rows])
+    known = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).distinct()
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).filter(F.length("text") <= max_chars)
+    marked = texts.select("doc_id", "h").join(known, "doc_id").distinct().withColumn("order", F.xxhash64("doc_id", "h"))
+    picked = least_of_each(marked, "toxic", "order", sample).select("doc_id", "h", "toxic")
+    rows = texts.join(F.broadcast(picked), ["doc_id", "h"]).groupBy("doc_id", "h", "toxic").agg(F.min("text").alias("text")).collect()
+    return fit(sorted({(int(r["toxic"]), r["text"]) for r in rows}))
 
 
 def fit(rows: list[tuple[int, str]]) -> Grammar:
