@@ -3,6 +3,12 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and
 works on all documents that its predecessor kept.  All but the last return the
 columns of ``documents``; the last returns packed pieces.
+
+Defined cases: a null, empty or blank text, or one without letters, goes in the
+language stage; rows of a null ``doc_id`` are documents of their own; of rows of
+one ``doc_id`` one stays after the near-duplicate stage; further columns pass
+through unchanged, whatever their names, up to the packing stage, which ignores
+them; texts of any length are worked on whole; empty tables give no rows.
 """
 
 from __future__ import annotations
