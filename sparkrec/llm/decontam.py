@@ -7,9 +7,9 @@ q-grams with it, all within 2e + 1 neighbouring diagonals (text position less
 item position); edits in w runs, such as replaced words, leave
 ``m - q + 1 - e - w (q - 1)``.  Every text position is looked up in the items'
 q-gram index, hits are counted in overlapping diagonal bands of twice that
-width, and bands that reach the bound of ``EDIT_SHARE`` are verified by banded
-alignment of the whole item within ``RUN_SHARE``: found is what has few edits
-anywhere, or more in a few runs (one for every ``RUN_CHARS`` characters).  Items of
+width, and bands that reach their bound are verified by banded alignment of the
+whole item.  This is done for ``EDIT_SHARE`` edits anywhere, and in wider bands
+for ``RUN_SHARE`` in a few runs (one for every ``RUN_CHARS`` characters).  Items of
 more than two windows are also indexed as windows of ``WINDOW`` characters,
 one every ``STEP``, found in the same way: a passage of ``WINDOW + STEP``
 characters holds a whole one.  A row of a window has ``WINDOW`` item_chars and
@@ -76,10 +76,19 @@ def budget(m: int) -> int:
     return max(0, min(int(EDIT_SHARE * m), (m - Q) // Q))
 
 
+def runs(m: int) -> int:
+    return max(1, m // RUN_CHARS)
+
+
 def limit(m: int) -> int:
-    """Edits allowed in runs: as many as leave the q-grams that ``budget`` asks for."""
-    runs = max(1, m // RUN_CHARS)
-    return max(budget(m), min(int(RUN_SHARE * m), Q * budget(m) - runs * (Q - 1)))
+    """Edits allowed in runs: as many as leave at least the q-grams that ``budget`` asks for."""
+    return max(budget(m), min(int(RUN_SHARE * m), Q * budget(m) - runs(m) * (Q - 1)))
+
+
+def needed(m: int, wide: bool) -> int:
+    """q-grams that an item of ``m`` characters shares with a text that holds it within ``budget``, or ``limit`` in runs."""
+    lost = limit(m) + runs(m) * (Q - 1) if wide else Q * budget(m)
+    return max(1, m - Q + 1 - lost)
 
 
 @dataclass
@@ -137,9 +146,9 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, limit: int) -
     return (int(row[best]), end) if row[best] <= limit and 0 <= end <= len(text) else None
 
 
-def occurrences(index: Index, text: np.ndarray, k: int, band: int) -> tuple[int, int, int] | None:
-    """(edits, start, end) of item ``k`` in ``text`` on the band's diagonals, if within budget."""
-    item, e = index.items[k], limit(len(index.items[k]))
+def occurrences(index: Index, text: np.ndarray, k: int, band: int, e: int) -> tuple[int, int, int] | None:
+    """(edits, start, end) of item ``k`` in ``text`` on the band's diagonals, if within ``e`` edits."""
+    item = index.items[k]
     step = 2 * e + 1
     low, high = band * step, band * step + 2 * step - 1
     left, right = max(0, low - e), min(len(text), high + len(item) + e + 1)
@@ -156,6 +165,17 @@ def occurrences(index: Index, text: np.ndarray, k: int, band: int) -> tuple[int,
     return edits, left + start, left + end
 
 
+def _full_bands(doc: np.ndarray, item: np.ndarray, band: np.ndarray, need: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(text, item, band) of the bands that hold as many hits as the item needs; a hit counts in both bands of its diagonal."""
+    key = np.stack([np.tile(doc, 2), np.tile(item, 2), np.concatenate([band, band - 1])])
+    order = np.lexsort(key[::-1])
+    key = key[:, order]
+    new = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(0))) if key.shape[1] else np.zeros(0, int)
+    count = np.diff(np.append(new, key.shape[1]))
+    doc, item, band = key[:, new]
+    yield from zip(*(x[count >= need[item]].tolist() for x in (doc, item, band)))
+
+
 def search(index: Index, texts: list[bytes]) -> list[list[dict]]:
     """Matches of every text (start and end in normalised characters)."""
     out: list[list[dict]] = [[] for _ in texts]
@@ -175,23 +195,16 @@ def search(index: Index, texts: list[bytes]) -> list[list[dict]]:
     item = index.item[post]
     diagonal = at - starts[doc] - index.place[post]
     sizes = np.array([len(d) for d in index.items])
-    edits, widths = (np.array([f(m) for m in sizes]) for f in (budget, limit))
-    band = diagonal // (2 * widths[item] + 1)
-    # each hit counts in the two bands that hold its diagonal
-    key = np.stack([np.tile(doc, 2), np.tile(item, 2), np.concatenate([band, band - 1])])
-    order = np.lexsort(key[::-1])
-    key = key[:, order]
-    new = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(0))) if key.shape[1] else np.zeros(0, int)
-    count = np.diff(np.append(new, key.shape[1]))
-    doc, item, band = key[:, new]
-    need = sizes[item] - Q + 1 - Q * edits[item]
-    for d, k, b in zip(*(x[count >= need].tolist() for x in (doc, item, band))):
-        text = data[starts[d]:starts[d] + len(texts[d])]
-        hit = occurrences(index, text, k, b)
-        if hit:
-            row = {"item_id": index.ids[k], "start": hit[1], "end": hit[2], "edits": hit[0], "item_chars": int(sizes[k])}
-            if row not in out[d]:
-                out[d].append(row)
+    for wide in (False, True):
+        edits = np.array([limit(m) if wide else budget(m) for m in sizes])
+        need = np.array([needed(m, wide) for m in sizes])
+        band = diagonal // (2 * edits[item] + 1)
+        for d, k, b in _full_bands(doc, item, band, need):
+            hit = occurrences(index, data[starts[d]:starts[d] + len(texts[d])], k, b, int(edits[k]))
+            if hit:
+                row = {"item_id": index.ids[k], "start": hit[1], "end": hit[2], "edits": hit[0], "item_chars": int(sizes[k])}
+                if row not in out[d]:
+                    out[d].append(row)
     return [distinct_regions(rows) for rows in out]
 
 
