@@ -2,19 +2,18 @@
 
 1. Document frequencies of word shingles are counted over all documents in
    hashed buckets (a fixed number of counters, broadcast as weights).
-2. Each text gets ``SAMPLES`` consistent weighted samples and as many of equal
-   weights, as texts of the same shingles in other counts are similar by the
-   latter only; two consecutive ones make a band key.  Equal word sequences collapse to one node here, so a large
+2. Each text gets ``SAMPLES`` consistent weighted samples; two consecutive ones
+   make a band key.  Equal word sequences collapse to one node here, so a large
    group of exact copies never meets a bucket.
 3. In every bucket each node is compared with the bucket's most central nodes
    (those that share most buckets), and similar pairs are merged to components.
 4. What a bucket then still holds of different components is compared
-   completely, in blocks of bounded size: pairs whose samples agree often
-   enough are verified; blocks emit links, never pairs.
+   completely, but for the nodes of its largest component among themselves:
+   pairs whose samples agree often enough are verified.  Blocks hold at most
+   ``BLOCK_NODES`` nodes a side and emit links, never pairs.
 
-A link is verified on the whole texts: weighted Jaccard similarity, or the plain
-similarity of the shingle sets, of at least ``SIMILARITY``.  The class of a
-document is the least doc_id of its component.
+A link is verified on the whole texts: weighted Jaccard similarity of at least
+``LEAST``, which every pair of plain similarity 0.8 has (and none under 0.774).  The class of a document is the least doc_id of its component.
 
 Defined cases: rows with the same ``doc_id`` are one document; a null text, one
 without words, or a null ``doc_id`` has no copies (class: its own id); texts of
@@ -33,14 +32,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkrec.llm import icws
-from sparkrec.llm.common import pieces, staged
+from sparkrec.llm.common import by_group, join_by_size, pieces, staged
 from sparkrec.llm.components import connected_components
 from sparkrec.llm.shingles import U, blocks, digests, normal_bytes, shingles_of, words_of
 
-SIMILARITY = 0.8
+LEAST = icws.least_weighted(0.8)
 CENTRAL = 3  # nodes of a bucket that all its others are compared with first
-AGREE = 10  # of SAMPLES, weighted or plain: a pair of similarity 0.8 has fewer with probability 0.0006
-BLOCK_NODES = 256
+AGREE = 10  # of SAMPLES: a pair of weighted similarity LEAST has fewer with probability 0.001
+BLOCK_NODES = 4096
+PAIR_BLOCK = 256
 MARK = -1  # pseudo bucket that counts documents
 
 
@@ -75,10 +75,10 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
             for a, b, normal in blocks(texts):
                 words = words_of(normal)
                 s = shingles_of(words)
-                got = np.concatenate([icws.samples(s, icws.weights(s, idf.value)), icws.plain_samples(s)], 1).astype(U)
+                got = icws.samples(s, icws.weights(s, idf.value)).astype(U)
                 keys = (got[:, ::2] << U(32) | got[:, 1::2]).astype(np.int64)
                 out = pa.RecordBatch.from_arrays(
-                    [ids.slice(a, b - a), pa.array(digests(words), pa.binary()),
+                    [ids.slice(a, b - a), pa.array(digests(normal), pa.binary()),
                      pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1], pa.array(keys.ravel()))],
                     ["doc_id", "digest", "bands"])
                 yield out.filter(out.column(1).is_valid())
@@ -95,20 +95,18 @@ class Vectors:
         names, self.at = np.unique(s.keys, return_inverse=True)
         self.weight, self.first = icws.weights(s, idf), s.first
         self.total = np.add.reduceat(np.append(self.weight, 0), np.minimum(s.first[:-1], len(self.weight)))
-        self.size = np.diff(s.first)
         self.dense = np.zeros(len(names), np.float32)
 
     def similar(self, i: int, others: np.ndarray) -> np.ndarray:
-        """Which of ``others`` are similar to text ``i``, by weighted or by plain Jaccard similarity."""
+        """Which of ``others`` are similar to text ``i``, by weighted Jaccard similarity."""
         own = slice(self.first[i], self.first[i + 1])
         self.dense[self.at[own]] = self.weight[own]
         out = np.zeros(len(others), bool)
         for k, j in enumerate(others):
             part = slice(self.first[j], self.first[j + 1])
             shared = np.minimum(self.dense[self.at[part]], self.weight[part])
-            common, both = float(shared.sum()), int(np.count_nonzero(shared))
-            out[k] = (common >= SIMILARITY * (self.total[i] + self.total[j] - common) - 1e-6 * self.total[i]
-                      or both >= SIMILARITY * (self.size[i] + self.size[j] - both) - 1e-9)
+            common = float(shared.sum())
+            out[k] = common >= LEAST * (self.total[i] + self.total[j] - common) - 1e-6 * self.total[i]
         self.dense[self.at[own]] = 0
         return out
 
@@ -135,16 +133,18 @@ def central_links(members: DataFrame, texts: DataFrame, idf) -> DataFrame:
     """Verified links between the nodes of each bucket and its most central nodes."""
     central = members.groupBy("node").agg(F.sum("n").alias("weight"))
     order = Window.partitionBy("band", "key").orderBy(F.col("weight").desc(), "node")
-    leaders = (members.select("band", "key", "node").join(central, "node").withColumn("r", F.row_number().over(order))
-               .filter(F.col("r") <= CENTRAL).select("band", "key", F.col("node").alias("leader")))
-    pairs = (members.select("band", "key", "node").join(leaders, ["band", "key"]).filter("node <> leader")
+    leaders = (members.select("band", "key", "node", "n").join(central, "node").withColumn("r", F.row_number().over(order))
+               .filter(F.col("r") <= CENTRAL).select("band", "key", "n", F.col("node").alias("leader")))
+    few = staged(leaders.groupBy("band", "key").agg(F.collect_list("leader").alias("leaders"), F.first("n").alias("n")), "leaders")
+    met = join_by_size(members.select("band", "key", "node"), few, ["band", "key"], "n")
+    pairs = (met.select("node", F.explode("leaders").alias("leader")).filter("node <> leader")
              .select(F.greatest("node", "leader").alias("x"), F.least("node", "leader").alias("y"),
                      "node", "leader").groupBy("x", "y").agg(F.min(F.struct("leader", "node")).alias("p")).select("p.*"))
-    size = pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("n"))
-    pairs = pairs.join(size, "leader").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK_NODES))).select("leader", "block", "node")
     pairs = staged(pairs, "pairs")
-    nodes = pairs.unionByName(pairs.select("leader", "block", F.col("leader").alias("node"))).distinct()
+    size = staged(pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("n")), "leaders")
+    pairs = staged(join_by_size(pairs, size, "leader", "n").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / PAIR_BLOCK))).select("leader", "block", "node"), "pairs")
+    nodes = pairs.unionByName(pairs.select("leader", "block", F.col("leader").alias("node")).distinct())
     group = nodes.hint("merge").join(texts, "node").select("leader", "block", "node", "text")
 
     def verify(table: pa.Table) -> pa.Table:
@@ -155,61 +155,71 @@ def central_links(members: DataFrame, texts: DataFrame, idf) -> DataFrame:
         hit = Vectors(found, idf.value).similar(i, others)
         return _links([(nodes[j], leader) for j in others[hit]])
 
-    return group.groupBy("leader", "block").applyInArrow(verify, LINK_SCHEMA)
-
-
-def _open_pairs(bands: np.ndarray, labels: np.ndarray, side: np.ndarray, band: int, same: bool) -> np.ndarray:
-    """Pairs (upper triangle) of a block that need a look: other component, enough agreement, first common band."""
-    enough = np.zeros((len(bands), len(bands)), bool)
-    earlier = np.zeros((len(bands), len(bands)), bool)
-    for part in np.split(bands, 2, axis=1):  # weighted, plain
-        half = np.concatenate([part >> U(32), part & U(0xFFFFFFFF)], 1)
-        agree = np.zeros((len(bands), len(bands)), np.int16)
-        for k in range(half.shape[1]):
-            agree += half[:, k, None] == half[None, :, k]
-        enough |= agree >= AGREE
-    for k in range(band):
-        earlier |= bands[:, k, None] == bands[None, :, k]
-    need = enough & ~earlier & (labels[:, None] != labels[None, :])
-    if not same:
-        need &= side[:, None] != side[None, :]
-    return np.triu(need, 1)
-
-
-def _block(table: pa.Table, rows: list[int]) -> np.ndarray:
-    n = len(rows)
-    bands = np.array(table["bands"].take(rows).to_pylist(), np.int64).reshape(n, -1).astype(U)
-    return _open_pairs(bands, table["label"].to_numpy()[rows], table["side"].to_numpy()[rows],
-                       table["band"][0].as_py(), table["i"][0].as_py() == table["j"][0].as_py())
+    return by_group(group, ["leader", "block"], verify, LINK_SCHEMA)
+
+
+def _open_pairs(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, js) of a block: pairs of different components that agree in enough samples, each pair in its first common bucket."""
+    bands = np.array(table["bands"].to_pylist(), np.int64).reshape(len(table), -1).astype(U)
+    samples = np.concatenate([bands >> U(32), bands & U(0xFFFFFFFF)], 1).astype(np.uint32)
+    labels, side = table["label"].to_numpy(), table["side"].to_numpy()
+    band, lo, hi = (table[c][0].as_py() for c in ("band", "i", "j"))
+    names, counts = np.unique(labels, return_counts=True)
+    largest = labels == names[np.argmax(counts)]
+    for i in np.flatnonzero(~largest if lo == hi else side == lo):
+        ok = labels != labels[i]
+        if lo == hi:
+            ok &= largest | (np.arange(len(table)) > i)
+        else:
+            ok &= side == hi
+        js = np.flatnonzero(ok)
+        js = js[(samples[js] == samples[i]).sum(1) >= AGREE]
+        js = js[~(bands[js, :band] == bands[i, :band]).any(1)]
+        if len(js):
+            yield int(i), js
 
 
 def _worth(table: pa.Table) -> pa.Table:
     """The nodes of a block that have an open pair in it."""
-    need = _block(table, list(range(len(table))))
-    return table.filter(pa.array(need.any(0) | need.any(1)))
+    need = np.zeros(len(table), bool)
+    for i, js in _open_pairs(table):
+        need[i] = need[js] = True
+    return table.filter(pa.array(need))
 
 
 def remaining_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, texts: DataFrame, idf) -> DataFrame:
-    """Verified links between nodes of different components within a bucket, compared block against block."""
-    known = nodes.join(labels, "node", "left").select("node", "bands", F.coalesce("label", "node").alias("label"))
-    rows = members.select("band", "key", "node", "n").join(known, "node")
-    mixed = rows.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
-    rows = rows.join(mixed.select("band", "key"), ["band", "key"])
-    parts = F.ceil(F.col("n") / BLOCK_NODES)
-    rows = (rows.withColumn("side", F.pmod(F.xxhash64("node"), parts))
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-            .select("band", "key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
-                    "side", "node", "label", "bands"))
-    block = ["band", "key", "i", "j"]
-    worth = staged(rows.groupBy(*block).applyInArrow(_worth, rows.schema), "open")
+    """Verified links between nodes of different components within a bucket.
+
+    In a bucket over ``BLOCK_NODES`` the nodes of its largest component are cut
+    into sides that meet the others' sides only, so rows grow with the others
+    times the number of sides.
+    """
+    bucket = ["band", "key"]
+    known = members.select(*bucket, "node").join(labels, "node", "left").select(
+        *bucket, "node", F.coalesce("label", "node").alias("label"))
+    parts = known.groupBy(*bucket, "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy(*bucket).agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels"))
+    mixed = staged(mixed.filter("labels > 1").select(*bucket, "size", F.col("m.n").alias("most"), F.col("m.label").alias("major")), "mixed")
+    rows = join_by_size(known, mixed, bucket, "size")
+    small = F.col("size") <= BLOCK_NODES
+    others = F.when(small, 1).otherwise(F.ceil((F.col("size") - F.col("most")) / BLOCK_NODES))
+    majors = F.when(small, 0).otherwise(F.ceil(F.col("most") / BLOCK_NODES))
+    is_major = ~small & (F.col("label") == F.col("major"))
+    side = F.when(is_major, others + F.pmod(F.xxhash64("node"), F.greatest(majors, F.lit(1)))).otherwise(F.pmod(F.xxhash64("node"), others))
+    meets = F.sequence(F.lit(0).cast("long"), F.when(is_major, others - 1).otherwise(others + majors - 1))
+    rows = (rows.withColumn("side", side.cast("long")).withColumn("other", F.explode(meets))
+            .select(*bucket, F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "label")
+            .join(nodes, "node").select(*bucket, "i", "j", "side", "node", "label", "bands"))
+    block = [*bucket, "i", "j"]
+    worth = staged(by_group(rows, block, _worth, rows.schema), "open")
     group = worth.hint("merge").join(texts, "node").select(*worth.columns, "text")
 
     def verify(table: pa.Table) -> pa.Table:
         nodes, found, rows = _texts(table)
-        need = _block(table, rows)
+        table = table.take(pa.array(rows))
         vectors = Vectors(found, idf.value)
-        root = {label: label for label in table["label"].to_pylist()}
-        names = table["label"].take(rows).to_pylist()
+        names = table["label"].to_pylist()
+        root = {label: label for label in names}
 
         def find(x: int) -> int:
             while root[x] != x:
@@ -218,15 +228,14 @@ def remaining_links(members: DataFrame, nodes: DataFrame, labels: DataFrame, tex
             return x
 
         links = []
-        for i in np.flatnonzero(need.any(1)):
-            todo = np.array([j for j in np.flatnonzero(need[i]) if find(names[j]) != find(names[i])], np.int64)
-            for j in todo[vectors.similar(i, todo)]:
-                if find(names[j]) != find(names[i]):
+        for i, js in _open_pairs(table):
+            for j in js:
+                if find(names[j]) != find(names[i]) and vectors.similar(i, np.array([j]))[0]:
                     root[find(names[j])] = find(names[i])
                     links.append((nodes[i], nodes[j]))
         return _links(links)
 
-    return group.groupBy(*block).applyInArrow(verify, LINK_SCHEMA)
+    return by_group(group, block, verify, LINK_SCHEMA)
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -235,18 +244,21 @@ def classes(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs))
     signed = staged(signatures(docs, idf), "signatures")
-    nodes = staged(signed.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "nodes")
+    nodes = staged(signed.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"),
+                                                F.count(F.lit(1)).alias("copies")), "nodes")
     spread = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    full = spread.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = staged(spread.join(full, ["band", "key"]), "members")
+    full = staged(spread.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "full")
+    members = staged(join_by_size(spread, full, ["band", "key"], "n"), "members")
     texts = staged(docs.withColumnRenamed("doc_id", "node").join(
         members.select("node").distinct().hint("merge"), "node", "left_semi"), "texts")
     first = staged(central_links(members, texts, idf), "links")
-    copies = signed.join(nodes.select("digest", "node"), "digest").filter("doc_id <> node").select(
+    many = nodes.filter("copies > 1").select("digest", "node", "copies")
+    copies = join_by_size(signed.select("doc_id", "digest"), many, "digest", "copies").filter("doc_id <> node").select(
         F.col("doc_id").alias("a"), F.col("node").alias("b"))
     labels = connected_components(first)
-    rest = remaining_links(members, nodes.select("node", "bands"), labels, texts, idf)
+    rest = staged(remaining_links(members, nodes.select("node", "bands"), labels, texts, idf), "links")
     final = connected_components(first.unionByName(rest).unionByName(copies))
+    idf.destroy()  # all that reads it is written
     out = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct().join(
         final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     unnamed = docs.filter("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 
@@ -96,16 +97,9 @@ def shingles_of(words: Words, size: int = WORDS) -> Shingles:
     return Shingles(keys[first], counts, np.searchsorted(text[first], np.arange(len(n) + 1)))
 
 
-def digests(words: Words) -> list[bytes | None]:
-    """128 bits over each text's word sequence; None without words."""
-    n = np.diff(words.first)
-    place = np.arange(len(words.keys)) - np.repeat(words.first[:-1], n)
-    out = []
-    most = int(n.max()) if len(n) else 0
-    halves = [mix(words.keys + U(salt)) * powers(BASE, most)[place] for salt in (1, 2)]
-    for a, b in zip(words.first[:-1], words.first[1:]):
-        out.append(None if a == b else b"".join(int(h[a:b].sum(dtype=U)).to_bytes(8, "big") for h in halves))
-    return out
+def digests(texts: list[bytes]) -> list[bytes | None]:
+    """128 bits (BLAKE2) of each normalised text's word sequence; None without words."""
+    return [blake2b(b" ".join(words), digest_size=16).digest() if (words := text.split()) else None for text in texts]
 
 
 def blocks(texts: list, limit: int = BLOCK) -> Iterator[tuple[int, int, list[bytes]]]:

@@ -4,13 +4,14 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from sparkrec.llm import decontam, icws, langid, neardup, toxicity
 from sparkrec.llm.common import table
 from sparkrec.llm.queries import QUERIES
-from sparkrec.llm.shingles import normal_bytes, shingles_of, words_of
+from sparkrec.llm.shingles import digests, normal_bytes, shingles_of, words_of
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -113,8 +114,35 @@ def test_near_duplicates_of_repeated_texts(spark):
     idf = np.ones(1 << icws.BUCKET_BITS, np.float32)
     bands = np.array([r["bands"] for r in neardup.signatures(docs, spark.sparkContext.broadcast(idf)).orderBy("doc_id").collect()])
     ids = np.arange(len(rows))
-    need = neardup._open_pairs(bands.astype(np.uint64), ids, ids, 0, True)
-    assert [(i, j) for i, j in zip(*np.nonzero(need))] == [(i, j) for i in ids for j in ids if i < j and i // 4 == j // 4]
+    block = pa.table({"bands": bands.tolist(), "label": ids, "side": ids * 0, "band": ids * 0, "i": ids * 0, "j": ids * 0})
+    need = {tuple(sorted((i, int(j)))) for i, js in neardup._open_pairs(block) for j in js}
+    assert sorted(need) == [(i, j) for i in ids for j in ids if i < j and i // 4 == j // 4]
+
+
+def test_bucket_larger_than_a_block(spark, monkeypatch):
+    """Sides of the largest component meet the others only; every link between components is found."""
+    monkeypatch.setattr(neardup, "BLOCK_NODES", 16)
+    monkeypatch.setattr(neardup, "CENTRAL", 1)
+    monkeypatch.setattr(neardup, "PAIR_BLOCK", 8)
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in rng.integers(0, 9999, 100)]
+    rows = []
+    for i in range(150):
+        copy = list(base)
+        for at in rng.choice(100, int(rng.integers(1, 5)), replace=False):
+            copy[at] = f"y{rng.integers(10 ** 6)}"
+        rows.append((i, " ".join(copy)))
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want, border = brute_classes(rows)
+    assert all(got[i] == got[c] for i, c in want.items())
+    assert len(set(got.values())) >= len(set(want.values())) - len(border)
+
+
+def test_digests_tell_texts_of_equal_polynomials_apart():
+    half = "".join("ab"[i.bit_count() % 2] for i in range(4096))
+    a, b = (" ".join(x) for x in (half, half.translate({97: 98, 98: 97})))
+    assert len(set(digests([normal_bytes(a), normal_bytes(b), normal_bytes(a.upper() + "!")]))) == 2
+    assert digests([b"", b"  "]) == [None, None]
 
 
 def test_samples_estimate_weighted_jaccard():
@@ -174,8 +202,26 @@ def test_decontamination_edits_against_full_alignment():
             full = edit_distance_substring(data.tolist(), list(text))
             if full <= decontam.budget(len(data)):
                 assert best[i] == full
-            else:
-                assert i not in best
+            else:  # more edits are found in runs only, and never beyond the limit
+                assert i not in best or full <= best[i] <= decontam.limit(len(data))
+
+
+@pytest.mark.parametrize("words, replaced", [(8, 1), (15, 1), (15, 2), (30, 3), (60, 6)])
+def test_decontamination_finds_items_with_replaced_words(words, replaced):
+    rng = np.random.default_rng(words)
+    vocabulary = ["".join(map(chr, rng.integers(97, 123, int(n)))) for n in rng.integers(2, 10, 3000)]
+    items = [list(rng.choice(vocabulary, words)) for _ in range(150)]
+    index = decontam.build_index([(i, " ".join(x)) for i, x in enumerate(items)])
+    texts = []
+    for x in items:
+        copy = list(x)
+        for at in rng.choice(words, replaced, replace=False):
+            copy[at] = str(rng.choice(vocabulary))
+        texts.append(" ".join([*rng.choice(vocabulary, 40), *copy, *rng.choice(vocabulary, 40)]))
+    clean = [" ".join(rng.choice(vocabulary, 400)) for _ in range(150)]
+    found = decontam.search(index, [decontam.normalised(t) for t in texts + clean])
+    assert sum(i in {m["item_id"] for m in f} for i, f in enumerate(found[:150])) >= 0.9 * 150
+    assert all({m["item_id"] for m in f} <= {i} for i, f in enumerate(found[:150])) and not any(found[150:])
 
 
 def test_decontamination_finds_passages_of_long_items():
