@@ -40,7 +40,7 @@ WHITE, LETTER, DIGIT, OTHER = range(4)
 KIND = np.array([WHITE if chr(c) in " \n" else LETTER if chr(c).isalpha() else DIGIT if chr(c).isdecimal() else OTHER
                  for c in range(256)], np.uint8)
 
-MEMO_BYTES = 16 << 20
+MEMO_BYTES = 48 << 20
 ENTRY_BYTES = 200  # of an entry besides its characters and ids
 MEMO_CHARS = 64
 BLOCK_CHARS = 1 << 22

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 import zlib
 
 import corpus_pipeline
@@ -36,11 +37,16 @@ def test_matches_sql(spark, name):
 def test_top_k_edges(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (1, None), (2, [nan, 1.0]), (3, [0.5, None]), (4, [1.0, 0.0]), (5, [1.0, 0.0]), (6, [1.0, 0.0]),
-            (7, [2.0]), (None, [1.0, 1.0]), (50, [0.25, 0.0]), (8, []), (9, [1e30, 0.0])]
+            (7, [2.0]), (None, [1.0, 1.0]), (50, [0.25, 0.0]), (8, []), (9, [-3e7, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 AS query_id", "2 AS score")
     got = sorted(tuple(r) for r in topk.top_k(df, lambda ids: ids % 50 == 0, 2).collect())
     assert got == [(0, 1, 4, 65536), (0, 2, 5, 65536), (50, 1, 0, 16384), (50, 2, 4, 16384)]
     assert topk.top_k(df.limit(0), lambda ids: ids % 50 == 0, 2).count() == 0
+    wide = spark.createDataFrame([(0, [3e5, 1.0]), (1, [3e5, -2.0]), (2, [2e7, 0.0])], "vec_id long, embedding array<double>")
+    assert [(r["vec_id"], r["score"]) for r in topk.top_k(wide, lambda ids: ids == 0, 2).orderBy("rank").collect()] == [
+        (2, 76_800_000 * 5_120_000_000), (1, 76_800_000 ** 2 - 256 * 512)]
+    with pytest.raises(ValueError, match="64 bits"):
+        topk.top_k(spark.createDataFrame([(0, [1.0]), (1, [1e30])], "vec_id long, embedding array<double>"), lambda ids: ids == 0, 2)
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
@@ -151,11 +157,34 @@ def test_html_templates_and_edges(spark):
     ("<p>Text<div class=comments><article><p>A longer comment</article></div>", "Text"),
     ("<article><p>Text<div class=comments><p>A longer comment</div></article>", "Text"),
     ("<p>A longer text<aside class=related><article>Other</article></aside>", "A longer text"),
+    ("<article><p>Text<div class='comments-area'><p>A longer comment</div></article>", "Text"),
+    ("<article><p>Text<ol class='x comment-list'><li>A longer comment</ol></article>", "Text"),
+    ("<p>Text<section id=comments-section><article><p>A longer comment</article></section>", "Text"),
+    ("<div><p>Text</div><div class='site-footer'>Imprint and so on</div>", "Text"),
+    ("<p>Text<div id='cookie-banner'><p>We use cookies, agree?</div>", "Text"),
+    ("<article><p>Text<div class=share-buttons>Share this on X</div></article>", "Text"),
+    ("<article><div class='notice'>This notice is by far longer than the text</div><p>Text</article>", "Text"),
+    ("<div class='notice'>This notice is by far longer than the text</div><p>Text", "Text"),
+    ("<article><p>Text<p hidden>Not shown<div style='color:red; display: none'>Not shown</div></article>", "Text"),
+    ("<article><div class='post-body no-sidebar'><p>Long text</div></article>", "Long text"),
+    ("<div class='sidebar-wrapper'><article><p>Long text</article></div>", "Long text"),
+    ("a < b and <p>c <b class='x>y' title=\"a 'b'\">d</b>", "a < b and\n\nc d"),
+    ("<p>a <b title='open>c</b> d", "a c d"),
+    ("<p>1 <div", "1 <div"),
 ])
 def test_html_wrappers_keep_the_article(page, want):
     assert html_text.main_text(html_text.parse(page), set()) == want
 
 
+@pytest.mark.parametrize("page", ["<div" * 250_000, "<b>" * 300_000 + "x", "a<b " * 250_000, "<a \">\" " * 150_000, "<a '" * 200_001 + ">",
+                                  "<p><table>" + "<b>" * 5000 + "<p>x</b>" * 50_000, "</i><i>" * 100_000, "<!-- <" * 100_000, "<![" * 200_000],
+                         ids=range(9))
+def test_broken_pages_take_linear_time(page):
+    start = time.process_time()
+    html_text.main_text(html_text.parse(page), set())
+    assert time.process_time() - start < 20  # about 1 MB, up to 300,000 elements; a quadratic step takes minutes
+
+
 @pytest.mark.parametrize("limit", [html_text.BROADCAST_BYTES, 0])
 def test_html_templates_of_large_hosts_and_shared_articles(spark, monkeypatch, limit):
     monkeypatch.setattr(html_text, "BROADCAST_BYTES", limit)
