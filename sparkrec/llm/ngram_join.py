@@ -49,6 +49,7 @@ from pyspark.sql import functions as F
 from sparkrec.llm.common import by_group, join_by_size, pieces, slices, staged
 from sparkrec.llm.components import connected_components
 from sparkrec.llm.shingles import U, mix
+from sparkrec.llm.urls import build_filter, might_contain, words_for
 
 WORDS = 4
 PERCENT = 85
@@ -496,9 +497,13 @@ def components(docs: DataFrame, list_nodes: int = LIST_NODES) -> DataFrame:
 def texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, text) of the wanted nodes: the text of one document of each.
 
-    The wanted ids are written first, so that Spark knows their size: few are
-    broadcast, many are joined by a shuffle of the texts.
+    A Bloom filter of the wanted texts' hashes (of bounded size) goes over the
+    documents first, so that other texts are not shuffled.
     """
-    at = staged(nodes.join(wanted, "node", "left_semi").select("node", F.col("first.doc_id").alias("d"), F.col("first.h").alias("k")), "wanted")
-    return (docs.join(at, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")))
+    at = staged(nodes.join(wanted.hint("merge"), "node", "left_semi").select(
+        "node", F.col("first.doc_id").alias("d"), F.col("first.h").alias("k")), "wanted")
+    n_words = words_for(at.count())
+    passed = docs.withColumn("words", build_filter(at.select(F.col("k").alias("key")), n_words).scalar()).filter(
+        might_contain(F.col("words"), F.col("h"), n_words)).drop("words")
+    return (passed.join(at.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")))
             .groupBy("node").agg(F.min("text").alias("text")))
