@@ -46,3 +46,22 @@ def test_weighted_and_fallback(spark):
     assert cf.candidate_scores(hist, sim).count() == 0          # strict liked set: nothing
     one = {x.movieId for x in cf.candidate_scores(hist, sim, neighbors=1, weighted=True, fallback=True).collect()}
     assert one == {3}
+
+
+def test_scores_lists_and_counts_need_one_shuffle_by_user(spark):
+    hist = spark.range(400).selectExpr("id % 20 userId", "id movieId", "5.0D rating")
+    sim = spark.range(400).selectExpr("id movieId", "(id + 7) % 400 neighborId", "0.5D sim", "1 rank")
+    plan = cf.recommend(hist, sim)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(userId" in plan
+    assert not any("hashpartitioning(userId" in line and "movieId" in line.split("hashpartitioning(userId")[1].split(")")[0]
+                   for line in plan.splitlines())
+
+
+def test_users_that_fill_tasks_alone_are_dealt_by_movie(spark, monkeypatch):
+    hist = spark.range(400).selectExpr("CASE WHEN id < 300 THEN 0 ELSE id % 20 END userId", "id movieId", "5.0D rating")
+    sim = spark.range(400).selectExpr("id movieId", "(id + 7) % 450 neighborId", "(1 + id % 5) / 10D sim", "1 rank")
+    want = {tuple(r) for r in cf.recommend(hist, sim).collect()}
+    monkeypatch.setattr(cf, "ROWS_PER_TASK", 500)
+    assert {tuple(r) for r in cf.recommend(hist, sim).collect()} == want
+    rows, keys = cf._by_user(hist.selectExpr("userId", "movieId", "1D c"), hist, 100)
+    assert keys == ["userId", "_salt"] and rows.filter("userId = 0").select("_salt").distinct().count() > 1

@@ -83,3 +83,14 @@ def test_positions_over_many_tasks(spark, monkeypatch):
     df = spark.range(500).select((F.col("id") % 3).alias("g"), F.col("id").alias("o"))
     rows = group_position(df, ["g"], [F.col("o").desc()]).collect()
     assert len(rows) == 500 and all(x["_pos"] == (x["_n"] - 1) - x["o"] // 3 for x in rows)
+
+
+def test_terms_of_a_text_are_counted_where_the_text_is(spark):
+    from sparkrec.operators import tfidf
+    docs = spark.createDataFrame([(1, "red green red"), (1, "blue"), (2, "red"), (None, "green")], "movieId long, feature_text string")
+    counts = tfidf.term_counts(docs)
+    assert counts._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = {(r.doc, r.term): r.tf for r in counts.collect()}
+    assert got[1, "red"] == 2 and got[1, "blue"] == 1 and got[None, "green"] == 1
+    weights, _ = tfidf.tfidf(docs, min_df=1)
+    assert {r.movieId for r in weights.collect()} == {1, 2}  # as before: no rows without an id
