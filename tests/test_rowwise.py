@@ -94,3 +94,14 @@ def test_terms_of_a_text_are_counted_where_the_text_is(spark):
     assert got[1, "red"] == 2 and got[1, "blue"] == 1 and got[None, "green"] == 1
     weights, _ = tfidf.tfidf(docs, min_df=1)
     assert {r.movieId for r in weights.collect()} == {1, 2}  # as before: no rows without an id
+
+
+def test_a_bucket_is_written_by_several_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from sparkrec.operators import clean
+    ratings = spark.range(400).selectExpr("id % 40 userId", "id movieId", "4.0D rating", "id timestamp")
+    layout = clean.edge_layout(ratings, rows_per_bucket=100)
+    rows = layout.edges(spark, "userId").withColumn("f", F.input_file_name())
+    assert layout.buckets == 4 and rows.select("userId", "movieId").distinct().count() == 400
+    assert rows.select("f").distinct().count() > layout.buckets
