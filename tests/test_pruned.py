@@ -78,3 +78,28 @@ def test_split_row_groups_shuffle_no_pair_rows(spark):
             return {i: v[:top_k] for i, v in out.items()}
 
         assert lists(whole) == lists(split)
+
+
+def test_lists_share_one_shuffle_with_the_seen_movies(spark, monkeypatch):
+    """Members of a class stay packed up to the shuffle by user, and users that would fill a task are dealt by movie."""
+    terms = [("x", 1.0), ("y", 2.0), ("z", 0.5)]
+    weights = spark.createDataFrame([(m, *terms[m % 3]) for m in range(60)] + [(m, "x", 0.1) for m in range(1, 60, 3)],
+                                    "movieId long, term string, weight double")
+    rows = [(1, m, 4.0) for m in range(45)] + [(2, 0, 5.0), (2, 4, 4.0), (2, 4, 4.0), (3, 59, 4.0), (3, None, 1.0), (None, 5, 4.0)]
+    ratings = ratings_df(spark, rows, with_ts=False)
+
+    def lists():
+        return sorted((r["userId"], r["rank"], r["movieId"], round(r["score"], 9)) for r in profile.ranked_content(ratings, weights, 7).collect())
+
+    whole = lists()
+    seen = {(u, m) for u, m, _ in rows}
+    by_user = {u: [x for x in whole if x[0] == u] for u in (1, 2, 3)}
+    assert all(len(x) == 7 for x in by_user.values()) and len(whole) == 21
+    assert not [x for x in whole if (x[0], x[2]) in seen]
+    assert all(a[3] > b[3] or a[2] < b[2] for x in by_user.values() for a, b in zip(x, x[1:]))
+    plan = profile.ranked_content(ratings, weights, 7)._jdf.queryExecution().sparkPlan().toString()
+    assert not [x for x in plan.splitlines() if "LeftAnti" in x and "movieId" in x]
+    for chunk, limit in ((4, 10 ** 6), (1024, 20), (3, 5)):
+        monkeypatch.setattr(profile, "MEMBER_CHUNK", chunk)
+        monkeypatch.setattr(profile, "LISTED_PER_TASK", limit)
+        assert lists() == whole
