@@ -84,4 +84,4 @@ SELECT userId, movieId, rank FROM rk WHERE rank <= 10""")
 def q_popular_recs(spark, sf):
     r = ratings(spark, sf)
     ranked = stats.ranked_popularity(stats.popular_ranking(r))
-    return stats.popular_recs(r.select("userId"), r, ranked, top_k=10)
+    return stats.popular_recs(r.select("userId"), r, ranked, top_k=10, rows=r.count())
