@@ -65,3 +65,21 @@ def test_users_that_fill_tasks_alone_are_dealt_by_movie(spark, monkeypatch):
     assert {tuple(r) for r in cf.recommend(hist, sim).collect()} == want
     rows, keys = cf._by_user(hist.selectExpr("userId", "movieId", "1D c"), hist, 100)
     assert keys == ["userId", "_salt"] and rows.filter("userId = 0").select("_salt").distinct().count() > 1
+
+
+def test_the_similarity_is_not_shuffled_for_few_users(spark):
+    hist = ratings_df(spark, [(u, (u * 7 + m) % 500, 5.0) for u in range(400) for m in range(10)], with_ts=False)
+    rows = [(m, (m + d) % 500, 1.0 / d, d) for m in range(500) for d in range(1, 11)]
+    sim = spark.createDataFrame(rows, "movieId long, neighborId long, sim double, rank int")
+    users = spark.createDataFrame([(3,)], "userId long")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        few = cf.candidate_scores(hist, sim, users)
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        got = {(x.userId, x.movieId): round(x.score, 8) for x in few.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    whole = cf.candidate_scores(hist, sim).filter("userId = 3").collect()
+    assert got == {(x.userId, x.movieId): round(x.score, 8) for x in whole} and got

@@ -105,3 +105,19 @@ def test_a_bucket_is_written_by_several_tasks(spark):
     rows = layout.edges(spark, "userId").withColumn("f", F.input_file_name())
     assert layout.buckets == 4 and rows.select("userId", "movieId").distinct().count() == 400
     assert rows.select("f").distinct().count() > layout.buckets
+
+
+def test_whole_lists_are_neither_shuffled_nor_sorted_again(spark):
+    from sparkrec.operators.similarity import item_similarity
+
+    rows, e = sparse_entries(spark)
+    sim = item_similarity(e.toDF("userId", "movieId", "rating"), 5)
+    assert "WindowGroupLimit" not in sim._jdf.queryExecution().executedPlan().toString()
+    got = sim.collect()
+    assert {(x.movieId, x.neighborId) for x in got} == brute(rows, 5)
+    by_movie = {}
+    for x in got:
+        by_movie.setdefault(x.movieId, []).append((x["rank"], -round(x.sim, 8), x.neighborId))
+    for found in by_movie.values():
+        assert [r for r, _, _ in sorted(found)] == list(range(1, len(found) + 1))
+        assert sorted(found) == sorted(found, key=lambda f: f[1:])
