@@ -43,3 +43,13 @@ def test_leave_last_out(spark):
     train, test = split.leave_last_out(r)
     assert {(x.userId, x.movieId) for x in test.collect()} == {(1, 3), (2, 7)}
     assert {(x.userId, x.movieId) for x in train.collect()} == {(1, 1), (1, 2)}
+
+
+def test_leave_last_out_joins_once_and_keeps_null_and_repeated_keys(spark):
+    r = ratings_df(spark, [(1, 1, 4.0, 10), (1, 2, 4.0, 20), (1, 2, 4.0, 20), (None, 5, 3.0, 7), (2, None, 3.0, 9), (2, 4, 2.0, 1)])
+    train, test = split.leave_last_out(r)
+    assert sorted(x.movieId for x in test.collect()) == [2, 2]
+    assert {(x.userId, x.movieId) for x in train.collect()} == {(1, 1), (None, 5), (2, None), (2, 4)}
+    for part in (train, test):  # both read what one join wrote
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
