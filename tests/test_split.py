@@ -53,3 +53,11 @@ def test_leave_last_out_joins_once_and_keeps_null_and_repeated_keys(spark):
     for part in (train, test):  # both read what one join wrote
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_time_split_is_placed_once_and_read_from_there(spark):
+    train, test = split.time_split(ratings_df(spark, [(u, m, 4.0, m) for u in range(5) for m in range(10)]))
+    assert (train.count(), test.count()) == (40, 10)
+    for part in (train, test):  # no part joins the positions again
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
