@@ -121,3 +121,33 @@ def test_whole_lists_are_neither_shuffled_nor_sorted_again(spark):
     for found in by_movie.values():
         assert [r for r, _, _ in sorted(found)] == list(range(1, len(found) + 1))
         assert sorted(found) == sorted(found, key=lambda f: f[1:])
+
+
+def test_rounds_of_blocks_give_the_same_lists_and_send_each_block_once(spark, monkeypatch):
+    rows, e = sparse_entries(spark)
+    seen = []
+    packer = rowwise._pack_task
+    monkeypatch.setattr(rowwise, "_pack_task", lambda *a: seen.append(a) or packer(*a))
+    monkeypatch.setattr(rowwise, "ROUND_PAIRS", 10_000)
+    found = tiles.cosine_pairs(e, "r", "c", "v", top_k=5)
+    assert {(x.i, x.j) for x in found.collect()} == brute(rows, 5) and found.columns == ["i", "j", "sim", "sim_r"]
+    rounds = seen[0][2]
+    assert rounds > 1 and [a[1] for a in seen] == list(range(rounds))
+    placed = e.repartition(2, "r").sortWithinPartitions("r", "c").selectExpr("r", "c", "v", "1D AS q")
+    blocks = [{r.blk for r in placed.mapInArrow(packer(64, part, 3), rowwise.PACK_SCHEMA).collect()} for part in range(3)]
+    assert sum(map(len, blocks)) == len(set.union(*blocks)) == 64
+
+
+def test_a_stage_leaves_no_shuffle_files(spark):
+    from pyspark.sql import functions as F
+
+    import os
+
+    def held():
+        roots = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for root in roots for _, _, names in os.walk(root) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+    before = held()
+    out = session.stage(spark.range(10_000).groupBy((F.col("id") % 100).alias("g")).agg(F.count(F.lit(1)).alias("n")))
+    assert not held() - before and out.count() == 100
+    assert spark.conf.get(session.SHUFFLE_CLEANUP) == "false"
