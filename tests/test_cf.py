@@ -1,5 +1,6 @@
 from conftest import ratings_df
 
+from sparkrec import session
 from sparkrec.operators import cf, similarity
 
 
@@ -83,3 +84,23 @@ def test_the_similarity_is_not_shuffled_for_few_users(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     whole = cf.candidate_scores(hist, sim).filter("userId = 3").collect()
     assert got == {(x.userId, x.movieId): round(x.score, 8) for x in whole} and got
+
+
+def test_slices_of_users_give_the_same_lists_and_counts(spark, monkeypatch):
+    rows = [(u, (u * 7 + m * 3) % 60, 1.0 + (u + m) % 5) for u in range(40) for m in range(12)] + [(77, 1, 2.0), (None, 3, 5.0)]
+    hist = ratings_df(spark, rows, with_ts=False)
+    sim = spark.createDataFrame([(m, (m + d) % 60, 1.0 / d, d) for m in range(60) for d in range(1, 9)],
+                                "movieId long, neighborId long, sim double, rank int")
+    users = hist.select("userId").distinct()
+
+    def results():
+        recs = cf.recommend(hist, sim, k=5, weighted=True, fallback=True).collect()
+        return ({(r.userId, r.movieId, round(r.score, 9), r.rank) for r in recs},
+                {tuple(r) for r in cf.recommend_status(hist, sim, users).collect()})
+
+    whole = results()
+    written = []
+    monkeypatch.setattr(cf, "ROWS_PER_SLICE", 5_000)
+    monkeypatch.setattr(cf, "staged_parts", lambda n, make: written.append(n) or session.staged_parts(n, make))
+    assert results() == whole and len(whole[0]) > 150
+    assert len(written) == 2 and min(written) > 1
