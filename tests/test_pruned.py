@@ -103,3 +103,22 @@ def test_lists_share_one_shuffle_with_the_seen_movies(spark, monkeypatch):
         monkeypatch.setattr(profile, "MEMBER_CHUNK", chunk)
         monkeypatch.setattr(profile, "LISTED_PER_TASK", limit)
         assert lists() == whole
+
+
+def test_a_user_is_sent_once_to_the_blocks_it_meets(spark):
+    """Blocks share tiles, so a user's vector is not copied to each small block; every meeting is scored, once."""
+    rng = np.random.default_rng(5)
+    users, items = vectors(rng, 60, 30, 2), vectors(rng, 200, 30, 2)
+    left = spark.createDataFrame([(*u, 5) for u in users], "a long, t array<long>, v array<double>, n long")
+    right = spark.createDataFrame([(*i, 1) for i in items], "a long, t array<long>, v array<double>, n long")
+    scores, rounds = pruned.score_rounds(left, right, 60, 200, item_block=4, user_block=2048)
+    first, second = (r.filter("side = 0").selectExpr("a", "size(blocks) n").collect() for r in rounds)
+    assert len({r.a for r in second}) == len(second) <= 60 < sum(r.n for r in second)
+    assert all(r.n == 1 for r in first)
+    pairs = [(r.u, r.i) for r in scores.collect()]
+    assert len(pairs) == len(set(pairs))
+    many = pruned.meeting_rows(spark.createDataFrame([(u, b) for u in range(60) for b in (0, u % 8)], "a long, block long").distinct(),
+                               left, spark.createDataFrame([(a, t, v, 1, a % 8) for a, t, v in items], "a long, t array<long>, v array<double>, n long, block long"),
+                               user_block=3, group_blocks=8)
+    tiles_met = {(r.g, r.uc, b) for r in many.filter("side = 0").collect() for b in r.blocks}
+    assert {(r.g, r.uc, r.blocks[0]) for r in many.filter("side = 1").collect()} == tiles_met
