@@ -151,3 +151,22 @@ def test_a_stage_leaves_no_shuffle_files(spark):
     out = session.stage(spark.range(10_000).groupBy((F.col("id") % 100).alias("g")).agg(F.count(F.lit(1)).alias("n")))
     assert not held() - before and out.count() == 100
     assert spark.conf.get(session.SHUFFLE_CLEANUP) == "false"
+
+
+def test_weights_of_slices_of_documents_are_those_of_all(spark, monkeypatch):
+    from sparkrec.operators import tfidf
+
+    words = "red green blue grey pink teal gold cyan".split()
+    rows = [(d, " ".join(words[(d * k + k) % 8] for k in range(2, 9))) for d in range(30)] + [(3, "red teal red"), (None, "red gold"), (40, "")]
+    docs = spark.createDataFrame(rows, "movieId long, feature_text string")
+
+    def found():
+        weights, vocab = tfidf.tfidf(docs, max_features=None)
+        return ({(r.movieId, r.term, round(r.weight, 9)) for r in weights.collect()},
+                {(r.term, r.df, r.total, round(r.idf, 9)) for r in vocab.collect()})
+
+    whole = found()
+    written = []
+    monkeypatch.setattr(tfidf, "CHARS_PER_SLICE", 300)
+    monkeypatch.setattr(tfidf, "staged_parts", lambda n, make: written.append(n) or session.staged_parts(n, make))
+    assert found() == whole and len(whole[0]) > 200 and written[0] > 2
