@@ -122,3 +122,18 @@ def test_a_user_is_sent_once_to_the_blocks_it_meets(spark):
                                user_block=3, group_blocks=8)
     tiles_met = {(r.g, r.uc, b) for r in many.filter("side = 0").collect() for b in r.blocks}
     assert {(r.g, r.uc, r.blocks[0]) for r in many.filter("side = 1").collect()} == tiles_met
+
+
+def test_few_vectors_are_sorted_where_many_items_share_them(monkeypatch):
+    """The vectors that a list can need, with sizes that differ: all of them and no others, few looked at."""
+    rng = np.random.default_rng(6)
+    r = np.round(rng.random((25, 200)), 2) * (rng.random((25, 200)) < 0.8)
+    looked = []
+    lexsort = np.lexsort
+    monkeypatch.setattr(tiles.np, "lexsort", lambda keys: looked.append(len(keys[0])) or lexsort(keys))
+    for size in (np.full(200, 50), rng.integers(1, 100, 200), np.where(np.arange(200) == 7, 9000, 1)):
+        need = rng.integers(1, 120, 25)
+        u, c = tiles._needed(r, r > 0, size, need)
+        want = {(a, b) for a in range(25) for b in range(200) if r[a, b] > 0 and size[r[a] > r[a, b]].sum() < need[a]}
+        assert set(zip(u.tolist(), c.tolist())) == want and len(u) == len(want)
+    assert looked[0] < 25 * 20
